@@ -92,7 +92,7 @@ SELECT transaction_id, customer_id, round(amount, 2) AS amount,
        '2000-06-15 00:00:00' AS dt_processamento
 FROM tx_unique""", "tx_unique"))
 def silver_transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = ops.clean_transactions(v.tx_dirty(spark, sf_dir), ["src"], v.STAMP)
+    clean = ops.clean(v.tx_dirty(spark, sf_dir), "transactions", ["src"], v.STAMP)
     return clean.drop("order_key", "src", "date").withColumns({
         "amount": money("amount"), "transaction_date": F.col("transaction_date").cast("date")})
 
@@ -106,7 +106,7 @@ SELECT payment_id, transaction_id, round(amount_paid, 2) AS amount_paid,
        '2000-06-15 00:00:00' AS dt_processamento
 FROM pay_unique""", "pay_unique"))
 def silver_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    clean = ops.clean_payments(v.pay_dirty(spark, sf_dir), list(v.PAY_ORDER), v.STAMP)
+    clean = ops.clean(v.pay_dirty(spark, sf_dir), "payments", list(v.PAY_ORDER), v.STAMP)
     return clean.drop("date_paid", *v.PAY_ORDER).withColumns({
         "amount_paid": money("amount_paid"), "payment_date": F.col("payment_date").cast("date")})
 
@@ -130,12 +130,14 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def all_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Error records of both entities: rejected, repaired and worthless rows."""
-    def records(issues: DataFrame, entity: str) -> DataFrame:
-        return q.error_records(issues, error_type=F.col("error_type"), entity=entity,
-                               process_id=v.PROCESS_ID, error_time=v.STAMP)
-    tx = q.transaction_issues(v.tx_dirty(spark, sf_dir), ["src"])
-    pay = q.payment_issues(v.pay_dirty(spark, sf_dir), list(v.PAY_ORDER))
-    return records(tx, "transactions").unionByName(records(pay, "payments"))
+    bronze = {"transactions": (v.tx_dirty(spark, sf_dir), ["src"]),
+              "payments": (v.pay_dirty(spark, sf_dir), list(v.PAY_ORDER))}
+    records = [
+        q.error_records(q.issues(df, ops.unique_valid(df, entity, order), entity),
+                        error_type=F.col("error_type"), entity=entity,
+                        process_id=v.PROCESS_ID, error_time=v.STAMP)
+        for entity, (df, order) in bronze.items()]
+    return records[0].unionByName(records[1])
 
 
 _ISSUES = {

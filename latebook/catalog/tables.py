@@ -13,7 +13,7 @@ from latebook.catalog.classification import gold, published
 from latebook.catalog.registry import money, query
 from latebook.schemas import RAW_TRANSACTIONS
 from latebook.sinks.tables import (
-    append_or_create, write_bucketed, write_partitioned, write_plain,
+    append_or_create, replace_slice, write_bucketed, write_partitioned, write_plain,
 )
 from latebook.sinks.upsert import upsert
 from latebook.sources import files
@@ -198,12 +198,11 @@ SELECT inadimplente, reference_month, severidade, count(*) AS n,
        round(sum(total_valor_em_aberto), 2) + 0 AS valor
 FROM gold GROUP BY ALL""", "gold"))
 def gold_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gold table, written twice by replacing its own partitions, and read back."""
-    path = new_folder(spark, "gold-clients")
+    """The gold table, its month written twice, and read back by its partitions."""
+    path, month = new_folder(spark, "gold-clients"), v.WINDOW.reference_month
     customers = gold(spark, sf_dir)
-    parts = ["inadimplente", "reference_month"]
-    write_partitioned(customers.withColumn("total_valor_em_aberto", F.lit(-1.0)), path, parts)
-    write_partitioned(customers, path, parts, replace_partitions=True)
+    for rows in (customers.withColumn("total_valor_em_aberto", F.lit(-1.0)), customers):
+        replace_slice(rows, path, "reference_month", month, ["inadimplente"])
     stored = spark.read.schema(customers.schema).parquet(path)
     return stored.groupBy("inadimplente", "reference_month", "severidade").agg(
         F.count(F.lit(1)).alias("n"), money(F.sum("total_valor_em_aberto")).alias("valor"))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from latebook.functions import amount_band, due_date, mask_partial
 from latebook.profiles import DEFAULT_METHOD, DEFAULT_STATUS
-from latebook.schemas import REQUIRED, SILVER_TYPES
+from latebook.schemas import ENTITY_KEY, REQUIRED, SILVER_TYPES
 
 
 def is_invalid(columns: Sequence[str]) -> Column:
@@ -81,11 +81,14 @@ def positive_payments(df: DataFrame) -> DataFrame:
     return df.filter(F.col("amount_paid") > 0)
 
 
-def clean_transactions(df: DataFrame, order_by: Sequence[str | Column],
-                       processed_at: str) -> DataFrame:
-    """The silver transactions of a bronze table: valid, unique, typed, masked, repaired."""
-    typed = enforce_types(valid_rows(df, "transactions"), SILVER_TYPES["transactions"])
-    unique = dedupe(typed, ["transaction_id"], order_by)
+def unique_valid(df: DataFrame, entity: str, order_by: Sequence[str | Column]) -> DataFrame:
+    """Typed rows of a bronze table: complete ones, and one per key."""
+    typed = enforce_types(valid_rows(df, entity), SILVER_TYPES[entity])
+    return dedupe(typed, [ENTITY_KEY[entity]], order_by)
+
+
+def finish_transactions(unique: DataFrame, processed_at: str) -> DataFrame:
+    """Mask, classify and repair unique transactions, row by row."""
     return repair_due_date(unique.withColumns({
         "customer_id_masked": mask_partial(F.col("customer_id")),
         "valor_classificacao": amount_band(F.col("amount")),
@@ -93,14 +96,19 @@ def clean_transactions(df: DataFrame, order_by: Sequence[str | Column],
     }))
 
 
-def clean_payments(df: DataFrame, order_by: Sequence[str | Column],
-                   processed_at: str) -> DataFrame:
-    """The silver payments of a bronze table: valid, unique, typed, defaults filled."""
-    typed = enforce_types(valid_rows(df, "payments"), SILVER_TYPES["payments"])
-    unique = dedupe(typed, ["payment_id"], order_by)
+def finish_payments(unique: DataFrame, processed_at: str) -> DataFrame:
     return payment_defaults(unique).withColumn("dt_processamento", F.lit(processed_at))
 
 
+FINISH = {"transactions": finish_transactions, "payments": finish_payments}
+
+
+def clean(df: DataFrame, entity: str, order_by: Sequence[str | Column],
+          processed_at: str) -> DataFrame:
+    """The silver rows of a bronze table."""
+    return FINISH[entity](unique_valid(df, entity, order_by), processed_at)
+
+
 def cleaning_summary(df: DataFrame, entity: str, key: str) -> DataFrame:
     """Rows before, after and removed by validity and deduplication, in one scan.
 

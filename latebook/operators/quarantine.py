@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from latebook.operators.cleaning import (
-    dedupe, inconsistent_dates, invalid_rows, nonpositive_payments, valid_rows,
+    inconsistent_dates, invalid_rows, nonpositive_payments,
 )
 from latebook.schemas import ERROR_RECORDS
 
@@ -46,25 +46,19 @@ def error_records(rows: DataFrame, *, error_type: str | Column, entity: str, pro
     ).select(*ERROR_RECORDS.fieldNames())
 
 
-def transaction_issues(bronze: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
-    """Rejected transactions, and kept ones whose due date had to be repaired.
+def issues(bronze: DataFrame, unique: DataFrame, entity: str) -> DataFrame:
+    """Rows worth a record, with their ``error_type``; a clean row does not appear.
 
-    The rows carry ``error_type``; a clean row does not appear.
+    ``bronze`` gives the rejected rows, ``unique`` (complete rows, one per key) the kept
+    ones that need a remark: due dates to be repaired, payments without a value.
     """
-    rejected = invalid_rows(bronze, "transactions").withColumn(
+    rejected = invalid_rows(bronze, entity).withColumn(
         "error_type", F.lit("DATA_VALIDATION_ERROR"))
-    kept = dedupe(valid_rows(bronze, "transactions"), ["transaction_id"], order_by)
-    return rejected.unionByName(inconsistent_dates(kept).withColumn(
-        "error_type", F.lit("DATE_CONSISTENCY_WARNING")))
-
-
-def payment_issues(bronze: DataFrame, order_by: Sequence[str | Column]) -> DataFrame:
-    """Rejected payments, and kept ones without a positive value."""
-    rejected = invalid_rows(bronze, "payments").withColumn(
-        "error_type", F.lit("DATA_VALIDATION_ERROR"))
-    kept = dedupe(valid_rows(bronze, "payments"), ["payment_id"], order_by)
-    return rejected.unionByName(nonpositive_payments(kept).withColumn(
-        "error_type", F.lit("PAYMENT_VALUE_WARNING")))
+    if entity == "transactions":
+        remarks, kind = inconsistent_dates(unique), "DATE_CONSISTENCY_WARNING"
+    else:
+        remarks, kind = nonpositive_payments(unique), "PAYMENT_VALUE_WARNING"
+    return rejected.unionByName(remarks.withColumn("error_type", F.lit(kind)))
 
 
 def error_type_counts(errors: DataFrame) -> DataFrame:

@@ -13,8 +13,11 @@ from latebook.functions import content_hash, discovered_key_columns, key_hash
 def audit_stamp(df: DataFrame, *, ingested_on: str, updated_at: str, process_id: str,
                 execution_id: str, source_file: str | Column,
                 keys: Sequence[str] | None = None) -> DataFrame:
-    """Seven lineage columns; without ``keys`` the key columns are found by name."""
-    columns = df.columns
+    """Seven lineage columns; without ``keys`` the key columns are found by name.
+
+    A column ``source_file`` of the rows themselves is no content and is not hashed.
+    """
+    columns = [c for c in df.columns if c != "source_file"]
     source = source_file if isinstance(source_file, Column) else F.lit(source_file)
     return df.withColumns({
         "dt_ingestao": F.lit(ingested_on),

@@ -24,6 +24,19 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Sequence[str],
     return path
 
 
+def replace_slice(df: DataFrame, path: str, column: str, value: str,
+                  partition_by: Sequence[str] = ()) -> str:
+    """Replace one partition of a table as a whole, its inner partitions included.
+
+    An inner partition that has no rows any more disappears, which an overwrite by the
+    partitions of the new rows would leave behind.
+    """
+    rows = df.drop(column)
+    writer = rows.hint("rebalance", *partition_by).write if partition_by else rows.write
+    writer.mode("overwrite").partitionBy(*partition_by).parquet(f"{path}/{column}={value}")
+    return path
+
+
 def write_plain(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     df.write.mode(mode).option("compression", "snappy").parquet(path)
     return path
