@@ -18,11 +18,8 @@ def _views(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return v.tx(spark, sf_dir), v.pay(spark, sf_dir)
 
 
-def _rows(spark: SparkSession, sf_dir: str, rule_windows: bool = False) -> DataFrame:
-    tx, pay = _views(spark, sf_dir)
-    if rule_windows:
-        tx = tx.filter(r.in_any_window(r.BATCH_RULES, v.WINDOW.reference_date))
-    return settlement_rows(tx, pay, v.AS_OF)
+def _late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return r.late_rows(*_views(spark, sf_dir), v.WINDOW)
 
 
 def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,7 +60,7 @@ SELECT customer_id, regra_aplicada, descricao, transaction_id, amount,
        round(valor_em_aberto, 2) + 0 AS valor_em_aberto
 FROM rule1""", "rule1"))
 def rule1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.single_late_rows(_rows(spark, sf_dir, True), v.WINDOW).withColumn(
+    return r.single_late_rows(_late(spark, sf_dir), v.WINDOW).withColumn(
         "valor_em_aberto", money("valor_em_aberto"))
 
 
@@ -71,7 +68,7 @@ def rule1(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT customer_id, qtd_atrasos, round(total_em_aberto, 2) + 0 AS total_em_aberto
 FROM rule2""", "rule2"))
 def rule2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.repeat_late_customers(_rows(spark, sf_dir, True), v.WINDOW).withColumn(
+    return r.repeat_late_customers(_late(spark, sf_dir), v.WINDOW).withColumn(
         "total_em_aberto", money("total_em_aberto"))
 
 
@@ -80,7 +77,7 @@ SELECT customer_id, regra_aplicada, transaction_id, CAST(dias_atraso AS INTEGER)
        round(valor_em_aberto, 2) + 0 AS valor_em_aberto
 FROM broken""", "broken"))
 def union(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.rule_union(_rows(spark, sf_dir, True), v.WINDOW).select(
+    return r.rule_union(_late(spark, sf_dir), v.WINDOW).select(
         "customer_id", "regra_aplicada", "transaction_id", "dias_atraso",
         money("valor_em_aberto").alias("valor_em_aberto"))
 
@@ -97,7 +94,7 @@ FROM (SELECT customer_id, transaction_id, payment_id, dias_atraso, valor_em_aber
       WHERE transaction_date >= DATE '1999-12-03' AND dias_atraso > 15
         AND customer_id IN (SELECT customer_id FROM rule2))""", "rule1", "rule2"))
 def violations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.violating_payments(_rows(spark, sf_dir, True), v.WINDOW).withColumn(
+    return r.violating_payments(_late(spark, sf_dir), v.WINDOW).withColumn(
         "valor_em_aberto", money("valor_em_aberto"))
 
 
@@ -107,7 +104,7 @@ SELECT customer_id, regras_aplicadas, total_ocorrencias,
        CAST(max_dias_atraso AS INTEGER) AS max_dias_atraso
 FROM delinquents""", "delinquents"))
 def delinquents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return r.delinquent_customers(_rows(spark, sf_dir, True), v.WINDOW).select(
+    return r.delinquent_customers(_late(spark, sf_dir), v.WINDOW).select(
         "customer_id", g.joined_rules(F.col("regras_aplicadas")).alias("regras_aplicadas"),
         F.col("total_ocorrencias").cast("long").alias("total_ocorrencias"),
         money("total_valor_em_aberto").alias("total_valor_em_aberto"), "max_dias_atraso")
@@ -120,7 +117,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("all_customers_classified", v.sql(_GOLD_SQL, "gold"))
 def every_customer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    late = r.delinquent_customers(_rows(spark, sf_dir, True), v.WINDOW)
+    late = r.delinquent_customers(_late(spark, sf_dir), v.WINDOW)
     return published(r.all_customers_classified(
         late, v.tx(spark, sf_dir), v.WINDOW, v.PROCESS_ID))
 
@@ -305,7 +302,8 @@ _HISTORY = {
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return g.classify_history(_rows(spark, sf_dir), v.WINDOW.reference_date.isoformat())
+    rows = settlement_rows(*_views(spark, sf_dir), v.AS_OF)
+    return g.classify_history(rows, v.WINDOW.reference_date.isoformat())
 
 
 @query("classify_history", v.sql("""

@@ -92,7 +92,7 @@ _STREAMS = {
     "closed": """
   SELECT * FROM outer_rows
   WHERE payment_id IS NOT NULL
-     OR transaction_date + INTERVAL 90 DAY < (SELECT closed_at FROM mark)""",
+     OR transaction_date + INTERVAL 91 DAY < (SELECT closed_at FROM mark)""",
     "detail": """
   SELECT *, c1 OR c2 AS inadimplente
   FROM (SELECT *, transaction_date >= DATE '2000-06-15' - 90 AND days_late > 30 AS c1,

@@ -223,14 +223,13 @@ def gold_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("bucketed_write", v.sql("""
-SELECT customer_id, count(*) AS n_transactions, round(sum(amount), 2) AS amount
-FROM tx GROUP BY customer_id""", "tx"))
+SELECT customer_id, severidade, count(*) AS n FROM gold GROUP BY ALL""", "gold"))
 def bucketed_write(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table bucketed by customer; the aggregation by customer needs no shuffle."""
+    """The gold customers bucketed by customer; grouping by customer needs no shuffle."""
     table = f"latebook_bucketed_{uuid.uuid4().hex[:8]}"
-    write_bucketed(v.tx(spark, sf_dir), table, new_folder(spark, "bucketed"))
-    return spark.table(table).groupBy("customer_id").agg(
-        F.count(F.lit(1)).alias("n_transactions"), money(F.sum("amount")).alias("amount"))
+    write_bucketed(gold(spark, sf_dir), table, new_folder(spark, "bucketed"))
+    return spark.table(table).groupBy("customer_id", "severidade").agg(
+        F.count(F.lit(1)).alias("n"))
 
 
 @query("append_write", v.sql(f"""

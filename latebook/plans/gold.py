@@ -6,17 +6,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from latebook.operators import gold as g
 from latebook.operators.cleaning import nonpositive_payments
 from latebook.operators.control import quality_gate
 from latebook.operators.quarantine import error_records
-from latebook.operators.rules import classify_batch, classify_batch_v2
+from latebook.operators.rules import classify_rows, late_rows, violating_payments
 from latebook.plans.run import Run, recorded
 from latebook.profiles import AnalysisWindow
-from latebook.sinks.tables import replace_slice
-
-CLASSIFIERS = {"batch": classify_batch, "batch_v2": classify_batch_v2}
+from latebook.sinks.tables import replace_slice, write_plain
+from latebook.workspace import new_folder
 
 
 @dataclass(frozen=True)
@@ -24,15 +24,17 @@ class Published:
     customers: DataFrame
     metrics: DataFrame
     alerts: DataFrame
+    violations: DataFrame
     passed: bool
 
 
-def publish(run: Run, transactions: DataFrame, payments: DataFrame,
-            profile: str = "batch") -> Published:
-    """Write the three gold tables of a reference month and check them.
+def publish(run: Run, transactions: DataFrame, payments: DataFrame) -> Published:
+    """Write the gold tables of a reference month and check them.
 
-    Metrics and alerts read the written customers, so the classification runs once. A
-    month that is published again replaces its own slice of every table.
+    The late rows are staged in the shared folder, since both the classification and the
+    list of violating payments need them, so transactions and payments are joined once.
+    Metrics and alerts read the written customers. A month that is published again
+    replaces its own slice of every table.
     """
     window = AnalysisWindow(run.as_of)
     spark, out = run.spark, run.output_path
@@ -45,12 +47,16 @@ def publish(run: Run, transactions: DataFrame, payments: DataFrame,
                 rows, error_type="INVALID_PAYMENT", entity="payments",
                 process_id=run.process_id, error_time=run.started))
         with run.phase("data_transformation"):
-            result = CLASSIFIERS[profile](transactions, payments, window, run.process_id)
+            late = late_rows(transactions, payments, window)
+            staged = write_plain(late, new_folder(spark, "late-rows"))
+            late = spark.read.schema(late.schema).parquet(staged)
+            result = classify_rows(late, transactions, window, run.process_id)
         with run.phase("data_writing"):
             written = Observation()
             month = window.reference_month
-            clients, metrics_at, alerts_at = (
-                f"{out}/inadimplencia_{name}" for name in ("clientes", "metricas", "alertas"))
+            clients, metrics_at, alerts_at, violations_at = (
+                f"{out}/inadimplencia_{name}"
+                for name in ("clientes", "metricas", "alertas", "violacoes"))
             replace_slice(result.observe(written, F.count(F.lit(1)).alias("n")), clients,
                           "reference_month", month, ["inadimplente"])
             customers = spark.read.schema(result.schema).parquet(clients).filter(
@@ -61,8 +67,14 @@ def publish(run: Run, transactions: DataFrame, payments: DataFrame,
             alerts = g.delinquency_alerts(customers, run.started, run.process_id).withColumn(
                 "reference_month", F.lit(month))
             replace_slice(alerts, alerts_at, "reference_month", month)
+            violations = violating_payments(late, window).withColumn(
+                "reference_month", F.lit(month))
+            replace_slice(violations, violations_at, "reference_month", month)
         all_metrics = g.month_over_month(spark.read.schema(metrics.schema).parquet(metrics_at))
         passed = quality_gate(customers, all_metrics, month).first()["success"] == 1
         run.count(processed=written.get["n"], failed=worthless.get["n"])
-    return Published(customers, all_metrics, spark.read.schema(alerts.schema).parquet(alerts_at)
-                     .filter(F.col("reference_month") == month), passed)
+
+    def written_month(schema: StructType, path: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(path).filter(F.col("reference_month") == month)
+    return Published(customers, all_metrics, written_month(alerts.schema, alerts_at),
+                     written_month(violations.schema, violations_at), passed)

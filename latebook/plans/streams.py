@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from latebook.operators.rules import stream_profile
+from latebook.schemas import STREAM_DETAIL
 from latebook.streaming.batches import alert_writer, metrics_writer
 from latebook.streaming.detail import Bounds, settle_streams
 from latebook.streaming.metrics import window_alerts, window_metrics
@@ -43,9 +44,8 @@ class StreamJob:
                            self.trigger)
 
     def detail_stream(self, spark: SparkSession) -> DataFrame:
-        path = f"{self.output}/inadimplencia_detalhes"
-        schema = spark.read.parquet(path).schema
-        return file_stream(spark, path, schema, "parquet", max_files=None)
+        return file_stream(spark, f"{self.output}/inadimplencia_detalhes", STREAM_DETAIL,
+                           "parquet", max_files=None)
 
     def metrics(self, spark: SparkSession) -> StreamingQuery:
         return start_table(

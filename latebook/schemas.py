@@ -76,6 +76,32 @@ ERROR_RECORDS = _struct(
     ("record_content", T.StringType()),
 )
 
+# Explicit, since partition columns read back would be guessed and booleans come as text.
+STREAM_DETAIL = _struct(
+    ("transaction_id", T.StringType()),
+    ("customer_id", T.StringType()),
+    ("value", T.DoubleType()),
+    ("transaction_date", T.TimestampType()),
+    ("due_date", T.DateType()),
+    ("year", T.IntegerType()),
+    ("month", T.IntegerType()),
+    ("day", T.IntegerType()),
+    ("processing_time", T.TimestampType()),
+    ("payment_id", T.StringType()),
+    ("payment_amount", T.DoubleType()),
+    ("payment_date", T.TimestampType()),
+    ("payment_method", T.StringType()),
+    ("status", T.StringType()),
+    ("payment_done", T.BooleanType()),
+    ("days_late", T.IntegerType()),
+    ("criterio_1", T.BooleanType()),
+    ("criterio_2", T.BooleanType()),
+    ("inadimplente", T.BooleanType()),
+    ("reference_date", T.StringType()),
+    ("reference_month", T.StringType()),
+    ("reference_quarter", T.StringType()),
+)
+
 
 def raw_schema(entity: str) -> T.StructType:
     if entity not in RAW:

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-MAX_BUCKETS = 10
+BUCKETS = 10
 BUCKET_COLUMNS = ("customer_id", "transaction_id")
 
 
@@ -48,14 +48,17 @@ def bucket_column(columns: Sequence[str],
     return next((c for c in preferred if c in columns), None)
 
 
-def write_bucketed(df: DataFrame, table: str, path: str, buckets: int = MAX_BUCKETS,
+def write_bucketed(df: DataFrame, table: str, path: str, buckets: int = BUCKETS,
                    preferred: Sequence[str] = BUCKET_COLUMNS) -> str:
-    """A catalog table bucketed for joins on its customer or transaction."""
+    """A catalog table bucketed for joins on its customer or transaction.
+
+    A reader gets one task per bucket: choose the number by the table's size, and bucket
+    by a column whose values are about equally frequent.
+    """
     column = bucket_column(df.columns, preferred)
     if column is None:
         raise ValueError(f"none of {list(preferred)} is a column of the table")
-    n = min(MAX_BUCKETS, buckets)
-    (df.write.mode("overwrite").bucketBy(n, column).sortBy(column)
+    (df.write.mode("overwrite").bucketBy(buckets, column).sortBy(column)
        .option("path", path).saveAsTable(table))
     return table
 

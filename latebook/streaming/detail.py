@@ -15,27 +15,71 @@ class Bounds:
     A payment outside of [transaction, transaction + ``within``] does not settle; the
     state holds transactions that long. Choose at least the largest lateness threshold
     plus the payment term, or the stream misses delays that the batch rules see.
+
+    ``salts`` is the number of tasks that share the payments of one transaction. The
+    state keeps each transaction once per salt; 1 keeps it once and leaves a transaction
+    with a large share of all payments to one task.
     """
 
     delay: str = "2 hours"
     within: str = "90 days"
+    salts: int = 4
 
-
-def _in_bounds(bounds: Bounds) -> Column:
-    tx, paid = F.col("t.transaction_date"), F.col("p.payment_date")
-    return ((F.col("t.transaction_id") == F.col("p.transaction_id"))
-            & (paid >= tx) & (paid <= tx + F.expr(f"interval {bounds.within}")))
+    def interval(self, extra: str = "") -> Column:
+        return F.expr(f"interval {self.within} {extra}")
 
 
 def settle_streams(transactions: DataFrame, payments: DataFrame, bounds: Bounds = Bounds(),
                    how: str = "left_outer") -> DataFrame:
     """Join the streams on transaction id within the bounds.
 
-    With ``left_outer`` an unpaid transaction is emitted once the watermark has passed
-    the end of its settlement period. The function works on batch tables alike.
+    With ``left_outer``, unpaid transactions follow once the watermark has passed the end
+    of their settlement period. The function works on batch tables alike.
     """
+    if bounds.salts == 1:
+        return _join(transactions, payments, bounds, how, [])
+    salt = F.pmod(F.xxhash64("payment_id"), F.lit(bounds.salts)).cast("int")
+    copies = F.explode(F.array(*[F.lit(i) for i in range(bounds.salts)]))
+    paid = _join(transactions.withColumn("_salt", copies), payments.withColumn("_salt", salt),
+                 bounds, "inner", ["_salt"]).drop("_salt")
+    if how == "inner":
+        return paid
+    return paid.unionByName(unpaid_transactions(transactions, payments, bounds),
+                            allowMissingColumns=True)
+
+
+def _join(transactions: DataFrame, payments: DataFrame, bounds: Bounds, how: str,
+          also_equal: list[str]) -> DataFrame:
     left = transactions.withWatermark("transaction_date", bounds.delay).alias("t")
     right = payments.withWatermark("payment_date", bounds.delay).alias("p")
-    joined = left.join(right, _in_bounds(bounds), how)
-    extra = [F.col(f"p.{c}") for c in payments.columns if c != "transaction_id"]
-    return joined.select("t.*", *extra)
+    when, paid = F.col("t.transaction_date"), F.col("p.payment_date")
+    match = (paid >= when) & (paid <= when + bounds.interval())
+    keys = ["transaction_id", *also_equal]
+    for key in keys:
+        match = match & (F.col(f"t.{key}") == F.col(f"p.{key}"))
+    return left.join(right, match, how).select(
+        "t.*", *[F.col(f"p.{c}") for c in payments.columns if c not in keys])
+
+
+def unpaid_transactions(transactions: DataFrame, payments: DataFrame,
+                        bounds: Bounds) -> DataFrame:
+    """Transactions without a payment in their settlement period.
+
+    They are joined to one marker per transaction and day of payment, which Spark combines
+    before the shuffle. Some payment of the day is within the period exactly if the day's
+    last one is not before its start and the day's first one is not after its end, since
+    the period is longer than a day. A day is complete once the watermark has passed it,
+    so the transactions come out a day later than the period ends.
+    """
+    left = transactions.withWatermark("transaction_date", bounds.delay).alias("t")
+    markers = (payments.withWatermark("payment_date", bounds.delay)
+               .groupBy(F.window("payment_date", "1 day"), "transaction_id")
+               .agg(F.min("payment_date").alias("first"), F.max("payment_date").alias("last"))
+               .select("transaction_id", "first", "last",
+                       F.window_time("window").alias("marked_at"))).alias("m")
+    when = F.col("t.transaction_date")
+    settled = ((F.col("t.transaction_id") == F.col("m.transaction_id"))
+               & (F.col("m.marked_at") >= when)
+               & (F.col("m.marked_at") <= when + bounds.interval("1 day"))
+               & (F.col("m.last") >= when) & (F.col("m.first") <= when + bounds.interval()))
+    return left.join(markers, settled, "left_outer").filter("m.first is null").select("t.*")

@@ -170,6 +170,11 @@ def test_landing_to_gold(spark, lake):
     assert rows["zero"]["inadimplente"] and rows["never"]["max_dias_atraso"] == 51
     assert gold.passed and gold.metrics.first()["taxa_inadimplencia"] == 0.75
     assert [r["customer_id"] for r in gold.alerts.collect()] == ["never"]
+    offending = {(r["customer_id"], r["regra_aplicada"], r["transaction_id"])
+                 for r in gold.violations.collect()}
+    assert offending == {("slow", rule, f"late{i}") for rule in ("regra1", "regra2")
+                         for i in range(4)} | {("never", "regra1", "open"),
+                                               ("zero", "regra1", "zero")}
 
     # Publishing the month again replaces it.
     again = publish(run, silver["transactions"].filter("customer_id = 'good'"),
