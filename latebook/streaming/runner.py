@@ -5,7 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
+from pyspark.sql.streaming.readwriter import DataStreamWriter
 
 # How the detail table is partitioned, and the default trigger.
 DETAIL_PARTITIONS = ("reference_month", "year", "month", "inadimplente")
@@ -22,8 +24,16 @@ STATE_CONF = {
 
 
 def start_table(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
-                trigger: str | None = TRIGGER) -> StreamingQuery:
-    """Append a stream to a Parquet table; without a trigger, process what is there and stop."""
+                trigger: str | None = TRIGGER, spread: int = 2) -> StreamingQuery:
+    """Append a stream to a Parquet table; without a trigger, process what is there and stop.
+
+    The rows of a partition are brought together, so that a batch writes ``spread`` files
+    per partition and not one per task; a partition with most of the rows is shared by as
+    many tasks. The split is by row content, the same again if a task is repeated.
+    """
+    if partition_by:
+        rest = [c for c in df.columns if c not in partition_by]
+        df = df.repartition(*partition_by, F.pmod(F.xxhash64(*rest), F.lit(spread)))
     writer = (df.writeStream.outputMode("append").format("parquet")
               .option("path", path).option("checkpointLocation", checkpoint))
     if partition_by:
@@ -38,7 +48,7 @@ def start_batches(df: DataFrame, function: Callable[[DataFrame, int], None], che
     return _triggered(writer, trigger).start()
 
 
-def _triggered(writer, trigger: str | None):
+def _triggered(writer: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
     return writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
 
 

@@ -46,13 +46,13 @@ def unique_within(events: DataFrame, keys: list[str], time: str, delay: str,
                   salts: int = 4) -> DataFrame:
     """Drop repeated deliveries of an event within the watermark delay.
 
-    Copies are first dropped per key and random salt, so that an event delivered very often
-    is spread over tasks; at most one copy per salt then meets the others. Which task a copy
-    goes to does not matter: the second step decides.
+    Copies are first dropped per key and reading task, so that an event delivered very often
+    is spread over tasks; at most one copy per salt then meets the others. The task's number
+    stays the same when it is repeated.
     """
     marked = events.withWatermark(time, delay)
     if salts > 1:
-        salt = F.floor(F.rand() * salts).cast("int")
+        salt = F.pmod(F.spark_partition_id(), F.lit(salts))
         marked = (marked.withColumn("_salt", salt)
                   .dropDuplicatesWithinWatermark([*keys, "_salt"]).drop("_salt"))
     return marked.dropDuplicatesWithinWatermark(keys)
