@@ -7,6 +7,7 @@ end, so the oracles leave out what the last watermark has not closed.
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,12 +17,13 @@ from latebook.catalog.classification import profile_rows
 from latebook.catalog.registry import money, query
 from latebook.operators.rules import stream_profile
 from latebook.schemas import RAW_TRANSACTIONS
+from latebook.sources.files import list_files
 from latebook.streaming import sources as s
 from latebook.streaming.batches import metrics_writer
 from latebook.streaming.detail import Bounds, settle_streams
 from latebook.streaming.metrics import window_alerts, window_metrics
 from latebook.streaming.runner import (
-    DETAIL_PARTITIONS, METRIC_PARTITIONS, finish, start_batches, start_table,
+    DETAIL_PARTITIONS, METRIC_PARTITIONS, finish, sized_session, start_batches, start_table,
 )
 from latebook.workspace import new_folder
 
@@ -30,10 +32,21 @@ TIME = "yyyy-MM-dd HH:mm:ss"
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A given table as an unbounded stream, all available files at once."""
+    """A given table as an unbounded stream, all available files at once.
+
+    Written as a pattern, the path may be one file or a folder of files.
+    """
     schema = v.table(spark, sf_dir, name).schema
-    return s.file_stream(spark, sf_dir, schema, "parquet", max_files=None,
-                         pathGlobFilter=f"{name}.parquet")
+    path = f"{sf_dir}/{{{name}.parquet}}"
+    return s.file_stream(spark, path, schema, "parquet", max_files=None)
+
+
+def _sized(spark: SparkSession, sf_dir: str, *names: str) -> SparkSession:
+    """A session with as many state partitions as the size of the tables asks for."""
+    sizes = [list_files(spark, f"{sf_dir}/{name}.parquet").select("file_size")
+             for name in names]
+    total = reduce(DataFrame.union, sizes).agg(F.sum("file_size")).first()[0]
+    return sized_session(spark, total or 0)
 
 
 def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +78,7 @@ def _to_table(spark: SparkSession, df: DataFrame, name: str,
 
 
 def _detail(spark: SparkSession, sf_dir: str, how: str = "left_outer") -> DataFrame:
+    spark = _sized(spark, sf_dir, "orders", "lineitem")
     joined = settle_streams(transactions(spark, sf_dir), payments(spark, sf_dir), BOUNDS, how)
     return _to_table(spark, stream_profile(joined, v.AS_OF), "stream-detail", DETAIL_PARTITIONS)
 
@@ -118,12 +132,14 @@ def _pairs(df: DataFrame) -> DataFrame:
 @query("stream_join_inner", v.sql(
     f"{_PAIR} FROM outer_rows WHERE payment_id IS NOT NULL", "tx", **_STREAMS))
 def stream_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = _sized(spark, sf_dir, "orders", "lineitem")
     return _pairs(_to_table(spark, settle_streams(
         transactions(spark, sf_dir), payments(spark, sf_dir), BOUNDS, "inner"), "stream-inner"))
 
 
 @query("stream_join_outer", v.sql(f"{_PAIR} FROM closed", "tx", **_STREAMS))
 def stream_join_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = _sized(spark, sf_dir, "orders", "lineitem")
     return _pairs(_to_table(spark, settle_streams(
         transactions(spark, sf_dir), payments(spark, sf_dir), BOUNDS), "stream-outer"))
 
@@ -193,6 +209,7 @@ def _windows(df: DataFrame) -> DataFrame:
                                       metrics=_METRICS_SQL.format(_CLOSED_DAYS)))
 def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second stream reads the detail table, so the join state is kept once."""
+    spark = _sized(spark, sf_dir, "orders", "lineitem")
     detail = _as_stream(spark, _detail(spark, sf_dir))
     metrics = window_metrics(detail, delay=BOUNDS.delay)
     return _windows(_to_table(spark, metrics, "stream-metrics", METRIC_PARTITIONS))
@@ -201,6 +218,7 @@ def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_window_alerts", v.sql(_ALERT_SQL, "tx", **_STREAMS,
                                      metrics=_METRICS_SQL.format(_CLOSED_DAYS)))
 def stream_window_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spark = _sized(spark, sf_dir, "orders", "lineitem")
     detail = _as_stream(spark, _detail(spark, sf_dir))
     found = window_alerts(window_metrics(detail, delay=BOUNDS.delay))
     return _windows(_to_table(spark, found, "stream-alerts"))
@@ -258,6 +276,7 @@ def per_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time FROM events""")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event is delivered twice."""
+    spark = _sized(spark, sf_dir, "events")
     events = _stream(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"),
         F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.readwriter import DataStreamWriter
 
+from latebook.settings import shuffle_partitions
+
 # How the detail table is partitioned, and the default trigger.
 DETAIL_PARTITIONS = ("reference_month", "year", "month", "inadimplente")
 METRIC_PARTITIONS = ("reference_month", "reference_quarter")
@@ -23,6 +25,23 @@ STATE_CONF = {
 }
 
 
+def sized_session(spark: SparkSession, input_bytes: int) -> SparkSession:
+    """A session like the given one whose stateful operators have partitions by input size.
+
+    A stream keeps its number of partitions for as long as its checkpoint lives and adaptive
+    execution does not merge them, so the default is too many for little state and too few
+    for much.
+    """
+    sized = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(key):
+            sized.conf.set(key, value)
+    # shuffle_partitions gives at least two partitions per core; state wants one.
+    cores = -(-spark.sparkContext.defaultParallelism // 2)
+    sized.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes, cores)))
+    return sized
+
+
 def start_table(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
                 trigger: str | None = TRIGGER, spread: int = 2) -> StreamingQuery:
     """Append a stream to a Parquet table; without a trigger, process what is there and stop.
