@@ -17,6 +17,7 @@ from latebook.operators.settlement import settle
 from latebook.operators.stamps import audit_stamp
 from latebook.schemas import PROCESS_LOG
 from latebook.sinks.tables import append_error_records, append_process_log, write_partitioned
+from latebook.sources.files import list_files
 from latebook.workspace import new_folder
 
 STAGES = ("click", "error", "purchase", "signup", "view")
@@ -180,6 +181,19 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.records_by_component(v.proc_log(spark, sf_dir))
 
 
+@query("job_status", v.sql("""
+SELECT process_name, CASE WHEN arg_max(status, (start_time, process_id)) = 'SUCESSO' THEN 1
+                          ELSE 0 END AS job_status
+FROM proc_log GROUP BY process_name""", "proc_log"))
+def job_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.job_status(v.proc_log(spark, sf_dir))
+
+
+@query("data_size")
+def data_size(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return m.data_size(list_files(spark, sf_dir, "parquet"))
+
+
 @query("failures_24h", v.sql("""
 SELECT entity_name, epoch_hour, failures,
        CAST(sum(failures) OVER (PARTITION BY entity_name ORDER BY epoch_hour

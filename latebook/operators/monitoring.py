@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from latebook.operators.control import with_duration
-from latebook.profiles import STATUS_ERROR
+from latebook.profiles import STATUS_ERROR, STATUS_OK
 
 
 def duration_percentile(logs: DataFrame, p: float = 0.95) -> DataFrame:
@@ -29,6 +29,20 @@ def records_by_component(logs: DataFrame) -> DataFrame:
         F.sum("total_records_error").alias("records_error"))
 
 
+def job_status(logs: DataFrame) -> DataFrame:
+    """1 for a component whose last run succeeded, else 0."""
+    last = F.max_by("status", F.struct("start_time", "process_id"))
+    return logs.groupBy("process_name").agg(
+        F.when(last == STATUS_OK, 1).otherwise(0).alias("job_status"))
+
+
+def data_size(files: DataFrame) -> DataFrame:
+    """Files and bytes per table; a table is a file or folder named ``<table>.parquet``."""
+    table = F.regexp_extract("file_path", r"([^/]+)\.parquet(?:/|$)", 1)
+    return files.groupBy(table.alias("table_name")).agg(
+        F.count(F.lit(1)).alias("n_files"), F.sum("file_size").alias("data_size_bytes"))
+
+
 def failures_24h(logs: DataFrame) -> DataFrame:
     """Per entity and hour: failed runs of the 24 hours that end with that hour.
 

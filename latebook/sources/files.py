@@ -75,13 +75,17 @@ def read_json(spark: SparkSession, path: str, entity: str, multi_line: bool = Tr
 
 
 def read_raw(spark: SparkSession, folder: str, entity: str, *, newest_only: bool = False,
-             multi_line: bool = True) -> DataFrame | None:
-    """Raw records of a landing folder with their source file, or None without files."""
-    schema, fmt = raw_schema(entity), landing_format(spark, folder)
+             multi_line: bool = True, fallback: str | None = None) -> DataFrame | None:
+    """Raw records of a landing folder with their source file, or None without files.
+
+    ``fallback`` is a JSON file or folder to read when the landing folder has no files.
+    """
+    schema, fmt, path = raw_schema(entity), landing_format(spark, folder), folder
     if fmt is None:
-        return None
-    path = folder
-    if newest_only:
+        if fallback is None:
+            return None
+        fmt, path = "json", fallback
+    elif newest_only:
         path = latest_file(list_files(spark, folder, fmt)).first()["file_path"]
     if fmt == "json":
         raw = read_json(spark, path, entity, multi_line)

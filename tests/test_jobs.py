@@ -217,3 +217,25 @@ def test_source_columns_of_both_schemas(spark, lake):
     rows, issue = read_parquet(spark, bad, RAW_TRANSACTIONS, **args)
     assert rows.count() == 3 and issue.first()["error_type"] == "SCHEMA_MISMATCH"
     assert rows.select(F.sum("id")).first()[0] == 3
+
+
+def test_formats_and_fallback_of_a_landing_folder(spark, lake):
+    from latebook.schemas import RAW_TRANSACTIONS
+    from latebook.sources.files import landing_format, read_raw, read_table
+    folder = lake.root / "landing"
+    folder.mkdir()
+    put(lake.root / "root", "transactions.json", [tx("root", "c", "2024-01-01")])
+    fallback = str(lake.root / "root/transactions.json")
+    assert read_raw(spark, str(folder), "transactions") is None
+    read = read_raw(spark, str(folder), "transactions", fallback=fallback)
+    assert read.first()["transaction_id"] == "root"
+    put(folder, "a.json", [tx("json", "c", "2024-01-01")])
+    assert landing_format(spark, str(folder)) == "json"
+    spark.createDataFrame([("parquet", "c", 1.0, "2024-01-01")], RAW_TRANSACTIONS).write.parquet(
+        str(folder / "b"))
+    # Parquet files come first.
+    assert landing_format(spark, str(folder)) == "parquet"
+    with pytest.raises(ValueError):
+        read_raw(spark, str(folder), "customers")
+    spark.range(2).write.option("path", str(lake.root / "t")).saveAsTable(f"known_{lake.tag}")
+    assert read_table(spark, f"known_{lake.tag}", "nowhere").count() == 2
