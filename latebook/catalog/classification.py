@@ -178,8 +178,7 @@ _SPEC = {"spec": """
 
 
 def _spec(spark: SparkSession, sf_dir: str) -> DataFrame:
-    joined = r.join_transactions_payments(*_views(spark, sf_dir), v.AS_OF)
-    return r.classify_spec(joined, v.AS_OF)
+    return r.classify_spec_tables(*_views(spark, sf_dir), v.AS_OF)
 
 
 @query("classify_spec", v.sql("""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -11,9 +11,11 @@ from latebook.operators.quarantine import error_records
 from latebook.operators.stamps import audit_stamp
 from latebook.plans.run import Run, recorded
 from latebook.schemas import ENTITY_KEY, raw_schema
+from latebook.sinks.tables import write_plain
 from latebook.sinks.upsert import upsert
 from latebook.sources.files import CORRUPT, landing_format, read_raw, split_corrupt
 from latebook.streaming.runner import finish, start_batches
+from latebook.workspace import new_folder
 
 PARTITIONS = ("year", "month")
 DATE_COLUMN = {"transactions": ("date", "transaction_date"),
@@ -34,17 +36,19 @@ def to_bronze(raw: DataFrame, entity: str, run: Run) -> DataFrame:
 
 
 def _load(raw: DataFrame, run: Run, table: str) -> None:
-    """One set of files: broken records to quarantine, the others into the table."""
-    good, bad = split_corrupt(raw)
-    seen, broken = Observation(), Observation()
+    """One set of files: broken records to quarantine, the others into the table.
+
+    The parsed records are staged first, so that each file is parsed once.
+    """
+    spark = run.spark
+    staged = write_plain(raw, new_folder(spark, f"parsed-{run.entity}"))
+    good, bad = split_corrupt(spark.read.schema(raw.schema).parquet(staged))
     run.errors(error_records(
-        bad.observe(broken, F.count(F.lit(1)).alias("n")), error_type="DATA_VALIDATION_ERROR",
-        entity=run.entity, process_id=run.process_id, error_time=run.started,
-        source_file=F.col("source_file"), message="Registro ilegível"))
-    rows = to_bronze(good.observe(seen, F.count(F.lit(1)).alias("n")), run.entity, run)
-    upsert(run.spark, table, rows, ["hash_chave"], [F.col("source_file").desc()],
-           PARTITIONS, run.output_path)
-    run.count(processed=seen.get["n"], failed=broken.get["n"])
+        bad, error_type="DATA_VALIDATION_ERROR", entity=run.entity, process_id=run.process_id,
+        error_time=run.started, source_file=F.col("source_file"), message="Registro ilegível"))
+    upsert(spark, table, to_bronze(good, run.entity, run), ["hash_chave"],
+           [F.col("source_file").desc()], PARTITIONS, run.output_path)
+    run.count(processed=good.count())
 
 
 def ingest(run: Run, table: str, *, multi_line: bool = True, newest_only: bool = False) -> None:

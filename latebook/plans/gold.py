@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -40,25 +40,20 @@ def publish(run: Run, transactions: DataFrame, payments: DataFrame) -> Published
     spark, out = run.spark, run.output_path
     with recorded(run):
         with run.phase("data_validation"):
-            worthless = Observation()
-            rows = nonpositive_payments(payments).observe(
-                worthless, F.count(F.lit(1)).alias("n"))
             run.errors(error_records(
-                rows, error_type="INVALID_PAYMENT", entity="payments",
-                process_id=run.process_id, error_time=run.started))
+                nonpositive_payments(payments), error_type="INVALID_PAYMENT",
+                entity="payments", process_id=run.process_id, error_time=run.started))
         with run.phase("data_transformation"):
             late = late_rows(transactions, payments, window)
             staged = write_plain(late, new_folder(spark, "late-rows"))
             late = spark.read.schema(late.schema).parquet(staged)
             result = classify_rows(late, transactions, window, run.process_id)
         with run.phase("data_writing"):
-            written = Observation()
             month = window.reference_month
             clients, metrics_at, alerts_at, violations_at = (
                 f"{out}/inadimplencia_{name}"
                 for name in ("clientes", "metricas", "alertas", "violacoes"))
-            replace_slice(result.observe(written, F.count(F.lit(1)).alias("n")), clients,
-                          "reference_month", month, ["inadimplente"])
+            replace_slice(result, clients, "reference_month", month, ["inadimplente"])
             customers = spark.read.schema(result.schema).parquet(clients).filter(
                 F.col("reference_month") == month)
             metrics = g.delinquency_metrics(customers).withColumns({
@@ -72,7 +67,7 @@ def publish(run: Run, transactions: DataFrame, payments: DataFrame) -> Published
             replace_slice(violations, violations_at, "reference_month", month)
         all_metrics = g.month_over_month(spark.read.schema(metrics.schema).parquet(metrics_at))
         passed = quality_gate(customers, all_metrics, month).first()["success"] == 1
-        run.count(processed=written.get["n"], failed=worthless.get["n"])
+        run.count(processed=customers.count())
 
     def written_month(schema: StructType, path: str) -> DataFrame:
         return spark.read.schema(schema).parquet(path).filter(F.col("reference_month") == month)

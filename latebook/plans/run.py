@@ -8,7 +8,8 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from latebook.operators.control import process_log_row
 from latebook.operators.quarantine import error_records
@@ -59,7 +60,15 @@ class Run:
             self.log[f"total_{name}"] = int(self.log.get(f"total_{name}") or 0) + n
 
     def errors(self, records: DataFrame) -> None:
-        append_error_records(records, f"{self.control}/error_records")
+        """Append error records and count them.
+
+        They are counted in the writing tasks; a count further up could be off after a
+        lost executor, because Spark repeats the tasks before a shuffle.
+        """
+        written = Observation()
+        append_error_records(records.observe(written, F.count(F.lit(1)).alias("n")),
+                             f"{self.control}/error_records")
+        self.count(failed=written.get["n"])
 
     def nothing_to_do(self, reason: str) -> None:
         self.log.update(status=EMPTY, error_message=reason)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latebook.operators import cleaning, quarantine
@@ -29,18 +29,14 @@ def refine(run: Run, bronze: DataFrame) -> DataFrame:
             unique = cleaning.unique_valid(bronze, entity, newest)
             staged = write_plain(unique, new_folder(spark, f"unique-{entity}"))
             unique = spark.read.schema(unique.schema).parquet(staged)
-            found = Observation()
-            issues = quarantine.issues(bronze, unique, entity)
             run.errors(quarantine.error_records(
-                issues.observe(found, F.count(F.lit(1)).alias("n")),
+                quarantine.issues(bronze, unique, entity),
                 error_type=F.col("error_type"), entity=entity, process_id=run.process_id,
                 error_time=run.started, source_file=run.input_path))
         with run.phase("data_writing"):
-            written = Observation()
             stamped = quality_stamp(cleaning.FINISH[entity](unique, run.started),
                                     process_id=run.process_id, stamped_at=run.started)
-            write_partitioned(stamped.observe(written, F.count(F.lit(1)).alias("n")),
-                              run.output_path, ["year", "month"])
+            write_partitioned(stamped, run.output_path, ["year", "month"])
             silver = spark.read.schema(stamped.schema).parquet(run.output_path)
         with run.phase("data_validation"):
             failures = failed_checks(run_suite(silver, SUITES[entity]))
@@ -50,5 +46,5 @@ def refine(run: Run, bronze: DataFrame) -> DataFrame:
                 failures, error_type="DATA_QUALITY_ERROR", entity=entity,
                 process_id=run.process_id, error_time=run.started, source_file=run.output_path,
                 message=message))
-        run.count(processed=written.get["n"], failed=found.get["n"])
+        run.count(processed=silver.count())
     return silver
