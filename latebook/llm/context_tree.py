@@ -34,10 +34,12 @@ from latebook.llm.tokens import slices
 DEPTH = 4
 #: Context bytes that a subtree shares; its runs are at most 256 ** (DEPTH - 2 + 1).
 SHARED = 2
-#: Bytes of text in a block, characters in a step of a task, and runs weighted together.
+#: Bytes of text in a block, characters in a step of a task, runs that a task counts before it
+#: merges them, and runs weighted together.
 BLOCK = 16 << 20
-STEP = 2_000_000
-BUNDLE = 1 << 20
+STEP = 1_000_000
+HELD = 1 << 20
+BUNDLE = 1 << 16
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _GAP = bytes(DEPTH)
@@ -96,10 +98,10 @@ def count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 keys.append(distinct)
                 counts.append(n if learn else np.zeros(len(n), np.int64))
                 held += len(n)
-                if held > 4 * BUNDLE:
+                if held > 2 * HELD:
                     distinct, n = merged(keys, counts)
                     keys, counts, held = [distinct], [n], len(n)
-                    if held > 2 * BUNDLE:
+                    if held > HELD:
                         yield batch_of(distinct, n)
                         keys, counts, held = [], [], 0
     if keys:
