@@ -17,7 +17,6 @@ from latebook.operators.settlement import settle
 from latebook.operators.stamps import audit_stamp
 from latebook.schemas import PROCESS_LOG
 from latebook.sinks.tables import append_error_records, append_process_log, write_partitioned
-from latebook.sources.files import list_files
 from latebook.workspace import new_folder
 
 STAGES = ("click", "error", "purchase", "signup", "view")
@@ -189,11 +188,6 @@ def job_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.job_status(v.proc_log(spark, sf_dir))
 
 
-@query("data_size")
-def data_size(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.data_size(list_files(spark, sf_dir, "parquet"))
-
-
 @query("failures_24h", v.sql("""
 SELECT entity_name, epoch_hour, failures,
        CAST(sum(failures) OVER (PARTITION BY entity_name ORDER BY epoch_hour
@@ -213,8 +207,3 @@ SELECT process_name, strftime(date_trunc('minute', start_time), '%Y-%m-%d %H:%M:
 FROM proc_log GROUP BY ALL HAVING sum(total_records_processed) > 0""", "proc_log"))
 def markers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return m.change_markers(v.proc_log(spark, sf_dir))
-
-
-@query("partition_counts")
-def partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return m.partition_counts(v.table(spark, sf_dir, "lineitem"))

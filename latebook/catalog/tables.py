@@ -77,23 +77,6 @@ def table_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _tx_rows(files.read_table(spark, "latebook_no_such_table", path))
 
 
-@query("file_metadata")
-def file_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.list_files(spark, sf_dir, "parquet")
-
-
-@query("latest_file")
-def latest_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.latest_file(files.list_files(spark, sf_dir, "parquet"))
-
-
-@query("new_file_gate", """
-SELECT CAST(1 AS BIGINT) AS payment_files, CAST(1 AS BIGINT) AS transaction_files,
-       (SELECT count(*) FROM orders) + (SELECT count(*) FROM lineitem) > 0 AS has_files""")
-def new_file_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return files.new_file_gate(files.list_files(spark, sf_dir, "parquet"), MARKS)
-
-
 @query("route_entity", """
 SELECT page_id, CASE WHEN contains(lower(url), 'transaction') THEN 'transactions'
                      WHEN contains(lower(url), 'payment') THEN 'payments' END AS entity

@@ -13,7 +13,7 @@ from latebook.plans.run import Run, recorded
 from latebook.schemas import ENTITY_KEY, raw_schema
 from latebook.sinks.tables import write_plain
 from latebook.sinks.upsert import upsert
-from latebook.sources.files import CORRUPT, landing_format, read_raw, split_corrupt
+from latebook.sources.files import CORRUPT, landing_formats, read_raw, split_corrupt
 from latebook.streaming.runner import finish, start_batches
 from latebook.workspace import new_folder
 
@@ -36,32 +36,54 @@ def to_bronze(raw: DataFrame, entity: str, run: Run) -> DataFrame:
 
 
 def _load(raw: DataFrame, run: Run, table: str) -> None:
-    """One set of files: broken records to quarantine, the others into the table.
+    """One set of files: broken records and those without a key to quarantine, the others into
+    the table.
 
+    All records without a key share one hash, so in the table only one of them would be left.
     The parsed records are staged first, so that each file is parsed once.
     """
-    spark = run.spark
+    spark, key = run.spark, ENTITY_KEY[run.entity]
     staged = write_plain(raw, new_folder(spark, f"parsed-{run.entity}"))
-    good, bad = split_corrupt(spark.read.schema(raw.schema).parquet(staged))
-    run.errors(error_records(
-        bad, error_type="DATA_VALIDATION_ERROR", entity=run.entity, process_id=run.process_id,
-        error_time=run.started, source_file=F.col("source_file"), message="Registro ilegível"))
+    parsed = spark.read.schema(raw.schema).parquet(staged)
+    good, bad = split_corrupt(parsed)
+    for rejected, message in ((bad, "Registro ilegível"),
+                              (good.filter(F.col(key).isNull()), f"Registro sem {key}")):
+        run.errors(error_records(
+            rejected, error_type="DATA_VALIDATION_ERROR", entity=run.entity,
+            process_id=run.process_id, error_time=run.started,
+            source_file=F.col("source_file"), message=message))
+    good = good.filter(F.col(key).isNotNull())
     upsert(spark, table, to_bronze(good, run.entity, run), ["hash_chave"],
            [F.col("source_file").desc()], PARTITIONS, run.output_path)
-    run.count(processed=good.count())
+    run.count(processed=good.count(), files=parsed.select("source_file").distinct().count())
+
+
+def _new_files(run: Run, fmt: str, schema: T.StructType, multi_line: bool) -> DataFrame:
+    """A stream of one format's raw records with their file."""
+    stream = run.spark.readStream.format(fmt).option("pathGlobFilter", f"*.{fmt}")
+    if fmt == "json":
+        raw = (stream.option("multiLine", multi_line)
+               .option("columnNameOfCorruptRecord", CORRUPT)
+               .schema(T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())]))
+               .load(run.input_path))
+    else:
+        raw = stream.schema(schema).load(run.input_path).withColumn(
+            CORRUPT, F.lit(None).cast("string"))
+    return raw.withColumn("source_file", F.col("_metadata.file_path"))
 
 
 def ingest(run: Run, table: str, *, multi_line: bool = True, newest_only: bool = False) -> None:
-    """Bring the landing folder's new files into a bronze table.
+    """Bring the landing folder's new files of every format into a bronze table.
 
-    Spark's file stream remembers in its checkpoint which files it has taken, so a run takes
-    all that came since the last one; ``newest_only`` takes the latest file instead.
+    Spark's file stream remembers in its checkpoint which files it has taken, one for each
+    format, so a run takes all that came since the last one; ``newest_only`` takes the latest
+    file of the preferred format instead.
     """
     spark, folder = run.spark, run.input_path
     with recorded(run):
         with run.phase("file_discovery"):
-            fmt = landing_format(spark, folder)
-        if fmt is None:
+            formats = landing_formats(spark, folder)
+        if not formats:
             run.nothing_to_do("Nenhum arquivo encontrado para processamento")
             return
         with run.phase("schema_validation"):
@@ -72,17 +94,8 @@ def ingest(run: Run, table: str, *, multi_line: bool = True, newest_only: bool =
                                multi_line=multi_line)
                 _load(raw, run, table)
                 return
-            stream = (spark.readStream.format(fmt).option("pathGlobFilter", f"*.{fmt}"))
-            if fmt == "json":
-                stream = (stream.option("multiLine", multi_line)
-                          .option("columnNameOfCorruptRecord", CORRUPT)
-                          .schema(T.StructType([*schema.fields,
-                                                T.StructField(CORRUPT, T.StringType())])))
-                raw = stream.load(folder)
-            else:
-                raw = stream.schema(schema).load(folder).withColumn(
-                    CORRUPT, F.lit(None).cast("string"))
-            raw = raw.withColumn("source_file", F.col("_metadata.file_path"))
-            finish(start_batches(
-                raw, lambda batch, _: _load(batch, run, table),
-                f"{run.control}/checkpoints/{run.entity}", trigger=None))
+            for fmt in formats:
+                finish(start_batches(
+                    _new_files(run, fmt, schema, multi_line),
+                    lambda batch, _: _load(batch, run, table),
+                    f"{run.control}/checkpoints/{run.entity}-{fmt}", trigger=None))

@@ -84,11 +84,11 @@ def recorded(run: Run) -> Iterator[Run]:
         if run.log["status"] == "STARTED":
             run.log["status"] = STATUS_OK
     except Exception as error:
-        run.log.update(status=STATUS_ERROR, error_message=str(error)[:2000])
+        run.log.update(status=STATUS_ERROR, error_message=str(error))
         failure = run.spark.createDataFrame([(type(error).__name__,)], "error string")
         run.errors(error_records(
             failure, error_type="PROCESS_FAILURE", entity=run.entity, process_id=run.process_id,
-            error_time=clock(), source_file=run.input_path, message=str(error)[:2000]))
+            error_time=clock(), source_file=run.input_path, message=str(error)))
         raise
     finally:
         append_process_log(process_log_row(

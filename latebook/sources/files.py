@@ -55,12 +55,14 @@ def new_file_gate(files: DataFrame, marks: Mapping[str, str] = ENTITY_MARKS) ->
     ).withColumn("has_files", (F.col("payment_files") + F.col("transaction_files")) > 0)
 
 
+def landing_formats(spark: SparkSession, folder: str) -> list[str]:
+    """The formats that a folder holds files of, Parquet first."""
+    return [fmt for fmt in FORMATS if not list_files(spark, folder, fmt).isEmpty()]
+
+
 def landing_format(spark: SparkSession, folder: str) -> str | None:
-    """The format to ingest from a folder: Parquet if there is any, else JSON, else none."""
-    for fmt in FORMATS:
-        if not list_files(spark, folder, fmt).isEmpty():
-            return fmt
-    return None
+    """The preferred format of a folder: Parquet if there is any, else JSON, else none."""
+    return next(iter(landing_formats(spark, folder)), None)
 
 
 def read_json(spark: SparkSession, path: str, entity: str, multi_line: bool = True) -> DataFrame:

@@ -239,3 +239,40 @@ def test_formats_and_fallback_of_a_landing_folder(spark, lake):
         read_raw(spark, str(folder), "customers")
     spark.range(2).write.option("path", str(lake.root / "t")).saveAsTable(f"known_{lake.tag}")
     assert read_table(spark, f"known_{lake.tag}", "nowhere").count() == 2
+
+
+def test_records_without_key_and_files_of_both_formats(spark, tmp_path, as_of):
+    """One record in six has its id; a Parquet file beside the JSON files hides none of them."""
+    import json
+
+    from latebook.plans.bronze import ingest
+    from latebook.plans.run import Run
+    from latebook.schemas import raw_schema
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+
+    def record(key, customer):
+        return {"transaction_id": key, "customer_id": customer, "amount": 10.0, "date": "2024-05-01"}
+
+    (folder / "a.json").write_text(json.dumps([record("1", "A")] + [record(None, c) for c in "BCDEF"]))
+    spark.createDataFrame([("2", "G", 1.0, "2024-05-02")],
+                          "transaction_id string, customer_id string, amount double, date string"
+                          ).select([c for c in raw_schema("transactions").names if c in (
+                              "transaction_id", "customer_id", "amount", "date")]
+                          ).write.mode("append").parquet(str(tmp_path / "p"))
+    part = next((tmp_path / "p").glob("*.parquet"))
+    (folder / "b.parquet").write_bytes(part.read_bytes())
+    (folder / "c.json").write_text(json.dumps([record("3", "H")]))
+    run = Run(spark, str(tmp_path / "control"), "LandingToBronze", "transactions", as_of,
+              str(folder), str(tmp_path / "bronze"))
+    ingest(run, "latebook_bronze_keys")
+    try:
+        stored = {r["transaction_id"] for r in spark.table("latebook_bronze_keys").collect()}
+        errors = spark.read.parquet(str(tmp_path / "control" / "error_records"))
+        log = spark.read.parquet(str(tmp_path / "control" / "process_logs")).first()
+        assert stored == {"1", "2", "3"} and errors.count() == 5
+        assert log["total_records_processed"] == 3 and log["total_records_error"] == 5
+        assert log["total_files_processed"] == 3
+    finally:
+        spark.sql("DROP TABLE IF EXISTS latebook_bronze_keys")
