@@ -15,21 +15,21 @@ from latebook.operators import monitoring as m
 from latebook.operators.governance import retained, role_view
 from latebook.operators.settlement import settle
 from latebook.operators.stamps import audit_stamp
+from latebook.profiles import GATE_THRESHOLDS
 from latebook.schemas import PROCESS_LOG
 from latebook.sinks.tables import append_error_records, append_process_log, write_partitioned
 from latebook.workspace import new_folder
 
-STAGES = ("click", "error", "purchase", "signup", "view")
-LIMITS = {"click": 0.05, "purchase": 0.05, "signup": 0.02}
+STAGES = tuple(GATE_THRESHOLDS)
 TIME = "yyyy-MM-dd HH:mm:ss"
 
 
 @query("latest_process", v.sql("""
-SELECT entity_name, run_date, process_id, process_name, status, total_records_processed,
-       total_records_error FROM last_run""", "last_run"))
+SELECT stage_name, entity_name, run_date, process_id, process_name, status,
+       total_records_processed, total_records_error FROM last_run""", "last_run"))
 def latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.latest_process(v.proc_log(spark, sf_dir)).select(
-        "entity_name", "run_date", "process_id", "process_name", "status",
+        "stage_name", "entity_name", "run_date", "process_id", "process_name", "status",
         "total_records_processed", "total_records_error")
 
 
@@ -48,16 +48,16 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("run_gate", v.sql("""
-SELECT entity_name, run_date, status, total_records_processed, total_records_error,
-       duration_seconds, round(error_rate, 4) AS error_rate, threshold,
+SELECT stage_name, entity_name, run_date, status, total_records_processed,
+       total_records_error, duration_seconds, round(error_rate, 4) AS error_rate, threshold,
        status = 'SUCESSO' OR coalesce(error_rate <= threshold, FALSE) AS passed
 FROM (SELECT *, CASE WHEN total_records_processed > 0
                      THEN total_records_error / total_records_processed END AS error_rate,
-             CASE entity_name WHEN 'click' THEN 0.05 WHEN 'purchase' THEN 0.05
-                  WHEN 'signup' THEN 0.02 ELSE 0.1 END::DOUBLE AS threshold
+             CASE stage_name WHEN 'landing_to_bronze' THEN 0.05 WHEN 'bronze_to_silver' THEN 0.05
+                  WHEN 'silver_to_gold' THEN 0.02 ELSE 0.1 END::DOUBLE AS threshold
       FROM last_run)""", "last_run"))
 def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.run_gate(v.proc_log(spark, sf_dir), LIMITS)
+    return c.run_gate(v.proc_log(spark, sf_dir))
 
 
 @query("overall_status", v.sql("""
@@ -70,10 +70,10 @@ def overall(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SUMMARY_SQL = ",\n       ".join(
-    f"count(*) FILTER (entity_name = '{s}') AS {s}_runs, "
-    f"CAST(coalesce(sum(total_records_processed) FILTER (entity_name = '{s}'), 0) AS BIGINT) "
+    f"count(*) FILTER (stage_name = '{s}') AS {s}_runs, "
+    f"CAST(coalesce(sum(total_records_processed) FILTER (stage_name = '{s}'), 0) AS BIGINT) "
     f"AS {s}_records, "
-    f"CAST(coalesce(sum(total_records_error) FILTER (entity_name = '{s}'), 0) AS BIGINT) "
+    f"CAST(coalesce(sum(total_records_error) FILTER (stage_name = '{s}'), 0) AS BIGINT) "
     f"AS {s}_errors" for s in STAGES)
 
 
@@ -81,7 +81,7 @@ _SUMMARY_SQL = ",\n       ".join(
 SELECT run_date, {_SUMMARY_SQL}
 FROM proc_log GROUP BY run_date""", "proc_log"))
 def run_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return c.run_summary(v.proc_log(spark, sf_dir), STAGES)
+    return c.run_summary(v.proc_log(spark, sf_dir))
 
 
 @query("process_log_append", v.sql("""

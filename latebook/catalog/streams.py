@@ -1,7 +1,7 @@
 """Streaming queries: the given tables as streams, run until all available rows are done.
 
-A stream emits an unpaid transaction, or a window, only once the watermark has passed its
-end, so the oracles leave out what the last watermark has not closed.
+A stream emits an unpaid transaction only once the watermark has passed its time to pay, so
+the oracles leave out what the last watermark has not closed.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from latebook.catalog import views as v
 from latebook.catalog.classification import profile_rows
@@ -19,16 +20,17 @@ from latebook.operators.rules import stream_profile
 from latebook.schemas import RAW_TRANSACTIONS
 from latebook.sources.files import list_files
 from latebook.streaming import sources as s
-from latebook.streaming.batches import metrics_writer
+from latebook.streaming.batches import metrics_writer, window_writer
 from latebook.streaming.detail import Bounds, settle_streams
-from latebook.streaming.metrics import window_alerts, window_metrics
+from latebook.streaming.metrics import current_windows, window_alerts, window_metrics
 from latebook.streaming.runner import (
-    DETAIL_PARTITIONS, METRIC_PARTITIONS, finish, sized_session, start_batches, start_table,
+    DETAIL_PARTITIONS, finish, sized_session, start_batches, start_table,
 )
 from latebook.workspace import new_folder
 
 BOUNDS = Bounds(delay="2 hours", within="90 days")
 TIME = "yyyy-MM-dd HH:mm:ss"
+FILES_PER_BATCH = 100
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -77,16 +79,24 @@ def _to_table(spark: SparkSession, df: DataFrame, name: str,
     return spark.read.schema(df.schema).parquet(f"{path}/table")
 
 
-def _detail(spark: SparkSession, sf_dir: str, how: str = "left_outer") -> DataFrame:
-    spark = _sized(spark, sf_dir, "orders", "lineitem")
-    joined = settle_streams(transactions(spark, sf_dir), payments(spark, sf_dir), BOUNDS, how)
-    return _to_table(spark, stream_profile(joined, v.AS_OF), "stream-detail", DETAIL_PARTITIONS)
+def _settled(spark: SparkSession, sf_dir: str, how: str = "left_outer") -> DataFrame:
+    sized = _sized(spark, sf_dir, "orders", "lineitem")
+    return settle_streams(transactions(sized, sf_dir), payments(sized, sf_dir), BOUNDS, how)
 
 
-def _as_stream(spark: SparkSession, detail: DataFrame) -> DataFrame:
-    """The detail table, as written so far, as a stream."""
-    path = detail.inputFiles()[0].split("/table/")[0] + "/table"
-    return s.file_stream(spark, path, detail.schema, "parquet", max_files=None)
+def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _to_table(spark, stream_profile(_settled(spark, sf_dir), v.AS_OF), "stream-detail",
+                     DETAIL_PARTITIONS)
+
+
+def _detail_stream(spark: SparkSession, sf_dir: str, max_files: int | None) -> DataFrame:
+    """The detail table, as written so far, as a stream of its own."""
+    rows = stream_profile(_settled(spark, sf_dir), v.AS_OF)
+    path = new_folder(spark, "stream-detail")
+    finish(start_table(rows, f"{path}/table", f"{path}/checkpoint", DETAIL_PARTITIONS,
+                       trigger=None))
+    sized = _sized(spark, sf_dir, "orders", "lineitem")
+    return s.file_stream(sized, f"{path}/table", rows.schema, "parquet", max_files=max_files)
 
 
 _STREAMS = {
@@ -132,16 +142,12 @@ def _pairs(df: DataFrame) -> DataFrame:
 @query("stream_join_inner", v.sql(
     f"{_PAIR} FROM outer_rows WHERE payment_id IS NOT NULL", "tx", **_STREAMS))
 def stream_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark = _sized(spark, sf_dir, "orders", "lineitem")
-    return _pairs(_to_table(spark, settle_streams(
-        transactions(spark, sf_dir), payments(spark, sf_dir), BOUNDS, "inner"), "stream-inner"))
+    return _pairs(_to_table(spark, _settled(spark, sf_dir, "inner"), "stream-inner"))
 
 
 @query("stream_join_outer", v.sql(f"{_PAIR} FROM closed", "tx", **_STREAMS))
 def stream_join_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark = _sized(spark, sf_dir, "orders", "lineitem")
-    return _pairs(_to_table(spark, settle_streams(
-        transactions(spark, sf_dir), payments(spark, sf_dir), BOUNDS), "stream-outer"))
+    return _pairs(_to_table(spark, _settled(spark, sf_dir), "stream-outer"))
 
 
 _DETAIL_SQL = """
@@ -167,10 +173,10 @@ def stream_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("stream_parquet_sink", v.sql("""
 SELECT '2000-06' AS reference_month, CAST(year(transaction_date) AS INTEGER) AS year,
        CAST(month(transaction_date) AS INTEGER) AS month, inadimplente, count(*) AS n
-FROM detail WHERE payment_id IS NOT NULL GROUP BY ALL""", "tx", **_STREAMS))
+FROM detail GROUP BY ALL""", "tx", **_STREAMS))
 def stream_parquet_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per partition of the table that the settled stream writes."""
-    return _detail(spark, sf_dir, "inner").groupBy(
+    return _detail(spark, sf_dir).groupBy(
         "reference_month", F.col("year").cast("int").alias("year"),
         F.col("month").cast("int").alias("month"), "inadimplente",
     ).agg(F.count(F.lit(1)).alias("n"))
@@ -191,12 +197,10 @@ _ALERT_SQL = """
 SELECT window_start, window_end, reference_month, reference_quarter, total_transactions,
        total_inadimplentes, percentual_inadimplentes
 FROM metrics WHERE percentual_inadimplentes > 20"""
-_CLOSED_DAYS = ("(SELECT * FROM detail WHERE transaction_date < "
-                "(SELECT max(transaction_date) FROM detail))")
 
 
 def _windows(df: DataFrame) -> DataFrame:
-    shown = df.drop("window").withColumns({
+    shown = df.withColumns({
         "window_start": F.date_format("window_start", TIME),
         "window_end": F.date_format("window_end", TIME),
         "percentual_inadimplentes": money("percentual_inadimplentes", 4)})
@@ -205,23 +209,26 @@ def _windows(df: DataFrame) -> DataFrame:
     return shown
 
 
+def _stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A second stream reads the detail table in several batches and keeps its windows."""
+    metrics = window_metrics(_detail_stream(spark, sf_dir, FILES_PER_BATCH))
+    path = new_folder(spark, "stream-metrics")
+    finish(start_batches(metrics, window_writer(f"{path}/states"), f"{path}/checkpoint",
+                         trigger=None, mode="update"))
+    states = T.StructType([*metrics.schema.fields, T.StructField("batch", T.LongType())])
+    return current_windows(spark.read.schema(states).parquet(f"{path}/states"))
+
+
 @query("stream_window_metrics", v.sql("SELECT * FROM metrics", "tx", **_STREAMS,
-                                      metrics=_METRICS_SQL.format(_CLOSED_DAYS)))
+                                      metrics=_METRICS_SQL.format("detail")))
 def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A second stream reads the detail table, so the join state is kept once."""
-    spark = _sized(spark, sf_dir, "orders", "lineitem")
-    detail = _as_stream(spark, _detail(spark, sf_dir))
-    metrics = window_metrics(detail, delay=BOUNDS.delay)
-    return _windows(_to_table(spark, metrics, "stream-metrics", METRIC_PARTITIONS))
+    return _windows(_stream_windows(spark, sf_dir))
 
 
 @query("stream_window_alerts", v.sql(_ALERT_SQL, "tx", **_STREAMS,
-                                     metrics=_METRICS_SQL.format(_CLOSED_DAYS)))
+                                     metrics=_METRICS_SQL.format("detail")))
 def stream_window_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    spark = _sized(spark, sf_dir, "orders", "lineitem")
-    detail = _as_stream(spark, _detail(spark, sf_dir))
-    found = window_alerts(window_metrics(detail, delay=BOUNDS.delay))
-    return _windows(_to_table(spark, found, "stream-alerts"))
+    return _windows(window_alerts(_stream_windows(spark, sf_dir)))
 
 
 _PROFILE = {"flagged": """
@@ -260,7 +267,7 @@ def per_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Metrics row and delinquent rows that the batch function stored for each batch."""
     path = new_folder(spark, "batches")
     write = metrics_writer(path, clock=lambda: dt.datetime.combine(v.AS_OF, dt.time()))
-    finish(start_batches(_as_stream(spark, _detail(spark, sf_dir)), write,
+    finish(start_batches(_detail_stream(spark, sf_dir, None), write,
                          f"{path}/checkpoint", trigger=None))
     rows = spark.read.parquet(f"{path}/defaulters_details").groupBy(
         F.col("batch").cast("long").alias("batch_id")).agg(F.count(F.lit(1)).alias("detail_rows"))
@@ -276,8 +283,7 @@ def per_batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT event_id, user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS time FROM events""")
 def stream_dedupe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event is delivered twice."""
-    spark = _sized(spark, sf_dir, "events")
-    events = _stream(spark, sf_dir, "events").select(
+    events = _stream(_sized(spark, sf_dir, "events"), sf_dir, "events").select(
         "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"),
         F.explode(F.array(F.lit(1), F.lit(2))).alias("delivery"))
     unique = s.unique_within(events, ["event_id"], "ts", "1 hour").drop("delivery")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from latebook.functions import due_date, parse_timestamp
 from latebook.operators.cleaning import dedupe
-from latebook.profiles import AnalysisWindow
+from latebook.profiles import GATE_THRESHOLDS, AnalysisWindow
 
 AS_OF = dt.date(2000, 6, 15)
 WINDOW = AnalysisWindow(AS_OF)
@@ -96,6 +96,8 @@ def proc_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select(
         F.sha2(event.cast("string"), 256).alias("process_id"),
         F.concat(F.lit("Stage_"), kind).alias("process_name"), kind.alias("entity_name"),
+        F.element_at(F.array(*map(F.lit, GATE_THRESHOLDS)), (event % 3 + 1).cast("int"))
+        .alias("stage_name"),
         F.col("ts").alias("start_time"),
         (F.col("ts") + F.make_dt_interval(secs=seconds)).alias("end_time"),
         (event % 1000).alias("total_records_processed"),
@@ -179,6 +181,8 @@ SQL_PARTS = {
     "proc_log": """
   SELECT sha256(CAST(event_id AS VARCHAR)) AS process_id,
          'Stage_' || event_type AS process_name, event_type AS entity_name,
+         ['landing_to_bronze', 'bronze_to_silver', 'silver_to_gold'][event_id % 3 + 1]
+           AS stage_name,
          ts AS start_time, ts + to_seconds(CAST(round(value) AS BIGINT)) AS end_time,
          CAST(round(value) AS BIGINT) AS duration_seconds,
          event_id % 1000 AS total_records_processed,
@@ -188,7 +192,7 @@ SQL_PARTS = {
   FROM events""",
     "last_run": """
   SELECT * FROM proc_log
-  QUALIFY row_number() OVER (PARTITION BY entity_name, run_date
+  QUALIFY row_number() OVER (PARTITION BY stage_name, entity_name, run_date
           ORDER BY start_time DESC, process_id DESC) = 1""",
     "error_log": """
   SELECT substr(process_id, 1, 12) || '-' || lpad(CAST(n AS VARCHAR), 3, '0') AS error_id,

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from latebook.profiles import GATE_DEFAULT, STATUS_ERROR, STATUS_OK
+from latebook.profiles import GATE_DEFAULT, GATE_THRESHOLDS, STATUS_ERROR, STATUS_OK
 from latebook.schemas import PROCESS_LOG
 
 
@@ -32,8 +32,12 @@ def run_date(df: DataFrame) -> DataFrame:
 
 
 def latest_process(logs: DataFrame) -> DataFrame:
-    """The last run per entity and day; ties go to the higher process id."""
-    window = Window.partitionBy("entity_name", "run_date").orderBy(
+    """The last run per stage, entity and day; ties go to the higher process id.
+
+    Logs of one stage may come without ``stage_name``.
+    """
+    stage = [c for c in ("stage_name",) if c in logs.columns]
+    window = Window.partitionBy(*stage, "entity_name", "run_date").orderBy(
         F.col("start_time").desc(), F.col("process_id").desc())
     return (run_date(logs).withColumn("_rank", F.row_number().over(window))
             .filter(F.col("_rank") == 1).drop("_rank"))
@@ -46,9 +50,9 @@ def with_duration(logs: DataFrame) -> DataFrame:
 
 
 def error_samples(logs: DataFrame, errors: DataFrame, n: int = 10) -> DataFrame:
-    """The first ``n`` errors of the last run per entity and day.
+    """The first ``n`` errors of the last run per stage, entity and day.
 
-    Filtered to those runs before ranking; the runs number one per entity and day.
+    Filtered to those runs before ranking; they number one per stage, entity and day.
     """
     last = latest_process(logs).select("process_id", "run_date")
     window = Window.partitionBy("process_id").orderBy("error_time", "error_id")
@@ -60,26 +64,34 @@ def error_samples(logs: DataFrame, errors: DataFrame, n: int = 10) -> DataFrame:
 
 
 def run_gate(logs: DataFrame, thresholds: Mapping[str, float] | None = None,
-             expected: DataFrame | None = None, default: float = GATE_DEFAULT) -> DataFrame:
-    """May the next stage start? Per entity and day, from its last run.
-
-    Passes on success, or when the error rate is within the entity's threshold; a run
-    without records passes on success only. ``expected`` (entity_name, run_date) adds
-    runs that left no log, which pass as NOT_FOUND.
+             expected: DataFrame | None = None, default: float = GATE_DEFAULT,
+             trust_status: bool = True) -> DataFrame:
+    """May the next stage start? Per stage, entity and day, from the last run.
+
+    Passes on success, or when the error rate is within the threshold of the stage; a run
+    without records passes on success only. Without ``trust_status`` a successful run that
+    has records must keep to its threshold too. Logs without ``stage_name`` have thresholds
+    by entity. ``expected`` (stage_name if the logs have it, entity_name, run_date) adds runs
+    that left no log, which pass as NOT_FOUND.
     """
+    stage = [c for c in ("stage_name",) if c in logs.columns]
+    named = F.col((stage or ["entity_name"])[0])
     limit = F.lit(float(default))
-    for entity, value in (thresholds or {}).items():
-        limit = F.when(F.col("entity_name") == entity, F.lit(float(value))).otherwise(limit)
+    for name, value in (GATE_THRESHOLDS if thresholds is None else thresholds).items():
+        limit = F.when(named == name, F.lit(float(value))).otherwise(limit)
     runs = with_duration(latest_process(logs))
     if expected is not None:
-        runs = expected.join(runs, ["entity_name", "run_date"], "left").withColumn(
+        runs = expected.join(runs, [*stage, "entity_name", "run_date"], "left").withColumn(
             "status", F.coalesce(F.col("status"), F.lit("NOT_FOUND")))
     processed, failed = F.col("total_records_processed"), F.col("total_records_error")
     rate = F.when(processed > 0, failed / processed)
-    passed = (F.col("status").isin(STATUS_OK, "NOT_FOUND")
-              | F.coalesce(rate <= limit, F.lit(False)))
+    within = F.coalesce(rate <= limit, F.lit(False))
+    excused = F.col("status") == STATUS_OK
+    if not trust_status:
+        excused = excused & rate.isNull()
+    passed = F.coalesce(excused | (F.col("status") == "NOT_FOUND"), F.lit(False)) | within
     return runs.select(
-        "entity_name", "run_date", "status", "total_records_processed", "total_records_error",
+        *stage, "entity_name", "run_date", "status", "total_records_processed", "total_records_error",
         "duration_seconds", F.round(rate, 4).alias("error_rate"), limit.alias("threshold"),
         passed.alias("passed"))
 
@@ -94,11 +106,12 @@ def overall_status(last_runs: DataFrame) -> DataFrame:
         .otherwise("Parcial").alias("overall_status"))
 
 
-def run_summary(logs: DataFrame, stages: Sequence[str]) -> DataFrame:
+def run_summary(logs: DataFrame, stages: Sequence[str] = tuple(GATE_THRESHOLDS),
+                by: str = "stage_name") -> DataFrame:
     """Per day: runs, records and errors of each stage side by side."""
     sums = []
     for stage in stages:
-        mine = F.col("entity_name") == stage
+        mine = F.col(by) == stage
         sums += [
             F.count_if(mine).alias(f"{stage}_runs"),
             F.coalesce(F.sum(F.when(mine, F.col("total_records_processed"))), F.lit(0))
@@ -108,11 +121,16 @@ def run_summary(logs: DataFrame, stages: Sequence[str]) -> DataFrame:
     return run_date(logs).groupBy("run_date").agg(*sums)
 
 
-def quality_gate(gold: DataFrame, metrics: DataFrame, reference_month: str) -> DataFrame:
+def quality_gate(gold: DataFrame, metrics: DataFrame | None,
+                 reference_month: str) -> DataFrame:
     """1 if the month has delinquents and there are metrics at all, else 0.
 
-    Both counts are one-row aggregates; they are stacked and folded, not joined.
+    Both counts are one-row aggregates; they are stacked and folded, not joined. Without
+    ``metrics``, those of ``gold`` itself are meant, which are there if it has any row.
     """
+    if metrics is None:
+        found = F.count_if(F.col("inadimplente") & (F.col("reference_month") == reference_month))
+        return gold.agg(F.when(found > 0, 1).otherwise(0).alias("success"))
     delinquents = gold.filter(
         F.col("inadimplente") & (F.col("reference_month") == reference_month)).agg(
         F.count(F.lit(1)).alias("delinquents"), F.lit(0).cast("long").alias("metrics"))

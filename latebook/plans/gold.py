@@ -39,6 +39,7 @@ def publish(run: Run, transactions: DataFrame, payments: DataFrame) -> Published
     window = AnalysisWindow(run.as_of)
     spark, out = run.spark, run.output_path
     with recorded(run):
+        run.require("bronze_to_silver")
         with run.phase("data_validation"):
             run.errors(error_records(
                 nonpositive_payments(payments), error_type="INVALID_PAYMENT",

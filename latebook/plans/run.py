@@ -3,20 +3,24 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from latebook.operators.control import process_log_row
+from latebook.operators.control import process_log_row, run_gate
 from latebook.operators.quarantine import error_records
 from latebook.profiles import STATUS_ERROR, STATUS_OK
+from latebook.schemas import PROCESS_LOG
 from latebook.sinks.tables import append_error_records, append_process_log
 
 EMPTY = "CONCLUÍDO"
+ALL = "all_entities"
 TIME = "%Y-%m-%d %H:%M:%S"
 
 
@@ -24,9 +28,16 @@ def clock() -> str:
     return dt.datetime.now().strftime(TIME)
 
 
+class GateClosed(RuntimeError):
+    """The stage before has failed, or has too many errors."""
+
+
 @dataclass
 class Run:
-    """``control`` is the folder of the control tables, shared by all stages."""
+    """``control`` is the folder of the control tables, shared by all stages.
+
+    Without ``trust_status`` the stage before must keep to its error rate even if it succeeded.
+    """
 
     spark: SparkSession
     control: str
@@ -35,6 +46,7 @@ class Run:
     as_of: dt.date
     input_path: str = ""
     output_path: str = ""
+    trust_status: bool = True
     process_id: str = field(default_factory=lambda: str(uuid.uuid4()))
     log: dict[str, object] = field(default_factory=dict)
 
@@ -42,6 +54,10 @@ class Run:
     def execution_id(self) -> str:
         return dt.datetime.combine(self.as_of, dt.time()).strftime("%Y%m%d_%H%M%S")
 
+    @property
+    def stage_name(self) -> str:
+        return re.sub(r"(?<=[a-z])(?=[A-Z])", "_", self.stage).lower()
+
     @property
     def started(self) -> str:
         return str(self.log["start_time"])
@@ -70,6 +86,26 @@ class Run:
                              f"{self.control}/error_records")
         self.count(failed=written.get["n"])
 
+    def require(self, upstream: str) -> None:
+        """Raise unless the last runs of the stage before, today and of this entity, let this
+        one start. A stage of ``ALL`` entities looks at each; a stage without a log passes.
+        """
+        try:
+            logs = self.spark.read.schema(PROCESS_LOG).parquet(f"{self.control}/process_logs")
+        except AnalysisException as error:
+            if error.getCondition() == "PATH_NOT_FOUND":
+                return
+            raise
+        mine = logs.filter((F.col("stage_name") == upstream)
+                           & F.col("start_time").startswith(self.started[:10]))
+        if self.entity != ALL:
+            mine = mine.filter(F.col("entity_name") == self.entity)
+        closed = run_gate(mine, trust_status=self.trust_status).filter(~F.col("passed"))
+        # One row per entity.
+        found = [f"{r['entity_name']} ({r['status']}, {r['error_rate']})" for r in closed.collect()]
+        if found:
+            raise GateClosed(f"{upstream}: {', '.join(sorted(found))}")
+
     def nothing_to_do(self, reason: str) -> None:
         self.log.update(status=EMPTY, error_message=reason)
 
@@ -93,6 +129,6 @@ def recorded(run: Run) -> Iterator[Run]:
     finally:
         append_process_log(process_log_row(
             run.spark, process_id=run.process_id, execution_id=run.execution_id,
-            entity_name=run.entity, process_name=f"{run.stage}_{run.entity}", end_time=clock(),
+            entity_name=run.entity, process_name=f"{run.stage}_{run.entity}", stage_name=run.stage_name, end_time=clock(),
             input_path=run.input_path, output_path=run.output_path, **run.log),
             f"{run.control}/process_logs")

@@ -25,6 +25,7 @@ def refine(run: Run, bronze: DataFrame) -> DataFrame:
     entity, spark = run.entity, run.spark
     newest = [F.col(c).desc() for c in NEWEST if c in bronze.columns]
     with recorded(run):
+        run.require("landing_to_bronze")
         with run.phase("data_transformation"):
             unique = cleaning.unique_valid(bronze, entity, newest)
             staged = write_plain(unique, new_folder(spark, f"unique-{entity}"))

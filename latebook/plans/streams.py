@@ -12,15 +12,20 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from latebook.operators.rules import stream_profile
 from latebook.schemas import STREAM_DETAIL
-from latebook.streaming.batches import alert_writer, metrics_writer
+from latebook.streaming.batches import alert_writer, metrics_writer, window_writer
 from latebook.streaming.detail import Bounds, settle_streams
 from latebook.streaming.metrics import window_alerts, window_metrics
 from latebook.streaming.runner import (
-    DETAIL_PARTITIONS, METRIC_PARTITIONS, TRIGGER, start_batches, start_table,
+    DETAIL_PARTITIONS, TRIGGER, keep_state_on_disk, start_batches, start_table,
 )
 from latebook.streaming.sources import file_stream
 
 
+# Unpaid rows come while both criteria can hold: the term of 30 days and 31 days of delay end
+# 61 days after the transaction, and criterion 1 looks 90 days back.
+PROMPT = Bounds(within="240 days", unpaid_after="61 days")
+
+
 @dataclass(frozen=True)
 class StreamJob:
     """Where the tables and checkpoints go, how often, and as of which day.
@@ -30,7 +35,7 @@ class StreamJob:
 
     output: str
     checkpoints: str
-    bounds: Bounds = Bounds()
+    bounds: Bounds = PROMPT
     trigger: str | None = TRIGGER
     as_of: dt.date | None = None
 
@@ -38,6 +43,7 @@ class StreamJob:
         return F.current_date() if self.as_of is None else F.lit(self.as_of)
 
     def detail(self, transactions: DataFrame, payments: DataFrame) -> StreamingQuery:
+        keep_state_on_disk(transactions.sparkSession)
         rows = stream_profile(settle_streams(transactions, payments, self.bounds), self._day())
         return start_table(rows, f"{self.output}/inadimplencia_detalhes",
                            f"{self.checkpoints}/inadimplencia_detalhes", DETAIL_PARTITIONS,
@@ -48,17 +54,21 @@ class StreamJob:
                            "parquet", max_files=None)
 
     def metrics(self, spark: SparkSession) -> StreamingQuery:
-        return start_table(
-            window_metrics(self.detail_stream(spark), delay=self.bounds.delay),
-            f"{self.output}/inadimplencia_metricas",
-            f"{self.checkpoints}/inadimplencia_metricas", METRIC_PARTITIONS, self.trigger)
+        """Every state of the windows; ``current_windows`` gives the newest."""
+        keep_state_on_disk(spark)
+        return start_batches(
+            window_metrics(self.detail_stream(spark)),
+            window_writer(f"{self.output}/inadimplencia_metricas"),
+            f"{self.checkpoints}/inadimplencia_metricas", self.trigger, mode="update")
 
     def alerts(self, spark: SparkSession,
                notify: Callable[[int, DataFrame], None] | None = None) -> StreamingQuery:
-        found = window_alerts(window_metrics(self.detail_stream(spark),
-                                             delay=self.bounds.delay))
+        """An alert for each state of a window that is above the limit."""
+        keep_state_on_disk(spark)
+        found = window_alerts(window_metrics(self.detail_stream(spark)))
         return start_batches(found, alert_writer(f"{self.output}/inadimplencia_alertas", notify),
-                             f"{self.checkpoints}/inadimplencia_alertas", self.trigger)
+                             f"{self.checkpoints}/inadimplencia_alertas", self.trigger,
+                             mode="update")
 
     def batch_metrics(self, spark: SparkSession) -> StreamingQuery:
         return start_batches(self.detail_stream(spark), metrics_writer(self.output),

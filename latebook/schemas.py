@@ -54,6 +54,7 @@ PROCESS_LOG = _struct(
     ("execution_id", T.StringType()),
     ("entity_name", T.StringType()),
     ("process_name", T.StringType()),
+    ("stage_name", T.StringType()),
     ("start_time", T.StringType()),
     ("end_time", T.StringType()),
     ("status", T.StringType()),

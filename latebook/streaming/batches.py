@@ -53,6 +53,13 @@ def metrics_writer(path: str, clock: Callable[[], dt.datetime] = dt.datetime.now
     return write
 
 
+def window_writer(path: str) -> Callable[[DataFrame, int], None]:
+    """A batch function that stores the windows a batch touched, for ``current_windows``."""
+    def write(df: DataFrame, batch_id: int) -> None:
+        df.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    return write
+
+
 def alert_writer(path: str, notify: Callable[[int, DataFrame], None] | None = None,
                  ) -> Callable[[DataFrame, int], None]:
     """A batch function that stores alerts, and calls ``notify`` if there are any."""

@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Bounds:
-    """How late events may arrive, and how long after its transaction a payment may come.
+    """How late events may arrive, and when a payment may come.
 
-    A payment outside of [transaction, transaction + ``within``] does not settle; the
-    state holds transactions that long. Choose at least the largest lateness threshold
+    A payment outside of [transaction - ``before``, transaction + ``within``] does not settle;
+    the state holds transactions that long. Choose at least the largest lateness threshold
     plus the payment term, or the stream misses delays that the batch rules see.
 
+    A transaction without a payment comes out ``unpaid_after`` its date, ``within`` by default.
+    With less, a payment may still follow it: ``current_rows`` then leaves the unpaid row out.
+
     ``salts`` is the number of tasks that share the payments of one transaction. The
     state keeps each transaction once per salt; 1 keeps it once and leaves a transaction
     with a large share of all payments to one task.
@@ -24,9 +27,16 @@ class Bounds:
     delay: str = "2 hours"
     within: str = "90 days"
     salts: int = 4
+    before: str = "0 days"
+    unpaid_after: str | None = None
+
+    @property
+    def waits(self) -> str:
+        return self.unpaid_after or self.within
+
 
-    def interval(self, extra: str = "") -> Column:
-        return F.expr(f"interval {self.within} {extra}")
+def _span(text: str, extra: str = "") -> Column:
+    return F.expr(f"interval {text} {extra}")
 
 
 def settle_streams(transactions: DataFrame, payments: DataFrame, bounds: Bounds = Bounds(),
@@ -34,9 +44,9 @@ def settle_streams(transactions: DataFrame, payments: DataFrame, bounds: Bounds
     """Join the streams on transaction id within the bounds.
 
     With ``left_outer``, unpaid transactions follow once the watermark has passed the end
-    of their settlement period. The function works on batch tables alike.
+    of their time to pay. The function works on batch tables alike.
     """
-    if bounds.salts == 1:
+    if bounds.salts == 1 and (how == "inner" or bounds.waits == bounds.within):
         return _join(transactions, payments, bounds, how, [])
     salt = F.pmod(F.xxhash64("payment_id"), F.lit(bounds.salts)).cast("int")
     copies = F.explode(F.array(*[F.lit(i) for i in range(bounds.salts)]))
@@ -48,12 +58,20 @@ def settle_streams(transactions: DataFrame, payments: DataFrame, bounds: Bounds
                             allowMissingColumns=True)
 
 
+def current_rows(detail: DataFrame) -> DataFrame:
+    """The stored rows without those of transactions that were unpaid at first and paid later."""
+    paid = detail.filter("payment_id is not null")
+    unpaid = detail.filter("payment_id is null").join(
+        paid.select("transaction_id").distinct(), "transaction_id", "left_anti")
+    return paid.unionByName(unpaid)
+
+
 def _join(transactions: DataFrame, payments: DataFrame, bounds: Bounds, how: str,
           also_equal: list[str]) -> DataFrame:
     left = transactions.withWatermark("transaction_date", bounds.delay).alias("t")
     right = payments.withWatermark("payment_date", bounds.delay).alias("p")
     when, paid = F.col("t.transaction_date"), F.col("p.payment_date")
-    match = (paid >= when) & (paid <= when + bounds.interval())
+    match = (paid >= when - _span(bounds.before)) & (paid <= when + _span(bounds.within))
     keys = ["transaction_id", *also_equal]
     for key in keys:
         match = match & (F.col(f"t.{key}") == F.col(f"p.{key}"))
@@ -63,7 +81,7 @@ def _join(transactions: DataFrame, payments: DataFrame, bounds: Bounds, how: str
 
 def unpaid_transactions(transactions: DataFrame, payments: DataFrame,
                         bounds: Bounds) -> DataFrame:
-    """Transactions without a payment in their settlement period.
+    """Transactions without a payment from ``before`` to ``unpaid_after`` around them.
 
     They are joined to one marker per transaction and day of payment, which Spark combines
     before the shuffle. Some payment of the day is within the period exactly if the day's
@@ -77,9 +95,11 @@ def unpaid_transactions(transactions: DataFrame, payments: DataFrame,
                .agg(F.min("payment_date").alias("first"), F.max("payment_date").alias("last"))
                .select("transaction_id", "first", "last",
                        F.window_time("window").alias("marked_at"))).alias("m")
-    when = F.col("t.transaction_date")
+    start = F.col("t.transaction_date") - _span(bounds.before)
+    end = F.col("t.transaction_date") + _span(bounds.waits)
     settled = ((F.col("t.transaction_id") == F.col("m.transaction_id"))
-               & (F.col("m.marked_at") >= when)
-               & (F.col("m.marked_at") <= when + bounds.interval("1 day"))
-               & (F.col("m.last") >= when) & (F.col("m.first") <= when + bounds.interval()))
+               & (F.col("m.marked_at") >= start)
+               & (F.col("m.marked_at") <= F.col("t.transaction_date")
+                  + _span(bounds.waits, "1 day"))
+               & (F.col("m.last") >= start) & (F.col("m.first") <= end))
     return left.join(markers, settled, "left_outer").filter("m.first is null").select("t.*")

@@ -13,7 +13,6 @@ from latebook.settings import shuffle_partitions
 
 # How the detail table is partitioned, and the default trigger.
 DETAIL_PARTITIONS = ("reference_month", "year", "month", "inadimplente")
-METRIC_PARTITIONS = ("reference_month", "reference_quarter")
 TRIGGER = "1 minute"
 
 # For the session: state on local disk with change logs, and few retained versions.
@@ -25,6 +24,12 @@ STATE_CONF = {
 }
 
 
+def keep_state_on_disk(spark: SparkSession) -> None:
+    """Apply ``STATE_CONF`` to the queries that the session starts from now on."""
+    for key, value in STATE_CONF.items():
+        spark.conf.set(key, value)
+
+
 def sized_session(spark: SparkSession, input_bytes: int) -> SparkSession:
     """A session like the given one whose stateful operators have partitions by input size.
 
@@ -39,18 +44,23 @@ def sized_session(spark: SparkSession, input_bytes: int) -> SparkSession:
     # shuffle_partitions gives at least two partitions per core; state wants one.
     cores = -(-spark.sparkContext.defaultParallelism // 2)
     sized.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions(input_bytes, cores)))
+    keep_state_on_disk(sized)
     return sized
 
 
 def start_table(df: DataFrame, path: str, checkpoint: str, partition_by: Sequence[str] = (),
-                trigger: str | None = TRIGGER, spread: int = 2) -> StreamingQuery:
+                trigger: str | None = TRIGGER, spread: int | None = None) -> StreamingQuery:
     """Append a stream to a Parquet table; without a trigger, process what is there and stop.
 
     The rows of a partition are brought together, so that a batch writes ``spread`` files
     per partition and not one per task; a partition with most of the rows is shared by as
-    many tasks. The split is by row content, the same again if a task is repeated.
+    many tasks, by default an eighth of the session's shuffle partitions and at least three.
+    The split is by row content, the same again if a task is repeated.
     """
     if partition_by:
+        if spread is None:
+            tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+            spread = max(3, tasks // 8)
         rest = [c for c in df.columns if c not in partition_by]
         df = df.repartition(*partition_by, F.pmod(F.xxhash64(*rest), F.lit(spread)))
     writer = (df.writeStream.outputMode("append").format("parquet")

@@ -133,6 +133,28 @@ def test_failure_is_logged_and_raised(spark, lake):
     assert lake.errors().first()["error_type"] == "PROCESS_FAILURE"
 
 
+@pytest.mark.parametrize("trust_status", [True, False])
+def test_too_many_errors_stop_the_next_stage(spark, lake, trust_status):
+    """Six of a hundred records have no key; the stage may lose one in twenty."""
+    from latebook.plans.run import GateClosed
+    put(lake.root / "landing/transactions", "a.json",
+        [tx(str(i) if i > 5 else None, "c", "2024-04-05") for i in range(100)])
+    table, landing = lake.ingest("transactions")
+    assert landing.log["total_records_error"] == 6
+    run = lake.run("BronzeToSilver", "transactions", "x", lake.root / "silver")
+    run.trust_status = trust_status
+    if trust_status:
+        refine(run, spark.table(table))
+        return
+    with pytest.raises(GateClosed, match="landing_to_bronze"):
+        refine(run, spark.table(table))
+    log = lake.logs().filter("stage_name = 'bronze_to_silver'").first()
+    assert log["status"] == "ERRO"
+    gold = lake.run("SilverToGold", "all_entities", "x", lake.root / "gold")
+    with pytest.raises(GateClosed, match="bronze_to_silver"):
+        publish(gold, spark.table(table), spark.table(table))
+
+
 def test_landing_to_gold(spark, lake):
     late = [tx(f"late{i}", "slow", "2024-04-05") for i in range(4)]
     put(lake.root / "landing/transactions", "a.json", [

@@ -80,6 +80,18 @@ def test_gate(spark):
     assert got["again"]["duration_seconds"] == 3600
 
 
+def test_gate_by_stage(spark):
+    rows = [(stage, stage, "e", "2024-01-01 10:00:00", "2024-01-01 12:00:00", "ERRO", 100, n)
+            for stage, n in (("landing_to_bronze", 4), ("bronze_to_silver", 6),
+                             ("silver_to_gold", 3))]
+    logs = spark.createDataFrame(rows, "stage_name string, " + LOG)
+    got = {r["stage_name"]: (r["threshold"], r["passed"]) for r in c.run_gate(logs).collect()}
+    assert got == {"landing_to_bronze": (0.05, True), "bronze_to_silver": (0.05, False),
+                   "silver_to_gold": (0.02, False)}
+    summary = c.run_summary(logs).first()
+    assert (summary["landing_to_bronze_runs"], summary["silver_to_gold_errors"]) == (1, 3)
+
+
 def test_a_run_without_a_log_passes(spark):
     expected = spark.createDataFrame([("x", dt.date(2024, 1, 1))], "entity_name string, "
                                      "run_date date")

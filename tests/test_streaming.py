@@ -13,8 +13,8 @@ from latebook.schemas import RAW_PAYMENTS, RAW_TRANSACTIONS, STREAM_DETAIL
 from latebook.sources.broker import decode_messages, kafka_options
 from latebook.streaming import sources as s
 from latebook.streaming.batches import alert_writer, metrics_writer
-from latebook.streaming.detail import Bounds, settle_streams
-from latebook.streaming.metrics import window_alerts, window_metrics
+from latebook.streaming.detail import Bounds, current_rows, settle_streams
+from latebook.streaming.metrics import current_windows, window_alerts, window_metrics
 from latebook.streaming.runner import finish, start_batches, start_table
 
 AS_OF = dt.date(2024, 7, 10)
@@ -122,7 +122,8 @@ def test_decoding_of_messages(spark):
 
 
 def test_the_whole_streaming_job(spark, events):
-    job = StreamJob(str(events / "out"), str(events / "checkpoints"), trigger=None, as_of=AS_OF)
+    job = StreamJob(str(events / "out"), str(events / "checkpoints"), Bounds(), trigger=None,
+                    as_of=AS_OF)
     transactions, payments = streams(spark, events)
     finish(job.detail(transactions, payments))
     detail = spark.read.schema(STREAM_DETAIL).parquet(str(events / "out/inadimplencia_detalhes"))
@@ -135,10 +136,9 @@ def test_the_whole_streaming_job(spark, events):
     assert late[("unpaid", None)] == (152, False)
     assert late[("end", "p8")] == (0, False)
     finish(job.metrics(spark))
-    # The window of the last day stays open.
-    metrics = spark.read.parquet(str(events / "out/inadimplencia_metricas")).collect()
+    metrics = current_windows(spark.read.parquet(str(events / "out/inadimplencia_metricas")))
     assert [(m["total_transactions"], m["total_atrasados"], m["max_dias_atraso"])
-            for m in metrics] == [(7, 6, 152)]
+            for m in metrics.orderBy("window_start").collect()] == [(7, 6, 152), (1, 0, 0)]
     seen = []
     finish(job.alerts(spark, lambda batch, df: seen.append((batch, df.count()))))
     assert seen == []
@@ -150,6 +150,58 @@ def test_the_whole_streaming_job(spark, events):
     assert spark.read.parquet(str(events / "out/inadimplencia_detalhes")).count() == 8
 
 
+def test_metrics_of_several_batches_hold_every_detail_row(spark, tmp_path):
+    """Unpaid rows come long after their day; they count in windows that other batches began."""
+    job = StreamJob(str(tmp_path / "out"), str(tmp_path / "checkpoints"), trigger=None,
+                    as_of=dt.date(2024, 6, 25))
+    for n, day in enumerate(["2024-01-10", "2024-02-20", "2024-04-20", "2024-05-15"]):
+        lines(tmp_path / "tx", f"{n}.json", [
+            tx(f"slow{n}", day), tx(f"unpaid{n}", day), tx(f"prompt{n}", day)])
+        due = dt.date.fromisoformat(day)
+        lines(tmp_path / "pay", f"{n}.json", [
+            pay(f"p{n}", f"prompt{n}", str(due + dt.timedelta(days=2)))])
+        finish(job.detail(*streams(spark, tmp_path)))
+        finish(job.metrics(spark))
+        finish(job.alerts(spark))
+    lines(tmp_path / "tx", "9.json", [tx("end", "2024-06-24")])
+    lines(tmp_path / "pay", "9.json", [pay("p9", "slow0", "2024-06-24")])
+    for _ in range(2):
+        finish(job.detail(*streams(spark, tmp_path)))
+        finish(job.metrics(spark))
+    detail = spark.read.schema(STREAM_DETAIL).parquet(str(tmp_path / "out/inadimplencia_detalhes"))
+    states = spark.read.parquet(str(tmp_path / "out/inadimplencia_metricas"))
+    assert states.select("batch").distinct().count() >= 4
+    metrics = current_windows(states)
+    total = metrics.agg(F.sum("total_transactions"), F.sum("total_inadimplentes")).first()
+    assert tuple(total) == (detail.count(), detail.filter("inadimplente").count())
+    rows = {(r["transaction_id"], r["payment_id"]): r for r in detail.collect()}
+    # Unpaid for 36 days since its due day, 66 days old: the first criterion holds.
+    assert rows[("unpaid2", None)]["criterio_1"]
+    # Reported as unpaid, then paid: the newer row stands.
+    assert ("slow0", None) in rows and ("slow0", "p9") in rows
+    newest = [r["payment_id"] for r in current_rows(detail).filter(
+        "transaction_id = 'slow0'").collect()]
+    assert newest == ["p9"]
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_payments_shortly_before_their_transaction(spark, events, salts):
+    joined = settle_streams(*streams(spark, events), Bounds(salts=salts, before="2 days"))
+    rows = run(spark, joined, events, "out").select("transaction_id", "payment_id").collect()
+    assert sorted(r[1] for r in rows if r[0] == "early") == ["p2"]
+
+
+def test_one_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    lines(tmp_path / "tx", "1.json", [tx(str(i), "2024-06-01") for i in range(200)])
+    session = spark.newSession()
+    # Adaptive execution would join tasks as small as these.
+    session.conf.set("spark.sql.adaptive.enabled", "false")
+    session.conf.set("spark.sql.shuffle.partitions", "16")
+    raw = s.file_stream(session, str(tmp_path / "tx"), RAW_TRANSACTIONS)
+    finish(start_table(raw, str(tmp_path / "out"), str(tmp_path / "c"), ("date",), trigger=None))
+    assert len(list((tmp_path / "out").glob("date=*/*.parquet"))) > 2
+
+
 def test_alert_function_calls_only_for_alerts(spark, tmp_path):
     rows = spark.createDataFrame(
         [("2024-01-10 00:00:00", 30.0), ("2024-01-11 00:00:00", 10.0)], "at string, p double")
