@@ -10,7 +10,7 @@ from latebook.catalog.registry import money, query
 from latebook.operators import gold as g
 from latebook.operators import rules as r
 from latebook.operators.control import quality_gate
-from latebook.operators.settlement import settle, settlement_rows
+from latebook.operators.settlement import settle
 from latebook.sinks.tables import write_plain
 from latebook.streaming.batches import flag_counts
 from latebook.workspace import new_folder
@@ -276,26 +276,28 @@ def gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- month by month -----------------------------------------------------------------------
 
 _HISTORY = {
-    "expanded": """
-  SELECT customer_id, dias_atraso, valor_em_aberto, day,
-         CAST(last_day(CAST(m AS DATE)) AS DATE) AS reference_date
-  FROM (SELECT *, CAST(transaction_date AS DATE) AS day,
-               unnest(generate_series(date_trunc('month', transaction_date),
-                 date_trunc('month', transaction_date + INTERVAL 180 DAY), INTERVAL 1 MONTH))
-                 AS m
-        FROM joined)
-  WHERE reference_date <= DATE '2000-05-31' AND reference_date - day <= 180""",
+    "runs": """
+  SELECT CAST(last_day(CAST(m AS DATE)) AS DATE) AS ref, ref + 15 AS run
+  FROM (SELECT unnest(generate_series(
+          (SELECT date_trunc('month', min(transaction_date)) - INTERVAL 1 MONTH FROM tx),
+          TIMESTAMP '2000-05-01', INTERVAL 1 MONTH)) AS m)""",
+    "known": """
+  SELECT r.ref, t.customer_id, ref - CAST(t.transaction_date AS DATE) AS age,
+         datediff('day', t.due_date, coalesce(CAST(p.payment_date AS DATE), r.run)) AS dias,
+         t.amount - coalesce(p.amount_paid, 0.0) AS valor
+  FROM runs r JOIN tx t ON CAST(t.transaction_date AS DATE) <= r.run
+  LEFT JOIN pay p ON p.transaction_id = t.transaction_id AND p.amount_paid > 0
+                 AND CAST(p.payment_date AS DATE) <= r.run""",
     "monthly_hit": """
-  SELECT *, reference_date - day <= 90 AND dias_atraso > 30 AS h1, dias_atraso > 15 AS h2
-  FROM expanded""",
+  SELECT *, age <= 90 AND dias > 30 AS h1, age <= 180 AND dias > 15 AS h2 FROM known""",
     "monthly": """
-  SELECT strftime(reference_date, '%Y-%m') AS reference_month, customer_id,
-         count(*) FILTER (h1) >= 1 OR count(*) FILTER (h2) >= 4 AS inadimplente,
-         CASE WHEN count(*) FILTER (h1) >= 1 OR count(*) FILTER (h2) >= 4
-              THEN coalesce(sum(valor_em_aberto) FILTER (h1 OR h2), 0.0) ELSE 0.0 END AS v,
-         CASE WHEN count(*) FILTER (h1) >= 1 OR count(*) FILTER (h2) >= 4
-              THEN coalesce(max(dias_atraso) FILTER (h1 OR h2), 0) ELSE 0 END AS d
-  FROM monthly_hit GROUP BY reference_date, customer_id""",
+  SELECT strftime(ref, '%Y-%m') AS reference_month, customer_id,
+         count(*) FILTER (h1) >= 1 AS r1, count(*) FILTER (h2) >= 4 AS r2,
+         r1 OR r2 AS inadimplente,
+         CASE WHEN r1 THEN sum(valor) FILTER (h1) ELSE 0.0 END
+           + CASE WHEN r2 THEN sum(valor) FILTER (h2) ELSE 0.0 END AS v,
+         CASE WHEN r1 THEN max(dias) FILTER (h1) ELSE 0 END AS d
+  FROM monthly_hit GROUP BY ref, customer_id""",
     "monthly_metrics": """
   SELECT reference_month, count(*) AS total_clientes,
          count(*) FILTER (inadimplente) AS total_inadimplentes,
@@ -306,13 +308,12 @@ _HISTORY = {
 
 
 def history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = settlement_rows(*_views(spark, sf_dir), v.AS_OF)
-    return g.classify_history(rows, v.WINDOW.reference_date.isoformat())
+    return g.classify_history(*_views(spark, sf_dir), v.WINDOW.reference_date)
 
 
 @query("classify_history", v.sql("""
 SELECT reference_month, customer_id, inadimplente, round(v, 2) + 0 AS total_valor_em_aberto,
-       CAST(d AS INTEGER) AS max_dias_atraso FROM monthly""", "joined", **_HISTORY))
+       CAST(d AS INTEGER) AS max_dias_atraso FROM monthly""", "tx", "pay", **_HISTORY))
 def classify_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return history(spark, sf_dir).withColumn(
         "total_valor_em_aberto", money("total_valor_em_aberto"))
@@ -322,7 +323,7 @@ def classify_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT reference_month, round(taxa, 6) AS taxa_inadimplencia,
        round(coalesce(taxa - lag(taxa) OVER (ORDER BY reference_month), 0.0), 6) + 0
          AS variacao_mes_anterior
-FROM monthly_metrics""", "joined", **_HISTORY))
+FROM monthly_metrics""", "tx", "pay", **_HISTORY))
 def mom(spark: SparkSession, sf_dir: str) -> DataFrame:
     varied = g.month_over_month(g.delinquency_metrics(history(spark, sf_dir)))
     return varied.select(
@@ -336,14 +337,14 @@ SELECT reference_month, total_clientes, total_inadimplentes, pct_inadimplencia,
             WHEN pct_inadimplencia >= 5 THEN 'yellow' ELSE 'green' END AS faixa,
        pct_inadimplencia > 15 AS critico
 FROM (SELECT *, round(taxa * 100, 2) AS pct_inadimplencia FROM monthly_metrics)""",
-                             "joined", **_HISTORY))
+                             "tx", "pay", **_HISTORY))
 def rate_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.rate_history(g.delinquency_metrics(history(spark, sf_dir)))
 
 
 @query("value_at_risk", v.sql("""
 SELECT reference_month, count(*) AS clientes_inadimplentes, round(sum(v), 2) + 0 AS valor_risco
-FROM monthly WHERE inadimplente GROUP BY reference_month""", "joined", **_HISTORY))
+FROM monthly WHERE inadimplente GROUP BY reference_month""", "tx", "pay", **_HISTORY))
 def value_at_risk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return g.value_at_risk(history(spark, sf_dir)).withColumn(
         "valor_risco", money("valor_risco"))
