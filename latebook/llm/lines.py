@@ -39,22 +39,26 @@ def identity(docs: DataFrame) -> Column:
 def lines_of(docs: DataFrame) -> DataFrame:
     """Every line with a word: ``_lb_doc, _lb_hash, _lb_no``, its words ``_lb_line`` in lower case
     with one space between them, its bytes and its key of 128 bits."""
-    line = spaced(F.lower("_lb_raw"))
+    # On the raw line: a filter on the finished one would be pushed down and compute it twice.
+    worded = F.ltrim("_lb_raw", F.lit(" \t\n\x0b\f\r")) != ""
     return (docs.select(docs["doc_id"].alias("_lb_doc"), identity(docs).alias("_lb_hash"),
                         F.posexplode(F.split(plain(docs["text"]), "\n"))
                         .alias("_lb_no", "_lb_raw"))
-            .select("_lb_doc", "_lb_hash", "_lb_no", line.alias("_lb_line"))
-            .filter("_lb_line <> ''")
+            .filter(worded)
+            .withColumn("_lb_low", F.lower("_lb_raw"))
+            .select("_lb_doc", "_lb_hash", "_lb_no", spaced(F.col("_lb_low")).alias("_lb_line"))
             .withColumns({"_lb_k1": F.xxhash64("_lb_line"),
                           "_lb_k2": F.xxhash64(F.lit("second"), "_lb_line")}))
 
 
-def end_keys(line: Column, n: Column) -> Column:
-    """Hashes of the first and of the last words of a line, as many as the largest power of two
-    in half its words. A length that is a power of two has half of that too, as the line one
-    word shorter has."""
-    q = F.pow(F.lit(2.0), F.floor(F.log2(n) + 1e-9) - 1).cast("int")
+def end_size(n: Column) -> Column:
+    """The largest power of two in half of ``n`` words."""
+    return F.pow(F.lit(2.0), F.floor(F.log2(n) + 1e-9) - 1).cast("int")
 
+
+def end_keys(line: Column, n: Column, q: Column) -> Column:
+    """Hashes of the first and of the last ``q`` words of a line, ``end_size`` of its words. A
+    length that is a power of two has half of that too, as the line one word shorter has."""
     def both(count: Column) -> list[Column]:
         ends = [F.call_function("substring_index", line, F.lit(" "), k) for k in (count, -count)]
         return [F.xxhash64(F.lit(side), count, end)
@@ -67,7 +71,9 @@ def end_keys(line: Column, n: Column) -> Column:
 def distinct_lines(lines: DataFrame) -> DataFrame:
     """One row per distinct line: its first occurrence, how many there are, and its end keys."""
     n = word_count(F.col("_lb_line"))
-    keyed = lines.withColumn("n", n).withColumn("_lb_ends", end_keys(F.col("_lb_line"), F.col("n")))
+    # One step each, so that no number is computed for every use of it.
+    keyed = (lines.withColumn("n", n).withColumn("q", end_size(F.col("n")))
+             .withColumn("_lb_ends", end_keys(F.col("_lb_line"), F.col("n"), F.col("q"))))
     keys = [F.max(F.get("_lb_ends", i)).alias(f"_lb_e{i}") for i in range(4)]
     return keyed.groupBy("_lb_k1", "_lb_k2").agg(
         F.min(F.struct("_lb_doc", "_lb_hash", "_lb_no")).alias("first"),
