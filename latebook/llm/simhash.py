@@ -19,11 +19,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latebook.llm.components import components
 from latebook.llm.registry import query, table
+from latebook.llm.shingles import one_of_each  # noqa: F401
 from latebook.llm.text import cut, plain
 
 #: Fixed by the result contract.
@@ -179,17 +180,6 @@ def near_duplicates(docs: DataFrame, words: int = WORDS) -> DataFrame:
     return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
 
 
-def one_of_each(docs: DataFrame, words: int) -> DataFrame:
-    """The documents with only the one of the smallest id of each component, all columns; of
-    several rows with that id the one of the least hash of its text stays. Rows without an id
-    stay, for nothing can name them."""
-    first = near_duplicates(docs, words).select(F.col("component_id").alias("_lb_id")).distinct()
-    kept = docs.join(first, docs["doc_id"] == first["_lb_id"], "left_semi")
-    order = Window.partitionBy("doc_id").orderBy(F.xxhash64(plain(F.col("text"))), "text")
-    kept = kept.withColumn("_lb_n", F.row_number().over(order)).filter("_lb_n = 1").drop("_lb_n")
-    return kept.union(docs.filter(docs["doc_id"].isNull()))
-
-
 @query("op3_simhash_bytes")
 def op3_simhash_bytes(spark, sf_dir):
     """Fingerprints and components of all documents."""

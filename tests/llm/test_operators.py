@@ -14,8 +14,8 @@ os.environ["PYTHONPATH"] = os.pathsep.join(
     [str(pathlib.Path(__file__).parents[2]), os.environ.get("PYTHONPATH", "")])
 
 from latebook.llm import (  # noqa: E402
-    chat, context_tree, decontamination, licenses, lines, packing, quality, sharding, simhash,
-    toxicity,
+    chat, context_tree, decontamination, licenses, lines, packing, quality, sharding, shingles,
+    simhash, toxicity,
 )
 from latebook.llm.queries import ORACLES, QUERIES  # noqa: E402
 from latebook.llm.tokens import encoder, tokenizer_path  # noqa: E402
@@ -149,6 +149,52 @@ def test_simhash_on_odd_rows(odd, none):
     assert ids.count(1) == 1 and ids.count(None) == 1 and 4 not in ids
 
 
+def brute_copies(texts, words=5):
+    """The smallest id of each group of texts whose shingles are alike at 0.8."""
+    sets = {}
+    for i, text in texts.items():
+        w = (text or "").encode().translate(LOWER).split()
+        k = min(words, len(w))
+        sets[i] = {tuple(w[j:j + k]) for j in range(len(w) - k + 1)} if w else set()
+    near = {a: [b for b in sets if sets[a] == sets[b] or 5 * len(sets[a] & sets[b])
+                >= 4 * len(sets[a] | sets[b])] for a in sets}
+    label, changed = {a: a for a in sets}, True
+    while changed:
+        changed = False
+        for a in sets:
+            low = min(label[b] for b in near[a])
+            if low < label[a]:
+                label[a], changed = low, True
+    return label
+
+
+@pytest.mark.parametrize("long", [64, 4])
+def test_near_dedup_stage_against_brute_force(spark, long):
+    """Copies with more and more words changed, far beyond four bits; crowds go both ways."""
+    rng = np.random.default_rng(11)
+    texts = {}
+    for family in range(12):
+        base = [f"w{x}" for x in rng.integers(0, 4000, rng.integers(6, 150))]
+        for edits_made in (0, 0, 1, 1, 1, 2, 2, 3, 4, 5):
+            words = list(base)
+            for at in rng.integers(0, len(words), edits_made):
+                words[at] = f"e{rng.integers(0, 10**6)}"
+            texts[len(texts)] = " ".join(words)
+    texts |= {200: "", 201: None, 202: "a b", 203: "A  b", 204: "a b c"}
+    want = brute_copies(texts)
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    found = collections.defaultdict(set)
+    for r in shingles.near_copies(df, 5, long).collect():
+        found[r["component"]].add(r["doc_id"])
+    groups = collections.defaultdict(set)
+    for i, low in want.items():
+        groups[low].add(i)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, groups.values()))
+    import corpus_pipeline
+    kept = corpus_pipeline.near_dedup(spark, df, SF).collect()
+    assert sorted(r["doc_id"] for r in kept) == sorted(groups)
+
+
 def test_packing_is_a_round_trip(spark):
     from tokenizers import Tokenizer
     exact = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
