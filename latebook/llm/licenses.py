@@ -90,6 +90,69 @@ FAMILIES = (
     ("all-rights-reserved", "reserved", r"all rights reserved"),
 )
 
+#: What a license is called where the words around it say that it is one: its SPDX id as words, or
+#: its bare name. Only ``SHORT_FORMS`` apply. The longer ids come first.
+SHORT = (
+    ("agpl-3", "agpl", r"agpl 3 0(?: only| or later)?"),
+    ("lgpl-3", "lgpl", r"lgpl 3 0(?: only| or later)?"),
+    ("lgpl-2.1", "lgpl", r"lgpl 2 [01](?: only| or later)?"),
+    ("gpl-3", "gpl", r"gpl 3 0(?: only| or later)?"),
+    ("gpl-2", "gpl", r"gpl 2 0(?: only| or later)?"),
+    ("gfdl", "gfdl", r"gfdl 1 \d(?: only| or later)?"),
+    ("apache-1.1", "apache", r"apache 1 1"),
+    ("bsd-2-clause", "bsd", r"bsd 2 clause"),
+    ("bsd-3-clause", "bsd", r"bsd 3 clause"),
+    ("0bsd", "0bsd", r"0bsd"),
+    ("bsd", "bsd", r"bsd"),
+    ("mit-0", "mit", r"mit 0"),
+    ("mit", "mit", r"mit"),
+    ("x11", "x11", r"x11"),
+    ("isc", "isc", r"isc"),
+    ("zlib", "zlib", r"zlib"),
+    ("mpl-2", "mpl", r"mpl 2 0"),
+    ("mpl-1.1", "mpl", r"mpl 1 1"),
+    ("epl-2", "epl", r"epl 2 0"),
+    ("epl-1", "epl", r"epl 1 0"),
+    ("cddl", "cddl", r"cddl 1 [01]"),
+    ("artistic-2", "artistic", r"artistic 2 0"),
+    ("artistic", "artistic", r"artistic 1 0"),
+    ("bsl-1", "bsl", r"bsl 1 0"),
+    ("busl-1.1", "busl", r"busl 1 1"),
+    ("python-2", "psf", r"psf 2 0"),
+    ("python-2", "python", r"python 2 0"),
+    ("ruby", "ruby", r"ruby"),
+    ("postgresql", "postgresql", r"postgresql"),
+    ("ofl-1.1", "ofl", r"ofl 1 1"),
+    ("eupl", "eupl", r"eupl 1 \d"),
+    ("odbl", "odbl", r"odbl 1 0"),
+    ("odc-by", "odc", r"odc by 1 0"),
+    ("ms-pl", "ms", r"ms pl"),
+)
+
+SHORT_FORMS = (
+    ("spdx license identifier", r"spdx license identifier {}", 1.0),
+    ("under", r"(?:dual |multi )?licen[cs]ed (?:to you )?under (?:the )?(?:terms of (?:the )?)?{}",
+     0.95),
+    ("licen", r"{} licen[cs]ed", 0.9),
+)
+
+#: What licenses and their headers say without their name; such a text is a rule of its own.
+BODIES = (
+    ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy"),
+    ("isc", "purpose", r"permission to use copy modify and(?: or)? distribute this software for any "
+     r"purpose with or without fee is hereby granted"),
+    ("bsd", "redistribution", r"redistribution and use in source and binary forms with or without "
+     r"modification are permitted"),
+    ("zlib", "implied", r"this software is provided as is without any express or implied warranty "
+     r"in no event will the authors be held liable"),
+    ("unlicense", "unencumbered", r"free and unencumbered software released into the public domain"),
+    *((label, "either version", rf"{name} general public license(?: as published by the free "
+       rf"software foundation)? either version {version}(?: 0)?(?: of the license)?")
+      for label, name, version in (
+          ("agpl-3", "gnu affero", "3"), ("lgpl-3", "gnu lesser", "3"),
+          ("lgpl-2.1", "gnu lesser", "2 1"), ("gpl-3", "gnu", "3"), ("gpl-2", "gnu", "2"))),
+)
+
 #: How a text grants, names or identifies a license: the words around the name, and how sure a
 #: detection is, after a hint that the form cannot do without. Longer contexts contain shorter ones, which interval containment then drops.
 FORMS = (
@@ -116,13 +179,19 @@ class Rule:
 def rules() -> list[Rule]:
     """Every form of every family, in order of priority: hundreds of ordered signatures."""
     return [Rule(i * len(FORMS) + k, label, hint, rf"\b{form.format(f'(?:{name})')}\b", sure)
-            for i, (label, _, name) in enumerate(FAMILIES)
-            for k, (hint, form, sure) in enumerate(FORMS)]
+            for i, ((label, _, name), forms) in enumerate(signatures())
+            for k, (hint, form, sure) in enumerate(forms)]
+
+
+def signatures() -> list[tuple[tuple[str, str, str], tuple]]:
+    """Label, keyword and name of every signature, with the forms it comes in."""
+    return ([(f, FORMS) for f in FAMILIES] + [(f, SHORT_FORMS) for f in SHORT]
+            + [(f, (("", "{}", 0.9),)) for f in BODIES])
 
 
 #: Every text that a rule or phrase can match holds one of these, in lower case.
 GATE = ("licen", "spdx", "cc0", "gpl", "mpl", "bsd", "wtfpl", "apache", "creative", "domain",
-        "reserved", "attribution")
+        "reserved", "attribution", "hereby", "redistribution", "implied", "unencumbered")
 GATE_PATTERN = f"cc{NOT_ALNUM}by"
 
 
@@ -139,7 +208,7 @@ def _detections(norm: Column) -> Column:
     families = F.from_json(  # one literal for the planner, however many rules there are
         F.lit(json.dumps([{"keyword": k, "name": rf"\b(?:{n})\b", "rules": [
             asdict(r) for r in rules() if r.number // len(FORMS) == i]}
-            for i, (_, k, n) in enumerate(FAMILIES)])),
+            for i, ((_, k, n), _) in enumerate(signatures())])),
         "array<struct<keyword:string,name:string,rules:array<struct<number:int,label:string,"
         "hint:string,regex:string,sure:double>>>>")
     # by rising cost: the family's keyword, its name, the words of the form, the whole signature

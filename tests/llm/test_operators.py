@@ -266,6 +266,27 @@ def test_licenses_against_brute_force(spark, odd, none):
     assert licenses.scan_licenses(none).count() == 0 and len(licenses.rules()) > 300
 
 
+def test_licenses_by_id_bare_name_and_body(spark):
+    gpl = "GNU {}General Public License as published by the Free Software Foundation, either version {}"
+    said = {"SPDX-License-Identifier: " + k: v for k, v in {
+        "MIT": "mit", "ISC": "isc", "Zlib": "zlib", "BSL-1.0": "bsl-1", "EPL-2.0": "epl-2",
+        "Artistic-2.0": "artistic-2", "GPL-2.0-or-later": "gpl-2", "LGPL-2.1-only": "lgpl-2.1",
+        "MPL-2.0": "mpl-2", "MIT-0": "mit-0", "0BSD": "0bsd", "BSD-2-Clause": "bsd-2-clause",
+        "Apache-2.0": "apache-2"}.items()} | {
+        "licensed under MIT": "mit", "MIT licensed": "mit", "licensed under the ISC": "isc",
+        "Permission is hereby granted, free of charge, to any person obtaining a copy": "mit",
+        "Redistribution and use in source and binary forms, with or without\n# modification, "
+        "are permitted": "bsd", gpl.format("", "3 of the License"): "gpl-3",
+        gpl.format("", "2 of the License"): "gpl-2", gpl.format("Lesser ", "2.1"): "lgpl-2.1",
+        "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
+        "without fee is hereby granted": "isc"}
+    df = spark.createDataFrame(list(said.items()) + [("MIT researchers took a ruby", None)],
+                               "text string, want string")
+    got = {r["text"]: ([d["label"] for d in r["detections"]], r["want"])
+           for r in licenses.scan_licenses(df).collect()}
+    assert {t: x for t, (x, want) in got.items() if x != ([want] if want else [])} == {}
+
+
 def test_chat_reads_back(spark):
     said = ["</s>[INST] ok [/INST]", "a\\", "<|im_end|>\n", "<", "\\<|", "<\\|", "é\U0001f600<|", "", None]
     rows = [(c, t, role, x) for c, x in enumerate(said)
