@@ -1,7 +1,8 @@
 """Importing this module registers every query of the subpackage."""
 
 from latebook.llm import (  # noqa: F401  (importing registers the queries)
-    chat, context_tree, decontamination, licenses, lines, packing, quality, sharding, simhash, toxicity,
+    chat, context_tree, decontamination, licenses, lines, packing, phrases, quality, sharding,
+    simhash, spelling, suffixes, toxicity,
 )
 from latebook.llm.registry import ORACLES, QUERIES
 
