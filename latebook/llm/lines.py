@@ -36,6 +36,23 @@ def identity(docs: DataFrame) -> Column:
     return F.xxhash64(docs["doc_id"].isNull(), plain(docs["text"]))
 
 
+def as_bits(rows: DataFrame, name: str) -> DataFrame:
+    """The line numbers of each document as an array of words of 64 bits."""
+    words = rows.groupBy("_lb_doc", "_lb_hash", F.shiftright("_lb_no", 6).alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"),
+                                 F.col("_lb_no").bitwiseAND(F.lit(63)))).alias("bits"))
+    held = words.groupBy("_lb_doc", "_lb_hash").agg(
+        F.max("word").alias("last"), F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("of"))
+    return held.select("_lb_doc", "_lb_hash", F.transform(
+        F.sequence(F.lit(0), "last"), lambda i: F.coalesce(F.element_at("of", i), F.lit(0).cast("long")),
+    ).alias(name))
+
+
+def has_bit(bits: str, no: Column) -> Column:
+    word = F.coalesce(F.get(F.col(bits), F.shiftright(no, 6)), F.lit(0).cast("long"))
+    return F.call_function("shiftrightunsigned", word, no.bitwiseAND(F.lit(63))).bitwiseAND(F.lit(1)) == 1
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """Every line with a word: ``_lb_doc, _lb_hash, _lb_no``, its words ``_lb_line`` in lower case
     with one space between them, its bytes and its key of 128 bits."""
@@ -85,8 +102,7 @@ def suspects(distinct: DataFrame) -> DataFrame:
     ends = F.array_compact(F.array(*[f"_lb_e{i}" for i in range(4)]))
     by_end = distinct.select("first", F.explode(ends).alias("end"))
     shared = cut(by_end.groupBy("end").agg(F.count("*").alias("c")).filter("c > 1").select("end"))
-    return (by_end.join(sent_if_small(shared, 16), "end").select("first.*")
-            .groupBy("_lb_doc", "_lb_hash").agg(F.collect_set("_lb_no").alias("_lb_at")))
+    return as_bits(by_end.join(sent_if_small(shared, 16), "end").select("first.*"), "_lb_at")
 
 
 def texts_of(docs: DataFrame, by_doc: DataFrame) -> DataFrame:
@@ -96,11 +112,10 @@ def texts_of(docs: DataFrame, by_doc: DataFrame) -> DataFrame:
     rows = docs.select(docs["doc_id"].alias("_lb_doc"), identity(docs).alias("_lb_hash"),
                        plain(docs["text"]).alias("_lb_text"))
     found = rows.join(few, F.col("_lb_doc").eqNullSafe(F.col("d")) & (F.col("_lb_hash") == F.col("h")))
-    lines = F.split("_lb_text", "\n")
-    return (found.select("_lb_doc", "_lb_hash", F.explode("_lb_at").alias("_lb_no"),
-                         lines.alias("_lb_lines"))
-            .select("_lb_doc", "_lb_hash", "_lb_no",
-                    spaced(F.lower(F.get("_lb_lines", F.col("_lb_no")))).alias("_lb_line"))
+    lines = found.select("_lb_doc", "_lb_hash", "_lb_at",
+                         F.posexplode(F.split("_lb_text", "\n")).alias("_lb_no", "_lb_raw"))
+    return (lines.filter(has_bit("_lb_at", F.col("_lb_no")))
+            .select("_lb_doc", "_lb_hash", "_lb_no", spaced(F.lower("_lb_raw")).alias("_lb_line"))
             .dropDuplicates(["_lb_doc", "_lb_hash", "_lb_no"]))
 
 
@@ -190,27 +205,37 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     return equal.union(near.select("_lb_doc", "_lb_hash", "_lb_no", "_lb_near"))
 
 
-def removed_by_document(docs: DataFrame) -> DataFrame:
-    """For each document that loses lines their numbers, those of near copies apart."""
-    return removed_lines(docs).groupBy("_lb_doc", "_lb_hash").agg(
-        F.sort_array(F.collect_set("_lb_no")).alias("_lb_gone"),
-        F.sort_array(F.collect_set(F.when(F.col("_lb_near"), F.col("_lb_no")))).alias("_lb_near"))
-
-
 def with_removed(docs: DataFrame) -> DataFrame:
-    gone = cut(removed_by_document(docs))
-    gone = gone.select(F.col("_lb_doc").alias("_lb_d"), F.col("_lb_hash").alias("_lb_h"),
-                       "_lb_gone", "_lb_near")
-    none = F.array().cast("array<int>")
+    """The documents with the numbers of the lines that go, and those of near copies, as bits:
+    ``_lb_gone`` and ``_lb_near``, null for a document that loses none."""
+    gone = cut(removed_lines(docs))
+    near = as_bits(gone.filter("_lb_near"), "_lb_near").select(
+        F.col("_lb_doc").alias("d"), F.col("_lb_hash").alias("h"), "_lb_near")
+    bits = as_bits(gone, "_lb_gone")
+    both = cut(bits.join(near, bits["_lb_doc"].eqNullSafe(near["d"])
+                         & (bits["_lb_hash"] == near["h"]), "left")
+               .select(F.col("_lb_doc").alias("_lb_d"), F.col("_lb_hash").alias("_lb_h"),
+                       "_lb_gone", "_lb_near"))
     return (docs.withColumn("_lb_id", identity(docs))
-            .join(sent_if_small(gone, 128),
+            .join(sent_if_small(both, 128),
                   docs["doc_id"].eqNullSafe(F.col("_lb_d")) & (F.col("_lb_id") == F.col("_lb_h")),
                   "left")
-            .withColumns({"_lb_gone": F.coalesce("_lb_gone", none),
-                          "_lb_near": F.coalesce("_lb_near", none)})
             .drop("_lb_id", "_lb_d", "_lb_h"))
 
 
+def bits_set(bits: str) -> Column:
+    """How many line numbers the bits hold."""
+    return F.coalesce(F.aggregate(bits, F.lit(0), lambda n, x: n + F.bit_count(x)), F.lit(0))
+
+
+def numbers(bits: str) -> Column:
+    """The line numbers that the bits hold, in order."""
+    held = F.flatten(F.transform(bits, lambda x, i: F.transform(F.filter(
+        F.sequence(F.lit(0), F.lit(63)), lambda b: F.call_function(
+            "shiftrightunsigned", x, b).bitwiseAND(F.lit(1)) == 1), lambda b: i * 64 + b)))
+    return F.coalesce(held, F.array().cast("array<int>"))
+
+
 def dedupe_lines(docs: DataFrame) -> DataFrame:
     """The documents without lines that an earlier line equals or is one edit away from.
 
@@ -221,9 +246,8 @@ def dedupe_lines(docs: DataFrame) -> DataFrame:
     rows keep the same lines. No rows give no rows.
     """
     found = with_removed(docs)
-    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(
-        F.col("_lb_gone"), i)), "\n")
-    changed = F.size("_lb_gone") > 0
+    kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~has_bit("_lb_gone", i)), "\n")
+    changed = F.col("_lb_gone").isNotNull()
     out = found.withColumn("_lb_new", F.when(changed, kept).otherwise(F.col("text")))
     out = out.filter(~changed | F.col("_lb_new").rlike(r"[^\x20\x09-\x0D]"))
     columns = {"text": F.col("_lb_new")}
@@ -263,5 +287,5 @@ def op1_line_dedup(spark, sf_dir):
     """Per document the lines that go, numbered from 0, and how many of them are near copies."""
     found = with_removed(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", F.size(F.split(plain(F.col("text")), "\n")).alias("n_lines"),
-                        F.size("_lb_gone").alias("n_removed"), F.size("_lb_near").alias("n_near"),
-                        F.array_join(F.col("_lb_gone").cast("array<string>"), ",").alias("removed"))
+                        bits_set("_lb_gone").alias("n_removed"), bits_set("_lb_near").alias("n_near"),
+                        F.array_join(numbers("_lb_gone").cast("array<string>"), ",").alias("removed"))

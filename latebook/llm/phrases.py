@@ -1,7 +1,7 @@
 """Phrase collocations by stripes: each prefix keys an associative counter of its next words.
 
-A stripe is one row: a language, a prefix of up to three words, and arrays of next words and how
-often each follows. Tasks build the stripes of a slice of texts, the shuffle brings equal prefixes
+A stripe is one row: a language, a prefix of up to three words, the next words with spaces between
+them, and how often each follows, as 32-bit numbers. Tasks build the stripes of a slice of texts, the shuffle brings equal prefixes
 together and their counters are added elementwise. One level is one pass over the texts: the empty
 prefix counts words, a one-word prefix counts pairs, and so on. A phrase can only be frequent if
 the two phrases one word shorter inside it are, so a level drops what its predecessor's frequent
@@ -12,8 +12,9 @@ From the merged stripes come a phrase's extensions (a prefix's entries), the tot
 prefixes and suffixes (carried from level to level) and the most frequent phrase one word longer
 that holds it; any longer phrase is no more frequent than that one, so it decides subsumption.
 
-Stripes are split by a hash of the next word (``PARTS``), so that the counter of a very common
-prefix is spread over tasks; the entries of one part come to a task at most once a slice.
+The stripes of prefixes made of very common words only, and of the empty one, are split by a hash of
+the next word (``PARTS``), so that their counters are spread over tasks. A stripe comes to its task
+at most once a slice.
 """
 
 from __future__ import annotations
@@ -36,8 +37,12 @@ LONGEST = 4
 SCALE = 2_000_000
 TOP = 2000
 
-#: Parts of a stripe, by the number of words of its prefix.
-PARTS = (256, 64, 16, 16)
+#: Parts of the stripe of a common prefix, and the words that make it one: those that occur more
+#: than once in so many words, of which there are at most as many.
+PARTS = 64
+COMMON = 2000
+#: Entries of stripes that a task merges at a time.
+MERGED = 1_000_000
 #: Bytes of text that are counted together.
 SLICE = 8_000_000
 #: The bitmap of frequent phrases takes 32 bits a phrase, at most these (16 MB).
@@ -50,7 +55,7 @@ _KIND[[0x20, 0x09]] = 1
 _KIND[[*b".,;:!?", *range(0x0A, 0x0E)]] = 2
 
 _STRIPE = pa.schema([("lang", pa.string()), ("prefix", pa.string()), ("part", pa.int32()),
-                     ("next", pa.list_(pa.string())), ("times", pa.list_(pa.int64()))])
+                     ("next", pa.string()), ("times", pa.binary())])
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -110,7 +115,8 @@ def slices(langs: pa.Array, texts: pa.Array, size: int = SLICE) -> Iterator[tupl
         begin = stop
 
 
-def stripes_of(words: Words, langs: list[str], n: int, bitmap: np.ndarray | None) -> pa.RecordBatch:
+def stripes_of(words: Words, langs: list[str], n: int, bitmap: np.ndarray | None,
+               common: frozenset[str]) -> pa.RecordBatch:
     """The stripes of all prefixes of n - 1 words, of phrases that the bitmap does not rule out."""
     size = len(words.code) - n + 1
     at = np.arange(max(size, 0))
@@ -118,14 +124,16 @@ def stripes_of(words: Words, langs: list[str], n: int, bitmap: np.ndarray | None
         shorter = frequent(words.hashes(n - 1, langs), bitmap)
         at = np.flatnonzero((words.piece[:size] == words.piece[n - 1:])
                             & shorter[:size] & shorter[1:size + 1])
-    vocabulary = max(1, len(words.words))
-    prefix = words.lang[at].astype(np.int64)
+    names = words.words.to_pylist()
+    vocabulary = max(1, len(names))
+    part = np.array([xxhash.xxh32_intdigest(w) % PARTS for w in names], np.int64)
+    is_common = np.array([w in common for w in names], bool)
+    prefix, split = words.lang[at].astype(np.int64), np.ones(len(at), bool)
     for j in range(n - 1):
         prefix = np.unique(prefix * vocabulary + words.code[at + j], return_inverse=True)[1]
-    parts = PARTS[n - 1]
-    part = np.array([xxhash.xxh32_intdigest(w) % parts for w in words.words.to_pylist()], np.int64)
+        split &= is_common[words.code[at + j]] if len(at) else split
     last = words.code[at + n - 1]
-    group = prefix * parts + (part[last] if len(last) else 0)
+    group = prefix * PARTS + (np.where(split, part[last], 0) if len(last) else 0)
     key, one, times = np.unique(group * vocabulary + last, return_index=True, return_counts=True)
     group = key // vocabulary
     begin = np.flatnonzero(np.diff(group, prepend=-1))
@@ -137,9 +145,27 @@ def stripes_of(words: Words, langs: list[str], n: int, bitmap: np.ndarray | None
             else pa.array([""] * len(head), pa.string()))
     return pa.RecordBatch.from_arrays([
         pa.array(langs, pa.string()).take(pa.array(words.lang[head])), text,
-        pa.array(group[begin] % parts, pa.int32()),
-        pa.ListArray.from_arrays(ends, words.words.take(pa.array(words.code[place + n - 1]))),
-        pa.ListArray.from_arrays(ends, pa.array(times, pa.int64()))], schema=_STRIPE)
+        pa.array(group[begin] % PARTS, pa.int32()),
+        pc.binary_join(pa.ListArray.from_arrays(
+            ends, words.words.take(pa.array(words.code[place + n - 1]))), " "),
+        pa.Array.from_buffers(pa.binary(), len(head), [
+            None, pa.py_buffer((4 * np.append(begin, len(key))).astype(np.int32)),
+            pa.py_buffer(times.astype("<u4"))])], schema=_STRIPE)
+
+
+def merge(parts: list[tuple]) -> tuple:
+    """Counters of (language, prefix, next word) added elementwise."""
+    lang, prefix, word = (pa.chunked_array([p[i] for p in parts], pa.string())
+                          .combine_chunks().dictionary_encode() for i in range(3))
+    times = np.concatenate([p[3] for p in parts])
+    codes = [x.indices.to_numpy(zero_copy_only=False).astype(np.int64) for x in (lang, prefix, word)]
+    key = (codes[0] * max(1, len(prefix.dictionary)) + codes[1]) * max(1, len(word.dictionary)) + codes[2]
+    order = np.argsort(key, kind="stable")
+    begin = np.flatnonzero(np.diff(key[order], prepend=-1))
+    one = pa.array(order[begin])
+    return (lang.take(one).cast(pa.string()), prefix.take(one).cast(pa.string()),
+            word.take(one).cast(pa.string()),
+            np.add.reduceat(times[order], begin) if len(begin) else times)
 
 
 def frequent(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
@@ -148,8 +174,16 @@ def frequent(hashes: np.ndarray, bitmap: np.ndarray) -> np.ndarray:
     return (bitmap[bit >> np.uint64(5)] >> (bit & np.uint64(31)).astype(np.uint32)) & 1 == 1
 
 
-def level(texts: DataFrame, n: int, bitmap) -> DataFrame:
-    """``lang``, ``prefix``, ``next`` and ``f`` of all phrases of n words that may be frequent."""
+def entries_of(batch: pa.RecordBatch) -> tuple:
+    """The entries of stripes, each with its language and prefix."""
+    words = pc.split_pattern(batch.column("next"), " ")
+    row = pa.array(np.repeat(np.arange(len(words)), pc.list_value_length(words).to_numpy()))
+    times = np.frombuffer(b"".join(batch.column("times").to_pylist()), "<u4").astype(np.int64)
+    return (batch.column("lang").take(row), batch.column("prefix").take(row), words.flatten(), times)
+
+
+def level(texts: DataFrame, n: int, bitmap, common: frozenset[str], least: int) -> DataFrame:
+    """``lang``, ``prefix``, ``next`` and ``f`` of the phrases of n words that occur ``least`` times."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = None if bitmap is None else bitmap.value
@@ -158,14 +192,25 @@ def level(texts: DataFrame, n: int, bitmap) -> DataFrame:
             langs = coded.dictionary.to_pylist()
             codes = coded.indices.to_numpy(zero_copy_only=False)
             for part in slices(codes, batch.column("text")):
-                yield stripes_of(Words(*part), langs, n, bits)
+                yield stripes_of(Words(*part), langs, n, bits, common)
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, waiting = [], 0
+        for batch in batches:
+            held.append(entries_of(batch))
+            waiting += len(held[-1][3])
+            if waiting > MERGED and len(held) > 1:
+                held, waiting = [merge(held)], 0
+        if held:
+            lang, prefix, word, times = merge(held)
+            yield pa.RecordBatch.from_arrays([lang, prefix, word, pa.array(times, pa.int64())],
+                                             ["lang", "prefix", "next", "f"]
+                                             ).filter(pa.array(times >= least))
 
     stripes = texts.mapInArrow(
-        build, "lang string, prefix string, part int, next array<string>, times array<bigint>")
-    entries = stripes.repartition("lang", "prefix", "part").select(
-        "lang", "prefix", "part", F.inline(F.arrays_zip("next", "times")))
-    return (entries.groupBy("lang", "prefix", "part", "next").agg(F.sum("times").alias("f"))
-            .drop("part"))
+        build, "lang string, prefix string, part int, next string, times binary")
+    return stripes.repartition("lang", "prefix", "part").mapInArrow(
+        add, "lang string, prefix string, next string, f long")
 
 
 def bitmap_of(phrases: DataFrame):
@@ -205,15 +250,18 @@ def mine_phrases(docs: DataFrame, least: int = LEAST, keep: float | None = 0.8)
     """
     texts = docs.select(F.coalesce(docs["lang"].cast("string"), F.lit("und")).alias("lang"),
                         plain(docs["text"]).cast("binary").alias("text"))
-    words = cut(level(texts, 1, None))
+    words = cut(level(texts, 1, None, frozenset(), 1))
     total = words.groupBy("lang").agg(F.sum("f").alias("n"))
+    every = words.agg(F.sum("f")).first()[0] or 0
+    often = words.filter(F.col("f") * COMMON > every).select("next")  # fewer than COMMON rows
+    common = frozenset(r["next"] for r in often.collect())
     none = F.array().cast("array<bigint>")
     last = cut(words.filter(F.col("f") >= least).select(
         "lang", F.col("next").alias("phrase"), "f", none.alias("lefts"), none.alias("rights")))
     levels = []
     for n in range(2, LONGEST + 1):
         bitmap = bitmap_of(last)
-        found = level(texts, n, bitmap).filter(F.col("f") >= least).withColumn(
+        found = level(texts, n, bitmap, common, least).withColumn(
             "phrase", F.concat_ws(" ", "prefix", "next"))
         found = found.withColumn("suffix", F.expr("substring(phrase, instr(phrase, ' ') + 1)"))
         left = last.select("lang", F.col("phrase").alias("prefix"),

@@ -11,8 +11,13 @@ from latebook.llm.text import cut
 BITS = 64
 #: How many key bits one round of probes resolves.
 STEP = 10
-#: Cells per shard in which slots are numbered independently.
-CELLS = 512
+#: Rows of a cell, in which slots are numbered independently, and bytes of the cells' starts up to
+#: which they are sent to every task.
+CELL_ROWS = 50_000
+SMALL = 32 << 20
+#: The keys of the order: equal texts side by side, an even spread by id within them, and, where
+#: rows that agree in both are many, one of each row.
+KEYS = ("_lb_text", "_lb_doc", "_lb_row")
 
 
 def document_bytes(text: Column) -> Column:
@@ -26,23 +31,22 @@ def _leading(key: Column, bits: int) -> Column:
 
 
 def _key(level: int) -> Column:
-    """Keys of the order: equal texts side by side, then an even spread within them."""
-    return F.col(("_lb_text", "_lb_doc")[level])
+    return F.col(KEYS[level])
 
 
-def splitters(keys: DataFrame, shards: int, tolerance: int) -> list[list[tuple[int, int]]]:
-    """For each inner shard border the path of (bits, prefix) cells that ends in its cell.
+def splitters(keys: DataFrame, shards: int, tolerance: int) -> list[dict]:
+    """For each inner shard border the path of (level, bits, prefix) cells that ends in its cell.
 
     Each round sums the exact bytes of the cells below the open ones, a table of at most
     ``2**STEP`` rows for each border, and walks on into the cell that a border falls into. A
-    border is done when its cell holds at most ``tolerance`` bytes, or both keys are used up.
+    border is done when its cell holds at most ``tolerance`` bytes, or the keys are used up.
     The part of the cell that goes to the left is all or nothing, whichever is nearer.
     """
     total = keys.agg(F.sum("_lb_size")).first()[0] or 0
     goals = [total * i / shards for i in range(1, shards)]
     # an open border: (its goal, bytes before its cell, path); all start in the cell of all rows
     state = [{"goal": g, "before": 0, "path": [], "size": total, "open": total > 0} for g in goals]
-    for level in (0, 1):
+    for level, _ in enumerate(k for k in KEYS if k in keys.columns):
         for used in range(0, BITS, STEP):
             bits = min(used + STEP, BITS)
             parents = {tuple(s["path"]) for s in state if s["open"]}
@@ -51,29 +55,27 @@ def splitters(keys: DataFrame, shards: int, tolerance: int) -> list[list[tuple[i
             inside = F.lit(False)
             for path in parents:
                 inside = inside | _in_cell(path)
+            # a cell is known by the finished keys before it and the leading bits of its own
+            above = [_key(i) for i in range(level)]
+            above += [_leading(_key(level), used)] if used else []
             cells: dict[tuple, list[tuple[int, int]]] = {}
-            first = F.col("_lb_text") if level else F.lit(0).cast("long")
-            parent = _leading(_key(level), used) if used else F.lit(0).cast("long")
             counted = (keys.filter(inside)
-                       .groupBy(first.alias("f"), parent.alias("p"),
+                       .groupBy(F.array(*above).cast("array<long>").alias("above"),
                                 _leading(_key(level), bits).alias("c"))
                        .agg(F.sum("_lb_size").alias("n")))
             for row in counted.collect():  # at most 2**STEP rows for each border
-                cells.setdefault((row["f"], row["p"]), []).append((row["c"], row["n"]))
+                cells.setdefault(tuple(row["above"]), []).append((row["c"], row["n"]))
             for s in state:
                 if not s["open"]:
                     continue
-                path = s["path"]
-                last = {lv: p for lv, _, p in path}
-                where = (last.get(0, 0) if level else 0, last.get(level, 0) if used else 0)
                 before = s["before"]
-                found = sorted(cells[where], key=lambda x: x[0] % (1 << 64))
+                found = sorted(cells[tuple(x[2] for x in s["path"])], key=lambda x: x[0] % (1 << 64))
                 for cell, size in found:
                     if before + size >= s["goal"] or (cell, size) == found[-1]:
                         break
                     before += size
                 s["before"], s["size"] = before, size
-                s["path"] = [x for x in path if x[0] != level] + [(level, bits, cell)]
+                s["path"] = [x for x in s["path"] if x[0] != level] + [(level, bits, cell)]
                 s["open"] = size > tolerance
     for s in state:
         s["left"] = s["goal"] - s["before"] > s["size"] / 2
@@ -103,8 +105,9 @@ def shard_documents(docs: DataFrame, shards: int = 8, tolerance: float = 1e-4) -
     """Deal documents into shards of nearly equal bytes.
 
     The order is that of a hash of the text and then of one of the id, so that copies lie
-    side by side and are cut only where a border falls among them. ``tolerance`` is the share
-    of a shard by which a border may miss its place; one document may be larger than that.
+    side by side and are cut only where a border falls among them. Rows that agree in both are
+    dealt one by one if they are many. ``tolerance`` is the share of a shard by which a border may
+    miss its place; one document may be larger than that.
 
     Returns every row with all its columns plus ``shard`` (0 to ``shards`` - 1) and ``slot``
     (gapless from 0 within the shard), replacing columns of these names. No rows give no rows;
@@ -112,7 +115,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, tolerance: float = 1e-4) -
     Documents cross the network once, to the tasks that number them.
     """
     placed = place(docs, shards, tolerance)
-    return placed.drop("_lb_text", "_lb_doc", "_lb_size", "_lb_cell")
+    return placed.drop(*KEYS, "_lb_size", "_lb_cell")
 
 
 def place(docs: DataFrame, shards: int, tolerance: float) -> DataFrame:
@@ -122,20 +125,29 @@ def place(docs: DataFrame, shards: int, tolerance: float) -> DataFrame:
         "_lb_doc": F.xxhash64(ident, F.lit("place")),
         "_lb_size": document_bytes(text)})
     keys = cut(keyed.select("_lb_text", "_lb_doc", "_lb_size"))
-    total = keys.agg(F.sum("_lb_size")).first()[0] or 0
-    borders = splitters(keys, shards, max(1, int(tolerance * total / shards)))
+    alike = keys.groupBy("_lb_text", "_lb_doc").agg(
+        F.count("*").alias("n"), F.sum("_lb_size").alias("size"))
+    found = alike.agg(F.sum("n").alias("n"), F.sum("size").alias("size"), F.max("n").alias("most"),
+                      F.max(F.when(F.col("n") > 1, F.col("size"))).alias("largest")).first()
+    within = max(1, int(tolerance * (found["size"] or 0) / shards))
+    if (found["most"] or 0) > CELL_ROWS or (found["largest"] or 0) > within:
+        # nothing but its place tells such a row from others; written once, it stays the same
+        keyed = cut(keyed.withColumn("_lb_row", F.xxhash64(F.monotonically_increasing_id())))
+        keys = keyed.select(*KEYS, "_lb_size")
+    used = [k for k in KEYS if k in keyed.columns]
+    borders = splitters(keys, shards, within)
     shard = sum((_after(s["path"], s["left"]).cast("int") for s in borders), F.lit(0))
-    cell = F.pmod(F.xxhash64(F.col("_lb_doc")), F.lit(CELLS)).cast("int")
-    # ranks are numbered per cell; what lies in the cells before is a table of shards * CELLS rows
-    sums = (keys.groupBy(shard.alias("shard"), cell.alias("_lb_cell")).agg(F.count("*").alias("n"))
-            .withColumn("_lb_start", F.sum("n").over(
+    cells = max(1, -(-(found["n"] or 0) // (shards * CELL_ROWS)))
+    cell = F.pmod(F.xxhash64(*used), F.lit(cells)).cast("long")
+    # ranks are numbered per cell; what lies in the cells before is a table of shards * cells rows
+    counts = keys.groupBy(shard.alias("shard"), cell.alias("_lb_cell")).agg(F.count("*").alias("n"))
+    sums = (counts.withColumn("_lb_start", F.sum("n").over(
                 Window.partitionBy("shard").orderBy("_lb_cell")) - F.col("n"))
             .select("shard", "_lb_cell", "_lb_start"))
-    rank = F.row_number().over(Window.partitionBy("shard", "_lb_cell")
-                               .orderBy("_lb_doc", "_lb_text"))
+    sums = F.broadcast(sums) if shards * cells * 32 <= SMALL else sums
+    rank = F.row_number().over(Window.partitionBy("shard", "_lb_cell").orderBy(*reversed(used)))
     return (keyed.withColumns({"shard": shard, "_lb_cell": cell})
-            .withColumn("_lb_rank", rank)
-            .join(F.broadcast(sums), ["shard", "_lb_cell"])  # at most shards * CELLS rows
+            .withColumn("_lb_rank", rank).join(sums, ["shard", "_lb_cell"])
             .withColumn("slot", F.col("_lb_start") + F.col("_lb_rank") - 1)
             .drop("_lb_start", "_lb_rank"))
 

@@ -6,9 +6,11 @@ bytes in place. The index posts every distinct fingerprint under its bytes at ea
 are tallied, pairs that reach the guaranteed minimum are kept and verified bit by bit, each at
 the first posting that it shares.
 
-Postings longer than ``LONG`` come from large groups of near copies. Their members are linked
-without any pairs: each emits all fingerprints within half the distance of itself; two of them
-are within the distance if and only if they meet in one of those, and all that meet there are.
+Members of postings longer than ``LONG`` are posted again under one place more, which pairs within
+the distance share as well. Postings that are long even so come from large groups of near copies.
+Their members are linked without any pairs: each emits all fingerprints within half the distance
+of itself; two of them are within the distance if and only if they meet in one of those, and all
+that meet there are.
 """
 
 from __future__ import annotations
@@ -24,7 +26,6 @@ from pyspark.sql import functions as F
 
 from latebook.llm.components import components
 from latebook.llm.registry import query, table
-from latebook.llm.shingles import one_of_each  # noqa: F401
 from latebook.llm.text import cut, plain
 
 #: Fixed by the result contract.
@@ -69,13 +70,15 @@ def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps, pa.int64())],
                                              ["doc_id", "fp"])
 
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"),
-                       plain(docs["text"]).alias("text")).mapInArrow(run, "doc_id long, fp long")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return docs.select(docs["doc_id"], plain(docs["text"]).alias("text")).mapInArrow(
+        run, f"doc_id {kind}, fp long")
 
 
-def _pairs(distance: int, long: int):
+def _pairs(distance: int, long: int, positions: int):
     """Over rows (key, fp) sorted by key: links inside short postings, members of long ones."""
     shared_least = 8 - distance
+    places = 8 ** np.arange(positions)[::-1]
 
     def links(key: np.ndarray, fp: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Pairs of short postings, by their distance in the list."""
@@ -89,9 +92,8 @@ def _pairs(distance: int, long: int):
             other = (a ^ b)
             same = other.view(np.uint8).reshape(-1, 8) == 0
             # the tally of shared bytes, then the first posting they share, then every bit
-            first = (np.argsort(~same, axis=1, kind="stable")[:, :POSITIONS]
-                     @ np.array([64, 8, 1]))
-            good = ((same.sum(1) >= shared_least) & (first == key[live] >> 24)
+            first = np.argsort(~same, axis=1, kind="stable")[:, :positions] @ places
+            good = ((same.sum(1) >= shared_least) & (first == key[live] >> (8 * positions))
                     & (np.bitwise_count(other.view(np.uint64)) <= distance))
             yield a[good], b[good]
 
@@ -137,19 +139,31 @@ def _pairs(distance: int, long: int):
     return run
 
 
+def _posted(distinct: DataFrame, distance: int, long: int, positions: int) -> DataFrame:
+    """Links ``a``, ``b`` inside the short postings of so many places, members of long ones."""
+    byte = [F.shiftrightunsigned("fp", 8 * i).bitwiseAND(F.lit(255)) for i in range(8)]
+    keys = []
+    for at in itertools.combinations(range(8), positions):
+        key = F.lit(sum(x * 8 ** (positions - 1 - i) for i, x in enumerate(at))).cast("long")
+        for x in at:
+            key = key * 256 + byte[x]
+        keys.append(key)
+    posted = (distinct.select(F.explode(F.array(*keys)).alias("key"), "fp")
+              .repartition("key").sortWithinPartitions("key", "fp"))
+    return cut(posted.mapInArrow(_pairs(distance, long, positions), "a long, b long"))
+
+
 def links_of(distinct: DataFrame, distance: int = DISTANCE, long: int = LONG) -> DataFrame:
     """Links ``a``, ``b`` between distinct fingerprints ``fp`` whose components are those of all
     pairs at most ``distance`` bits apart."""
     fp = F.col("fp")
-    byte = [F.shiftrightunsigned(fp, 8 * i).bitwiseAND(F.lit(255)) for i in range(8)]
-    keys = [(F.lit(a * 64 + b * 8 + c).cast("long") * (1 << 24) + byte[a] * 65536
-             + byte[b] * 256 + byte[c])
-            for a, b, c in itertools.combinations(range(8), POSITIONS)]
-    posted = (distinct.select(F.explode(F.array(*keys)).alias("key"), "fp")
-              .repartition("key").sortWithinPartitions("key", "fp"))
-    found = cut(posted.mapInArrow(_pairs(distance, long), "a long, b long"))
+    found = _posted(distinct, distance, long, POSITIONS)
     near = found.filter("b is not null")
     crowded = found.filter("b is null").select(F.col("a").alias("fp")).distinct()
+    if POSITIONS < 8 - distance:
+        found = _posted(crowded, distance, long, POSITIONS + 1)
+        near = near.union(found.filter("b is not null"))
+        crowded = found.filter("b is null").select(F.col("a").alias("fp")).distinct()
     half = distance // 2
     masks = [sum(1 << i for i in bits) for k in range(half + 1)
              for bits in itertools.combinations(range(64), k)]

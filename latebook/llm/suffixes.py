@@ -5,18 +5,21 @@ beyond that depth, and equal groups after the last digit are what is looked for.
 from the most significant on, and each pass only orders what the pass before left in a group of
 several documents:
 
-1. The first digit of a window of 50 bytes is the least of its 16-byte strings by hash. Equal
-   windows have equal digits. Neighbouring suffixes mostly share it, so a *run* of them is one row
-   instead of one for every byte.
+1. The first digit of a window of 50 bytes is the least of its 16-byte strings by hash, its
+   *anchor*. Equal windows have equal digits. Neighbouring suffixes mostly share the anchor, so a
+   *run* of them is one row instead of one for every byte.
 2. The second digit is the whole run: all bytes from its first window to its last. Runs that an
-   earlier document holds as a whole are repeated; runs whose first digit no earlier document has
-   are not.
-3. What is left are runs that agree with another in part, at the edges of passages. Their single
-   windows are the last digit, all 50 bytes of them.
-
-Bytes are compared by 128 bits of hash. Each task first orders the suffixes of its own texts, so
-that of equal rows one a task goes on, and a first digit with many unlike runs in one task passes
-its runs to the third pass at once; a very common passage therefore has few rows a task.
+   earlier document holds as a whole are repeated.
+3. The third digits are the anchor with the 17 bytes to its right, and to its left; a window holds
+   one of the two. A run that shares neither with a run of another document is not repeated.
+4. What is left are runs that agree with another in part, at the edges of passages. Their single
+   windows are the last digit, all 50 bytes of them. The runs of one anchor are ordered in one task
+   with their bytes; an anchor with more than ``CROWD`` runs has its windows spread over all tasks.
+
+The bytes of runs are compared by 96 bits of hash, those of spread windows by 128, others as they
+are; the third digits only choose what is looked at. Each task first orders the suffixes of its own
+texts, so that of equal rows one a task goes on, and a first digit with many unlike runs in one task
+has its windows spread at once; a very common passage therefore has few rows a task.
 """
 
 from __future__ import annotations
@@ -37,47 +40,95 @@ from latebook.llm.text import cut, plain
 WINDOW = 50
 #: Bytes of the strings of which a window's least one is its first digit.
 GRAM = 16
-#: Windows that are worked on together, and unlike runs of one first digit in a task beyond which
-#: they go to the third pass without the second. Neither changes the result.
-BLOCK = 1 << 20
+#: Windows that are worked on together; unlike runs of one anchor in a task, runs of one anchor,
+#: and windows of a run, beyond which windows are spread. None changes the result.
+BLOCK = (1 << 20) - 64
 WIDE = 16
-
-#: What a row says: still open, repeated, or to be looked at window by window.
-OPEN, GONE, APART = 0, 1, 2
+CROWD = 1000
+LONG = 256
+
+#: What a row says: still open, repeated, its windows to be looked at with those of its anchor, or
+#: spread, and that an anchor has such rows.
+OPEN, GONE, APART, SPREAD, MARK = 0, 1, 2, 3, 4
+#: Bits of a place in a block, below those of a hash; the third digit of a run without one, and of
+#: one whose anchor stands in a window twice.
+_PLACE = np.uint64((1 << 20) - 1)
+_NONE, _TWICE = 0, 0xFFFF
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
-def least_grams(data: np.ndarray, window: int) -> np.ndarray:
-    """For each window the least hash of its ``GRAM``-byte strings, whose bytes decide it."""
+def words_at(data: np.ndarray) -> np.ndarray:
+    """The eight bytes at every place, as a number."""
     word = data.astype(np.uint64)
-    for bits in (8, 16, 32):  # eight bytes at every place
+    for bits in (8, 16, 32):
         step = bits // 8
         word = word[:-step] | (word[step:] << np.uint64(bits))
-    low = (word[:len(word) - (GRAM - 8)] * _ODD[0]) ^ (word[GRAM - 8:] * _ODD[1])
-    low = (low ^ (low >> np.uint64(32))) * _ODD[2]
-    low ^= low >> np.uint64(29)
-    width, have = window - GRAM + 1, 1
+    return word
+
+
+def mixed(word: np.ndarray, at: np.ndarray | slice, size: int) -> np.ndarray:
+    """A hash of the ``size`` bytes (eight or more) at places."""
+    total = np.uint64(size)
+    for step in [*range(0, size - 8, 8), size - 8]:
+        here = (word[step + at.start:step + at.stop] if isinstance(at, slice) else word[at + step])
+        total = (total ^ here) * _ODD[0]
+        total ^= total >> np.uint64(32)
+    total = total * _ODD[1]
+    return total ^ (total >> np.uint64(29))
+
+
+def least_within(values: np.ndarray, width: int) -> np.ndarray:
+    """The least of each ``width`` neighbouring values."""
+    have = 1
     while have * 2 <= width:
-        low = np.minimum(low[:-have], low[have:])
+        values = np.minimum(values[:-have], values[have:])
         have *= 2
-    return low if have == width else np.minimum(low[:have - width], low[width - have:])
+    return values if have == width else np.minimum(
+        values[:have - width], values[width - have:])
+
+
+def anchors(grams: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each window the place of its anchor and whether that stands in the window twice.
+
+    The highest 44 bits of a hash decide, so a place fits below them; both are up to the window's
+    bytes alone.
+    """
+    width, place = window - GRAM + 1, np.arange(len(grams), dtype=np.uint64)
+    high = grams & ~_PLACE
+    first = least_within(high | place, width)
+    last = least_within(high | (_PLACE - place), width)
+    twice = (first & _PLACE) != _PLACE - (last & _PLACE)
+    return (first & _PLACE).astype(np.int64), twice
 
 
 def runs_of(text: bytes, window: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """First window, number of windows, first digit and second digit of the runs of a text.
+    """First window, number of windows, first digit, and second and third digits of the runs of
+    a text. The latter are one number: 32 bits of the run's bytes, 16 of either side.
 
     Long texts are cut into blocks; a run that ends at a block's border is only found in part,
-    which leaves it to the third pass.
+    which leaves it to the last pass.
     """
-    data, digest = np.frombuffer(text, np.uint8), xxhash.xxh3_64_intdigest
+    whole, digest, half = np.frombuffer(text, np.uint8), xxhash.xxh3_64_intdigest, (window - GRAM) // 2
     for begin in range(0, len(text) - window + 1, BLOCK):
-        least = least_grams(data[begin:begin + BLOCK + window - 1], window)
-        at = np.flatnonzero(np.append(True, least[1:] != least[:-1]))
-        size = np.diff(np.append(at, len(least)))
-        first = at + begin
-        run = np.array([digest(text[a:b]) for a, b in zip(
+        data = whole[begin:begin + BLOCK + window - 1]
+        word = words_at(data)
+        grams = mixed(word, slice(0, len(data) - GRAM + 1), GRAM)
+        anchor, twice = anchors(grams, window)
+        # windows without one place for their anchor are together as long as it is the same
+        same = np.where(twice, (grams[anchor] | _PLACE).view(np.int64), anchor)
+        at = np.flatnonzero(np.append(True, same[1:] != same[:-1]))
+        last = np.append(at[1:], len(same)) - 1
+        first, size, mine = at + begin, last - at + 1, anchor[at]
+        run = np.array([digest(text[a:b]) >> 32 for a, b in zip(
             first.tolist(), (first + size + window - 1).tolist(), strict=True)], np.uint64)
-        yield first, size, least[at].view(np.int64), run.view(np.int64)
+        sides = []
+        for place, held in ((mine, mine - last <= window - GRAM - half),
+                            (mine - half, mine - at >= half)):
+            side = mixed(word, np.where(held, place, 0), GRAM + half) >> np.uint64(48)
+            side = np.clip(side, 1, _TWICE - 1) * held
+            sides.append(np.where(twice[at], _TWICE, side).astype(np.uint64))
+        packed = (run << np.uint64(32)) | (sides[0] << np.uint64(16)) | sides[1]
+        yield first, size, grams[mine].view(np.int64), packed.view(np.int64)
 
 
 def ranks(ids: list) -> np.ndarray:
@@ -86,14 +137,15 @@ def ranks(ids: list) -> np.ndarray:
     return np.array([len(order) if x["no"] else order[x["id"]] for x in ids], np.int64)
 
 
-def settle(key: np.ndarray, run: np.ndarray, rank: np.ndarray, wide: int | None) -> np.ndarray:
-    """What each row is, as far as the rows at hand tell.
+def settle(key: np.ndarray, run: np.ndarray, rank: np.ndarray,
+           wide: int | None) -> tuple[np.ndarray, np.ndarray]:
+    """What each row is, as far as the rows at hand tell, and rows that mark a key.
 
     Rows whose key and run a smaller rank has are ``GONE``. Of the others, those of a key with
-    more than ``wide`` unlike runs are ``APART``, but for one of its smallest and one of its
-    largest rank, which tell other tasks that the key is there.
+    more than ``wide`` unlike runs are ``SPREAD``; one of its smallest and one of its largest rank
+    mark it for other tasks.
     """
-    state = np.full(len(key), OPEN, np.int8)
+    state, marks = np.full(len(key), OPEN, np.int8), []
     order = np.lexsort((rank, run, key))
     k, r, d = key[order], run[order], rank[order]
     fresh = np.append(True, (k[1:] != k[:-1]) | (r[1:] != r[:-1]))[:len(k)]
@@ -104,10 +156,9 @@ def settle(key: np.ndarray, run: np.ndarray, rank: np.ndarray, wide: int | None)
         family = np.cumsum(keys) - 1
         for f in np.flatnonzero(np.bincount(family, fresh) > wide).tolist():
             mine = order[np.searchsorted(family, f):np.searchsorted(family, f, side="right")]
-            mine = mine[state[mine] == OPEN]
-            mine = mine[np.argsort(rank[mine], kind="stable")]
-            state[mine[1:-1]] = APART
-    return state
+            state[mine[state[mine] == OPEN]] = SPREAD
+            marks += [mine[rank[mine].argmin()], mine[rank[mine].argmax()]]
+    return state, np.array(marks, np.int64)
 
 
 def joined(doc: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -135,9 +186,10 @@ class _Rows:
     def flush(self) -> Iterator[pa.RecordBatch]:
         if self.count:
             doc, first, size, key, run = map(np.concatenate, zip(*self.parts, strict=True))
-            state = settle(key, run, self.rank[doc], self.wide)
-            rows = []
-            for kind in (OPEN, GONE, APART):
+            state, marks = settle(key, run, self.rank[doc], self.wide)
+            rows = [(doc[marks], first[marks], size[marks], key[marks], np.zeros_like(marks),
+                     np.full(len(marks), MARK, np.int8))]
+            for kind in (OPEN, GONE, SPREAD):
                 mine = state == kind
                 part = (doc[mine], first[mine], size[mine])
                 keys = (key[mine], run[mine])
@@ -172,64 +224,139 @@ def _run_rows(texts: DataFrame, window: int) -> DataFrame:
     return texts.mapInArrow(build, f"{ids}, {_Rows.schema}")
 
 
-def _window_rows(texts: DataFrame, window: int) -> DataFrame:
-    """The single windows of the runs in ``_lb_runs`` that are ``APART``."""
+def _edge_rows(texts: DataFrame, window: int) -> DataFrame:
+    """The runs in ``_lb_runs`` that are ``APART``, with their ``body``, and the single windows of
+    those that are ``SPREAD``."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
-            rows = _Rows(batch, None)
+            rows, bodies = _Rows(batch, None), []
             for doc, (text, runs) in enumerate(zip(
                     batch.column("_lb_text"), batch.column("_lb_runs"), strict=True)):
                 body = text.as_py()
                 for run in sorted(runs.as_py(), key=lambda r: r["first"]):
-                    if run["state"] != APART:
+                    end = run["first"] + run["size"]
+                    if run["state"] == APART:
+                        bodies.append((doc, run["key"], run["first"], run["size"],
+                                       body[run["first"]:end + window - 1]))
+                    if run["state"] != SPREAD:
                         continue
-                    for begin in range(run["first"], run["first"] + run["size"], BLOCK):
-                        stop = min(begin + BLOCK, run["first"] + run["size"])
+                    for begin in range(run["first"], end, BLOCK):
+                        stop = min(begin + BLOCK, end)
                         found = np.frombuffer(b"".join(
                             [digest(body[i:i + window]) for i in range(begin, stop)]),
                             np.int64).reshape(-1, 2)
                         rows.add(doc, np.arange(begin, stop), np.ones(stop - begin, np.int64),
                                  found[:, 0], found[:, 1])
                         if rows.count > BLOCK:
-                            yield from rows.flush()
-            yield from rows.flush()
-
+                            yield from map(without_body, rows.flush())
+            yield from map(without_body, rows.flush())
+            if bodies:
+                doc, key, first, size, body = zip(*bodies, strict=True)
+                at, n = pa.array(doc, pa.int64()), len(doc)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_lb_id").take(at), batch.column("_lb_text_id").take(at),
+                     pa.array(key, pa.int64()), pa.array(np.zeros(n, np.int64)),
+                     pa.array(np.full(n, APART, np.int8)), pa.array(first, pa.int64()),
+                     pa.array(size, pa.int64()), pa.array(body, pa.binary())], names)
+
+    def without_body(batch: pa.RecordBatch) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.nulls(batch.num_rows, pa.binary())], names)
+
+    names = ["_lb_id", "_lb_text_id", *(f.split()[0] for f in _Rows.schema.split(", ")), "body"]
     ids = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in texts.schema
                     if f.name in ("_lb_id", "_lb_text_id"))
-    return texts.mapInArrow(build, f"{ids}, {_Rows.schema}")
+    return texts.mapInArrow(build, f"{ids}, {_Rows.schema}, body binary")
 
 
-def _runs_by_text(rows: DataFrame, name: str) -> DataFrame:
+def _repeated_edges(rows: DataFrame, window: int) -> DataFrame:
+    """Of ``_edge_rows`` the windows that a smaller id has, those that follow on each other joined.
+
+    Rows come ordered by key, run and id, so the first of equal windows is the smallest.
+    """
+    ids = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema
+                    if f.name in ("_lb_id", "_lb_text_id"))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchor, seen = None, {}      # the anchor at hand, and the first id of its windows
+        place, least = None, None    # the spread window at hand, and its first id
+        for batch in batches:
+            found = []
+            for i, (key, run, state, first, size, ident, body) in enumerate(zip(*(
+                    batch.column(c).to_pylist() for c in (
+                        "key", "run", "state", "first", "size", "_lb_id", "body")), strict=True)):
+                ident = tuple(ident.values())
+                if state == GONE:
+                    found.append((i, first, size))
+                elif state == APART:
+                    if key != anchor:
+                        anchor, seen = key, {}
+                    for j in range(size):
+                        if seen.setdefault(body[j:j + window], ident) != ident:
+                            found.append((i, first + j, 1))
+                else:
+                    if (key, run) != place:
+                        place, least = (key, run), ident
+                    if ident != least:
+                        found.append((i, first, size))
+            at, first, size = joined(*np.array(found, np.int64).reshape(-1, 3).T)
+            row = pa.array(at)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_lb_id").take(row), batch.column("_lb_text_id").take(row),
+                 pa.array(first), pa.array(size), pa.array(np.full(len(at), GONE, np.int8))],
+                ["_lb_id", "_lb_text_id", "first", "size", "state"])
+
+    return rows.repartition("key").sortWithinPartitions("key", "state", "run", "_lb_id").mapInArrow(
+        compare, f"{ids}, first long, size long, state byte")
+
+
+def _runs_by_text(rows: DataFrame, name: str, *more: str) -> DataFrame:
     return rows.groupBy("_lb_id", "_lb_text_id").agg(
-        F.collect_set(F.struct("first", "size", "state")).alias(name))
+        F.collect_set(F.struct("first", "size", "state", *more)).alias(name))
 
 
 def with_passages(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     """The documents with ``_lb_text`` (their bytes) and the windows that repeat: arrays of
-    ``first`` and ``size`` (and ``state``, where only ``GONE`` counts), or null."""
+    ``first`` and ``size`` (and ``state``, of which only ``GONE`` counts), or null."""
     text = plain(docs["text"]).cast("binary")
     texts = docs.select(F.struct(docs["doc_id"].isNull().alias("no"), docs["doc_id"].alias("id"))
                         .alias("_lb_id"), F.xxhash64(text).alias("_lb_text_id"), text.alias("_lb_text"))
-    by_key, by_run = Window.partitionBy("key", "state"), Window.partitionBy("key", "state", "run")
-    rows = (_run_rows(texts, window).repartition("key")
+    settled = F.col("state").isin(GONE, SPREAD)
+    by_key, by_run = (Window.partitionBy("key", "settled", *more) for more in ((), ("run",)))
+    rows = (_run_rows(texts, window).withColumn("settled", settled).repartition("key")
             .withColumn("run_first", F.min("_lb_id").over(by_run))
-            .withColumn("key_first", F.min("_lb_id").over(by_key))
-            .withColumn("key_last", F.max("run_first").over(by_key)))
-    state = (F.when(F.col("state") != OPEN, F.col("state"))
+            .withColumn("key_first", F.min("run_first").over(by_key))
+            .withColumn("key_last", F.max("run_first").over(by_key))
+            .withColumn("marked", F.max(F.col("state") == MARK).over(by_key)))
+    known = (F.when(settled, F.col("state"))
              .when(F.col("run_first") < F.col("_lb_id"), GONE)
-             .when(F.col("key_first") < F.col("key_last"), APART))
+             .when((F.col("key_first") < F.col("key_last")) & F.col("marked"), SPREAD)
+             .when(F.col("key_first") < F.col("key_last"), OPEN))
+    rows = rows.filter(F.col("state") != MARK).withColumn("state", known.cast("byte")).filter(
+        F.col("state").isNotNull())
+    right = F.shiftright("run", 16).bitwiseAND(F.lit(0xFFFF))
+    left = F.col("run").bitwiseAND(F.lit(0xFFFF))
+    for name, side in (("right", right), ("left", left)):
+        rows = rows.withColumn("side", side)
+        by_side = Window.partitionBy("key", "state", "side")
+        rows = rows.withColumn(name, (F.col("side") != _NONE) & (
+            F.min("run_first").over(by_side) < F.max("run_first").over(by_side)))
+    of_key = Window.partitionBy("key", "state")
+    rows = (rows.withColumn("crowd", (F.count("*").over(of_key) > CROWD)
+                            | (F.max("size").over(of_key) > LONG)))
+    state = (F.when(F.col("state") != OPEN, F.col("state"))
+             .when((F.col("right") | F.col("left")) & F.col("crowd"), SPREAD)
+             .when(F.col("right") | F.col("left"), APART))
     runs = cut(rows.withColumn("state", state.cast("byte")).filter(F.col("state").isNotNull())
-               .select("_lb_id", "_lb_text_id", "first", "size", "state"))
+               .select("_lb_id", "_lb_text_id", "first", "size", "state",
+                       F.when(F.col("state") == APART, F.col("key")).alias("key")))
     spread = texts.repartition("_lb_id", "_lb_text_id")
     keys = ["_lb_id", "_lb_text_id"]
-    known = spread.join(_runs_by_text(runs, "_lb_runs"), keys, "left")
-    apart = known.filter(F.exists("_lb_runs", lambda r: r["state"] == APART))
-    windows = (_window_rows(apart, window).repartition("key")
-               .withColumn("first_id", F.min("_lb_id").over(by_run))
-               .filter((F.col("state") == GONE) | (F.col("first_id") < F.col("_lb_id")))
-               .withColumn("state", F.lit(GONE).cast("byte")))
+    known = spread.join(_runs_by_text(runs, "_lb_runs", "key"), keys, "left")
+    edges = known.filter(F.exists("_lb_runs", lambda r: r["state"].isin(APART, SPREAD)))
+    windows = _repeated_edges(_edge_rows(edges, window), window)
     return known.join(_runs_by_text(windows, "_lb_windows"), keys, "left")
 
 

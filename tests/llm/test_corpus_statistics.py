@@ -108,10 +108,25 @@ def test_slices_cut_between_pieces_only(size):
 def test_a_small_bitmap_only_lets_more_through(odd, monkeypatch):
     want = sorted(map(tuple, phrases.mine_phrases(odd, 3).collect()))
     monkeypatch.setattr(phrases, "MOST_BITS", 1 << 5)
-    monkeypatch.setattr(phrases, "PARTS", (1, 1, 1, 1))
+    monkeypatch.setattr(phrases, "COMMON", 3)
     assert sorted(map(tuple, phrases.mine_phrases(odd, 3).collect())) == want
 
 
+def test_stripes_merge_elementwise():
+    def stripes(*rows):
+        lang, prefix, part, word, times = zip(*rows, strict=True)
+        return pa.RecordBatch.from_arrays([pa.array(lang), pa.array(prefix), pa.array(part, pa.int32()),
+                                           pa.array(word), pa.array([
+                                               np.array(t, "<u4").tobytes() for t in times])],
+                                          schema=phrases._STRIPE)
+    a = stripes(("en", "x", 0, "a b", [1, 2**32 - 1]), ("de", "x", 0, "a", [4]))
+    b = stripes(("en", "x", 0, "b c", [5, 6]), ("en", "y", 0, "a", [7]))
+    merged = phrases.merge([phrases.entries_of(a), phrases.merge([phrases.entries_of(b)])])
+    assert sorted(zip(*(x.tolist() for x in merged), strict=True)) == [
+        ("de", "x", "a", 4), ("en", "x", "a", 1), ("en", "x", "b", 2**32 + 4), ("en", "x", "c", 6),
+        ("en", "y", "a", 7)]
+
+
 def brute_passages(rows, window):
     first = {}
     order = lambda d: (d is None, d if d is not None else 0)
@@ -145,8 +160,9 @@ def passages(spark, seed=1):
     return rows
 
 
-@pytest.mark.parametrize("window", [20, 50])
-def test_passages_against_brute_force(spark, window):
+@pytest.mark.parametrize("window,crowd", [(20, 1000), (50, 1000), (50, 2)])
+def test_passages_against_brute_force(spark, monkeypatch, window, crowd):
+    monkeypatch.setattr(suffixes, "CROWD", crowd)
     rows = passages(spark)
     df = spark.createDataFrame(rows_of(*rows), SCHEMA).repartition(7)
     got = sorted(map(tuple, suffixes.passage_digests(df, window).collect()), key=repr)
@@ -179,16 +195,23 @@ def test_one_passage_in_many_documents(spark):
 
 def test_runs_hold_each_window_once_and_depend_on_bytes(monkeypatch):
     rng = np.random.default_rng(4)
-    text = bytes(rng.integers(97, 101, 700, dtype=np.uint8)) + b"a" * 300
-    for block in (1 << 20, 128):
+    text = bytes(rng.integers(97, 101, 700, dtype=np.uint8)) + b"a" * 300 + b"abc" * 80
+    of_window = {}
+    for block in (suffixes.BLOCK, 128):
         monkeypatch.setattr(suffixes, "BLOCK", block)
         found = [x for part in suffixes.runs_of(text, 50) for x in zip(*map(np.ndarray.tolist, part))]
         places = [i for first, size, *_ in found for i in range(first, first + size)]
         assert places == list(range(len(text) - 49))
-        own = suffixes.least_grams(np.frombuffer(text, np.uint8), 50).view(np.int64)
-        assert all((own[first:first + size] == key).all() for first, size, key, _ in found)
-    for i in (0, 100, 600):
-        assert suffixes.least_grams(np.frombuffer(text[i:i + 50], np.uint8), 50).view(np.int64) == own[i]
+        assert block < 1000 or len(found) < len(places) / 8
+        for first, size, key, packed in found:
+            sides = {(side, packed >> side & 0xFFFF) for side in (0, 16)} - {(0, 0), (16, 0)}
+            for i in range(first, first + size):
+                of_window.setdefault(text[i:i + 50], []).append((key, sides))
+    for i in range(0, len(text) - 49, 7):  # the same bytes alone
+        (first, size, key, packed), = zip(*map(np.ndarray.tolist, next(suffixes.runs_of(text[i:i + 50], 50))))
+        sides = {(side, packed >> side & 0xFFFF) for side in (0, 16)} - {(0, 0), (16, 0)}
+        assert (first, size) == (0, 1) and sides
+        assert all(k == key and sides <= s for k, s in of_window[text[i:i + 50]])
 
 
 def brute_spelling(rows):

@@ -74,7 +74,8 @@ def test_lines_against_brute_force(spark):
                 want[i].append(k)
             seen.append(mine)
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    got = {r["doc_id"]: r["_lb_gone"] for r in lines.with_removed(df).collect()}
+    got = {r["doc_id"]: r["gone"] for r in lines.with_removed(df).select(
+        "doc_id", lines.numbers("_lb_gone").alias("gone")).collect()}
     assert {k: v for k, v in got.items() if v} == dict(want)
 
 
@@ -143,7 +144,7 @@ def test_simhash_on_odd_rows(odd, none):
     assert len(found) == len(ROWS) and simhash.near_duplicates(none).count() == 0
     of = {r["doc_id"]: r["component_id"] for r in found}
     assert of[3] == of[4] == 3 and of[1] == 1
-    kept = simhash.one_of_each(odd, 5)
+    kept = shingles.one_of_each(odd, 5)
     assert kept.columns == odd.columns
     ids = [r["doc_id"] for r in kept.collect()]
     assert ids.count(1) == 1 and ids.count(None) == 1 and 4 not in ids
