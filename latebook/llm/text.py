@@ -56,7 +56,7 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))
     with shuffles_released(df.sparkSession):
-        return df.checkpoint()
+        return df.select("*").checkpoint()  # a query follows the settings of when it was made
 
 
 @contextmanager
