@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from latebook.catalog.cleaning import all_errors
 from latebook.catalog.registry import money, query
 from latebook.operators import control as c
 from latebook.operators import monitoring as m
-from latebook.operators.governance import retained, role_view
+from latebook.operators.governance import expire, policy_view, retained, role_view, tagged
 from latebook.operators.settlement import settle
 from latebook.operators.stamps import audit_stamp
 from latebook.profiles import GATE_THRESHOLDS
@@ -91,14 +92,15 @@ SELECT process_id, entity_name, process_name, status,
        total_records_processed, total_records_error, run_date >= DATE '2024-01-16' AS second_run
 FROM proc_log""", "proc_log"))
 def process_log(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two appends to the control table, read back as one log."""
+    """The logs of two runs in the control table, those of the second written twice, read back as
+    one log."""
     logs = v.proc_log(spark, sf_dir)
     path = new_folder(spark, "process-logs")
     second = F.col("start_time") >= F.lit(dt.date(2024, 1, 16))
-    for part in (~second, second):
+    for part, run in ((~second, "first"), (second, "second"), (second, "second")):
         append_process_log(c.as_process_log(logs.filter(part).withColumns({
             "start_time": F.date_format("start_time", TIME),
-            "end_time": F.date_format("end_time", TIME)})), path)
+            "end_time": F.date_format("end_time", TIME)})), path, run)
     stored = spark.read.schema(PROCESS_LOG).parquet(path)
     return stored.select(
         "process_id", "entity_name", "process_name", "status", "start_time", "end_time",
@@ -118,7 +120,10 @@ SELECT entity_name, error_type, count(*) AS n_records, count(*) AS n_ids FROM (
   UNION ALL SELECT 'payments', 'PAYMENT_VALUE_WARNING' FROM pay_unique WHERE amount_paid <= 0)
 GROUP BY ALL""", "tx_unique", "pay_unique"))
 def error_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = append_error_records(all_errors(spark, sf_dir), new_folder(spark, "error-records"))
+    """The errors written, and written again by a retry, which replaces them."""
+    path = new_folder(spark, "error-records")
+    for _ in range(2):
+        append_error_records(all_errors(spark, sf_dir), path, "run-1")
     return spark.read.parquet(path).groupBy("entity_name", "error_type").agg(
         F.count(F.lit(1)).alias("n_records"), F.countDistinct("error_id").alias("n_ids"))
 
@@ -162,6 +167,36 @@ def analyst_view(spark: SparkSession, sf_dir: str) -> DataFrame:
         "payment_date": F.col("payment_date").cast("date")})
 
 
+@query("policy_view", v.sql("""
+SELECT transaction_id, sha256('salt' || customer_id) AS customer_id,
+       CAST(transaction_date AS DATE) AS transaction_date, due_date, payment_id,
+       CAST(payment_date AS DATE) AS payment_date
+FROM joined""", "joined"))
+def closed_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same role by the tags in the schema: a pseudonym, no money, and nothing untagged."""
+    joined = settle(v.tx(spark, sf_dir), v.pay(spark, sf_dir)).withColumns({
+        "transaction_date": F.col("transaction_date").cast("date"),
+        "payment_date": F.col("payment_date").cast("date"), "note": F.lit("untagged")})
+    return policy_view(tagged(joined), allowed=(), salt="salt")
+
+
+@query("retention_expire", """
+SELECT strftime(CAST(ts AS DATE), '%Y-%m-%d') AS dropped_day, count(*) AS n_rows,
+       '2024-01-21' AS first_kept
+FROM events WHERE CAST(ts AS DATE) < DATE '2024-01-21' GROUP BY ALL
+UNION ALL
+SELECT 'kept', count(*), '2024-01-21' FROM events WHERE CAST(ts AS DATE) >= DATE '2024-01-21'""")
+def retention_expire(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table by ingestion day whose expired partitions are dropped: the audit, and what is left."""
+    name = f"latebook_expire_{uuid.uuid4().hex[:8]}"
+    (v.table(spark, sf_dir, "events").select("event_id", F.col("ts").cast("date").alias("dt_ingestao"))
+     .write.partitionBy("dt_ingestao").option("path", new_folder(spark, "expire")).saveAsTable(name))
+    audit = expire(spark, name, "dt_ingestao", dt.date(2024, 1, 31), 10).drop("table_name")
+    kept = spark.table(name).agg(F.count("*").alias("n_rows")).select(
+        F.lit("kept").alias("dropped_day"), "n_rows", F.lit("2024-01-21").alias("first_kept"))
+    return audit.union(kept)
+
+
 @query("p95_duration", v.sql("""
 SELECT entity_name, count(*) AS n_runs,
        round(quantile_cont(duration_seconds, 0.95), 4) AS p95_seconds

@@ -1,7 +1,8 @@
 """Streaming queries: the given tables as streams, run until all available rows are done.
 
-A stream emits an unpaid transaction only once the watermark has passed its time to pay, so
-the oracles leave out what the last watermark has not closed.
+They run with the bounds of the job: any payment settles its transaction, however early or late. A
+stream emits an unpaid transaction only once the watermark has passed its time to pay, so the
+oracles leave out what the last watermark has not closed.
 """
 
 from __future__ import annotations
@@ -16,21 +17,23 @@ from pyspark.sql import types as T
 from latebook.catalog import views as v
 from latebook.catalog.classification import profile_rows
 from latebook.catalog.registry import money, query
+from latebook.plans.streams import PROMPT, StreamJob
 from latebook.operators.rules import stream_profile
-from latebook.schemas import RAW_TRANSACTIONS
+from latebook.schemas import RAW_PAYMENTS, RAW_TRANSACTIONS
 from latebook.sources.files import list_files
 from latebook.streaming import sources as s
-from latebook.streaming.batches import metrics_writer, window_writer
-from latebook.streaming.detail import Bounds, settle_streams
-from latebook.streaming.metrics import current_windows, window_alerts, window_metrics
+from latebook.streaming.batches import metrics_writer, stored_windows, window_writer
+from latebook.streaming.detail import settle_streams
+from latebook.streaming.metrics import window_alerts, window_metrics
 from latebook.streaming.runner import (
     DETAIL_PARTITIONS, finish, sized_session, start_batches, start_table,
 )
 from latebook.workspace import new_folder
 
-BOUNDS = Bounds(delay="2 hours", within="90 days")
 TIME = "yyyy-MM-dd HH:mm:ss"
 FILES_PER_BATCH = 100
+#: Runs of the job over which ``stream_batch_equal`` spreads the tables by date.
+RUNS = 3
 
 
 def _stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -51,25 +54,31 @@ def _sized(spark: SparkSession, sf_dir: str, *names: str) -> SparkSession:
     return sized_session(spark, total or 0)
 
 
-def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = _stream(spark, sf_dir, "orders").select(
+def _raw_transactions(orders: DataFrame) -> DataFrame:
+    return orders.select(
         F.col("o_orderkey").cast("string").alias("transaction_id"),
         F.concat(F.lit("C"), F.lpad(F.col("o_custkey").cast("string"), 6, "0"))
         .alias("customer_id"),
         F.col("o_totalprice").alias("amount"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("date"))
-    return s.transaction_events(raw)
 
 
-def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_payments(lineitem: DataFrame) -> DataFrame:
     """Every line is a payment of its own here; repeated line numbers are not repeats."""
-    raw = _stream(spark, sf_dir, "lineitem").select(
+    return lineitem.select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
         .alias("payment_id"),
         F.col("l_orderkey").cast("string").alias("transaction_id"),
         F.col("l_extendedprice").alias("amount_paid"),
         F.date_format("l_shipdate", "yyyy-MM-dd").alias("date_paid"))
-    return s.payment_events(raw)
+
+
+def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return s.transaction_events(_raw_transactions(_stream(spark, sf_dir, "orders")))
+
+
+def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return s.payment_events(_raw_payments(_stream(spark, sf_dir, "lineitem")))
 
 
 def _to_table(spark: SparkSession, df: DataFrame, name: str,
@@ -81,7 +90,7 @@ def _to_table(spark: SparkSession, df: DataFrame, name: str,
 
 def _settled(spark: SparkSession, sf_dir: str, how: str = "left_outer") -> DataFrame:
     sized = _sized(spark, sf_dir, "orders", "lineitem")
-    return settle_streams(transactions(sized, sf_dir), payments(sized, sf_dir), BOUNDS, how)
+    return settle_streams(transactions(sized, sf_dir), payments(sized, sf_dir), PROMPT, how)
 
 
 def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -108,23 +117,33 @@ _STREAMS = {
     "mark": """
   SELECT least((SELECT max(transaction_date) FROM tx), (SELECT max(payment_date) FROM spay))
          - INTERVAL 2 HOUR AS closed_at""",
-    "outer_rows": """
+    "paid_rows": """
   SELECT t.*, p.payment_id, p.payment_amount, p.payment_date
-  FROM tx t LEFT JOIN spay p
-    ON t.transaction_id = p.transaction_id AND p.payment_date >= t.transaction_date
-   AND p.payment_date <= t.transaction_date + INTERVAL 90 DAY""",
+  FROM tx t JOIN spay p USING (transaction_id)""",
+    "unpaid_after": """
+  SELECT t.* FROM tx t
+  WHERE transaction_date + INTERVAL 61 DAY < (SELECT closed_at FROM mark)""",
     "closed": """
-  SELECT * FROM outer_rows
-  WHERE payment_id IS NOT NULL
-     OR transaction_date + INTERVAL 91 DAY < (SELECT closed_at FROM mark)""",
+  SELECT * FROM paid_rows
+  UNION ALL BY NAME
+  SELECT * FROM unpaid_after u
+  WHERE NOT EXISTS (SELECT 1 FROM spay p WHERE p.transaction_id = u.transaction_id
+                    AND p.payment_date <= u.transaction_date + INTERVAL 61 DAY)""",
+    "current_rows": """
+  SELECT * FROM paid_rows
+  UNION ALL BY NAME
+  SELECT * FROM unpaid_after u
+  WHERE NOT EXISTS (SELECT 1 FROM spay p WHERE p.transaction_id = u.transaction_id)""",
     "detail": """
   SELECT *, c1 OR c2 AS inadimplente
   FROM (SELECT *, transaction_date >= DATE '2000-06-15' - 90 AND days_late > 30 AS c1,
                transaction_date >= DATE '2000-06-15' - 180 AND days_late > 15 AS c2
         FROM (SELECT *, CAST(greatest(0, datediff('day', due_date,
                      coalesce(CAST(payment_date AS DATE), DATE '2000-06-15'))) AS INTEGER)
-                     AS days_late FROM closed))""",
+                     AS days_late FROM {}))""",
 }
+_CURRENT = {**_STREAMS, "detail": _STREAMS["detail"].format("current_rows")}
+_STREAMS["detail"] = _STREAMS["detail"].format("closed")
 _PAIR = """
 SELECT transaction_id, customer_id, amount AS value, strftime(transaction_date, '%Y-%m-%d')
          AS transaction_day, due_date, payment_id, payment_amount,
@@ -140,7 +159,7 @@ def _pairs(df: DataFrame) -> DataFrame:
 
 
 @query("stream_join_inner", v.sql(
-    f"{_PAIR} FROM outer_rows WHERE payment_id IS NOT NULL", "tx", **_STREAMS))
+    f"{_PAIR} FROM paid_rows", "tx", **_STREAMS))
 def stream_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _pairs(_to_table(spark, _settled(spark, sf_dir, "inner"), "stream-inner"))
 
@@ -170,6 +189,28 @@ def stream_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _detail_rows(_detail(spark, sf_dir))
 
 
+@query("stream_batch_equal", v.sql(_DETAIL_SQL, "tx", **_CURRENT))
+def stream_batch_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The settled table after several runs of the job, each over a later part of the tables:
+    early payments wait for their transactions, unpaid rows leave once a payment comes, and what
+    stands in the end is the batch join."""
+    sized, path = _sized(spark, sf_dir, "orders", "lineitem"), new_folder(spark, "stream-settled")
+    job = StreamJob(f"{path}/out", f"{path}/checkpoints", trigger=None, as_of=v.AS_OF)
+    given = {"tx": (_raw_transactions(v.table(spark, sf_dir, "orders")), "date", RAW_TRANSACTIONS),
+             "pay": (_raw_payments(v.table(spark, sf_dir, "lineitem")), "date_paid", RAW_PAYMENTS)}
+    ends = [raw.agg(F.min(day), F.max(day)).first() for raw, day, _ in given.values()]
+    begin, end = (dt.date.fromisoformat(f(e[i] for e in ends)) for i, f in ((0, min), (1, max)))
+    borders = [str(begin + (end - begin) * n / RUNS) for n in range(1, RUNS)]
+    for low, high in zip(["", *borders], [*borders, "9999"], strict=True):
+        for name, (raw, day, _) in given.items():
+            inside = (F.col(day) >= low) & (F.col(day) < high)
+            raw.filter(inside).write.mode("append").parquet(f"{path}/{name}")
+        streams = [s.file_stream(sized, f"{path}/{name}", schema, "parquet", max_files=None)
+                   for name, (_, _, schema) in given.items()]
+        finish(job.detail(s.transaction_events(streams[0]), s.payment_events(streams[1])))
+    return _detail_rows(job.detail_rows(spark))
+
+
 @query("stream_parquet_sink", v.sql("""
 SELECT '2000-06' AS reference_month, CAST(year(transaction_date) AS INTEGER) AS year,
        CAST(month(transaction_date) AS INTEGER) AS month, inadimplente, count(*) AS n
@@ -215,8 +256,7 @@ def _stream_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = new_folder(spark, "stream-metrics")
     finish(start_batches(metrics, window_writer(f"{path}/states"), f"{path}/checkpoint",
                          trigger=None, mode="update"))
-    states = T.StructType([*metrics.schema.fields, T.StructField("batch", T.LongType())])
-    return current_windows(spark.read.schema(states).parquet(f"{path}/states"))
+    return stored_windows(spark, f"{path}/states", metrics.schema)
 
 
 @query("stream_window_metrics", v.sql("SELECT * FROM metrics", "tx", **_STREAMS,

@@ -11,13 +11,15 @@ from pyspark.sql import types as T
 from latebook.catalog import views as v
 from latebook.catalog.classification import gold, published
 from latebook.catalog.registry import money, query
-from latebook.schemas import RAW_TRANSACTIONS
+from latebook.plans.bronze import ingest
+from latebook.plans.run import Run
+from latebook.schemas import ERROR_RECORDS, RAW_TRANSACTIONS
 from latebook.sinks.tables import (
     append_or_create, replace_slice, write_bucketed, write_partitioned, write_plain,
 )
 from latebook.sinks.upsert import upsert
 from latebook.sources import files
-from latebook.sources.broker import decode_messages
+from latebook.sources.broker import dead_letters, decode_messages, offset_gaps
 from latebook.sources.contracts import to_canonical, to_stream_names
 from latebook.workspace import new_folder
 
@@ -160,6 +162,65 @@ def kafka_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).drop("kafka_timestamp")
 
 
+@query("kafka_dead_letters", v.sql("""
+SELECT transaction_id AS message, CAST(transaction_id AS BIGINT) % 97 = 0 AS dead FROM tx""", "tx"))
+def kafka_dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every message is either decoded or a dead letter; some payloads are cut, empty or no object."""
+    number = F.col("transaction_id").cast("long")
+    whole = F.to_json(F.struct("transaction_id", "customer_id", "amount"))
+    payload = (F.when(number % 97 != 0, whole).when(number % 2 == 0, F.substring(whole, 1, 20))
+               .when(number % 3 == 0, F.lit("[1, 2]")).when(number % 5 == 0, F.lit("")))
+    messages = v.tx(spark, sf_dir).select(
+        payload.cast("binary").alias("value"), F.col("transaction_date").alias("timestamp"),
+        F.lit("transactions").alias("topic"), (number % 4).cast("int").alias("partition"),
+        number.alias("offset"))
+    read = decode_messages(messages, RAW_TRANSACTIONS).select(
+        F.col("transaction_id").alias("message"), F.lit(False).alias("dead"))
+    return read.union(dead_letters(messages, RAW_TRANSACTIONS).select(
+        F.col("offset").cast("string"), F.lit(True)))
+
+
+@query("offset_gaps", """
+WITH m AS (SELECT event_id % 4 AS partition, event_id // 4 AS "offset" FROM events
+           WHERE (event_id // 4) % 50 NOT IN (7, 8) AND (event_id // 4) % 333 <> 64)
+SELECT 'events' AS topic, CAST(partition AS INTEGER) AS partition, "offset" + 1 AS first_missing,
+       next - 1 AS last_missing
+FROM (SELECT *, lead("offset") OVER (PARTITION BY partition ORDER BY "offset") AS next FROM m)
+WHERE next > "offset" + 1""")
+def gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events as the messages of four partitions, some of them lost and all of them read twice."""
+    offset = F.floor(F.col("event_id") / 4).cast("long")
+    messages = v.table(spark, sf_dir, "events").select(
+        F.lit("events").alias("topic"), (F.col("event_id") % 4).cast("int").alias("partition"),
+        offset.alias("offset")).filter(
+        ~(F.col("offset") % 50).isin(7, 8) & (F.col("offset") % 333 != 64))
+    return offset_gaps(messages.union(messages), block=64)
+
+
+@query("bronze_load", v.sql("""
+SELECT transaction_id, customer_id, amount, date, FALSE AS quarantined FROM tx_raw_dirty
+WHERE transaction_id IS NOT NULL
+QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY src DESC) = 1
+UNION ALL
+SELECT NULL, customer_id, amount, date, TRUE FROM tx_raw_dirty WHERE transaction_id IS NULL""",
+                            "tx_raw_dirty"))
+def bronze_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landing to bronze over the whole raw table, in two loads of which the second corrects the
+    first: what the table holds, and what quarantine holds."""
+    root, name = new_folder(spark, "bronze-load"), f"latebook_bronze_{uuid.uuid4().hex[:8]}"
+    raw = v.tx_raw_dirty(spark, sf_dir)
+    for copy in (0, 1):
+        raw.filter(F.col("src") == copy).select(*RAW_TRANSACTIONS.names).write.mode("append").json(
+            f"{root}/landing")
+        ingest(Run(spark, f"{root}/control", "LandingToBronze", "transactions", v.AS_OF,
+                   f"{root}/landing", f"{root}/table"), name)
+    columns = RAW_TRANSACTIONS.names
+    content = F.from_json("record_content", RAW_TRANSACTIONS)
+    errors = spark.read.schema(ERROR_RECORDS).parquet(f"{root}/control/error_records")
+    return spark.table(name).select(*columns, F.lit(False).alias("quarantined")).union(
+        errors.select(content.alias("r")).select(*[f"r.{c}" for c in columns], F.lit(True)))
+
+
 @query("full_refresh", v.sql(_TX_ROWS, "tx"))
 def full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A second load replaces the first one completely."""

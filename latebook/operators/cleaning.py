@@ -77,10 +77,6 @@ def nonpositive_payments(df: DataFrame) -> DataFrame:
     return df.filter(F.col("amount_paid") <= 0)
 
 
-def positive_payments(df: DataFrame) -> DataFrame:
-    return df.filter(F.col("amount_paid") > 0)
-
-
 def unique_valid(df: DataFrame, entity: str, order_by: Sequence[str | Column]) -> DataFrame:
     """Typed rows of a bronze table: complete ones, and one per key."""
     typed = enforce_types(valid_rows(df, entity), SILVER_TYPES[entity])

@@ -36,13 +36,6 @@ def job_status(logs: DataFrame) -> DataFrame:
         F.when(last == STATUS_OK, 1).otherwise(0).alias("job_status"))
 
 
-def data_size(files: DataFrame) -> DataFrame:
-    """Files and bytes per table; a table is a file or folder named ``<table>.parquet``."""
-    table = F.regexp_extract("file_path", r"([^/]+)\.parquet(?:/|$)", 1)
-    return files.groupBy(table.alias("table_name")).agg(
-        F.count(F.lit(1)).alias("n_files"), F.sum("file_size").alias("data_size_bytes"))
-
-
 def failures_24h(logs: DataFrame) -> DataFrame:
     """Per entity and hour: failed runs of the 24 hours that end with that hour.
 
@@ -63,9 +56,3 @@ def change_markers(logs: DataFrame) -> DataFrame:
                          F.date_format(minute, "yyyy-MM-dd HH:mm:ss").alias("minute"))
             .agg(F.sum("total_records_processed").alias("records_added"))
             .filter(F.col("records_added") > 0))
-
-
-def partition_counts(df: DataFrame) -> DataFrame:
-    """Rows per partition as Spark reads the table."""
-    return df.groupBy(F.spark_partition_id().alias("partition_id")).agg(
-        F.count(F.lit(1)).alias("n_rows"))

@@ -16,7 +16,7 @@ from latebook.operators.rules import classify_rows, late_rows, violating_payment
 from latebook.plans.run import Run, recorded
 from latebook.profiles import AnalysisWindow
 from latebook.sinks.tables import replace_slice, write_plain
-from latebook.workspace import new_folder
+from latebook.workspace import scratch
 
 
 @dataclass(frozen=True)
@@ -28,6 +28,13 @@ class Published:
     passed: bool
 
 
+def audited(rows: DataFrame, run: Run, window: AnalysisWindow) -> DataFrame:
+    """Rows of a gold table with when they were made and the day that they show."""
+    return rows.withColumns({
+        "dt_processamento": F.lit(run.started), "dt_atualizacao": F.lit(run.started),
+        "dt_snapshot": F.lit(window.reference_date.isoformat())})
+
+
 def publish(run: Run, transactions: DataFrame, payments: DataFrame) -> Published:
     """Write the gold tables of a reference month and check them.
 
@@ -43,29 +50,32 @@ def publish(run: Run, transactions: DataFrame, payments: DataFrame) -> Published
         with run.phase("data_validation"):
             run.errors(error_records(
                 nonpositive_payments(payments), error_type="INVALID_PAYMENT",
-                entity="payments", process_id=run.process_id, error_time=run.started))
-        with run.phase("data_transformation"):
-            late = late_rows(transactions, payments, window)
-            staged = write_plain(late, new_folder(spark, "late-rows"))
-            late = spark.read.schema(late.schema).parquet(staged)
-            result = classify_rows(late, transactions, window, run.process_id)
-        with run.phase("data_writing"):
-            month = window.reference_month
-            clients, metrics_at, alerts_at, violations_at = (
-                f"{out}/inadimplencia_{name}"
-                for name in ("clientes", "metricas", "alertas", "violacoes"))
-            replace_slice(result, clients, "reference_month", month, ["inadimplente"])
-            customers = spark.read.schema(result.schema).parquet(clients).filter(
-                F.col("reference_month") == month)
-            metrics = g.delinquency_metrics(customers).withColumns({
-                "data_geracao": F.lit(run.started), "processo_id": F.lit(run.process_id)})
-            replace_slice(metrics, metrics_at, "reference_month", month)
-            alerts = g.delinquency_alerts(customers, run.started, run.process_id).withColumn(
-                "reference_month", F.lit(month))
-            replace_slice(alerts, alerts_at, "reference_month", month)
-            violations = violating_payments(late, window).withColumn(
-                "reference_month", F.lit(month))
-            replace_slice(violations, violations_at, "reference_month", month)
+                entity="payments", process_id=run.process_id, error_time=run.started), "payments")
+        with scratch(spark, "late-rows") as folder:
+            with run.phase("data_transformation"):
+                late = late_rows(transactions, payments, window)
+                late = spark.read.schema(late.schema).parquet(write_plain(late, folder))
+                result = audited(classify_rows(late, transactions, window, run.process_id),
+                                 run, window)
+            with run.phase("data_writing"):
+                month = window.reference_month
+                clients, metrics_at, alerts_at, violations_at = (
+                    f"{out}/inadimplencia_{name}"
+                    for name in ("clientes", "metricas", "alertas", "violacoes"))
+                replace_slice(result, clients, "reference_month", month, ["inadimplente"])
+                customers = spark.read.schema(result.schema).parquet(clients).filter(
+                    F.col("reference_month") == month)
+                metrics = audited(g.delinquency_metrics(customers).withColumns({
+                    "data_geracao": F.lit(run.started), "processo_id": F.lit(run.process_id)}),
+                    run, window)
+                replace_slice(metrics, metrics_at, "reference_month", month)
+                alerts = audited(g.delinquency_alerts(
+                    customers, run.started, run.process_id).withColumn(
+                    "reference_month", F.lit(month)), run, window)
+                replace_slice(alerts, alerts_at, "reference_month", month)
+                violations = audited(violating_payments(late, window).withColumn(
+                    "reference_month", F.lit(month)), run, window)
+                replace_slice(violations, violations_at, "reference_month", month)
         all_metrics = g.month_over_month(spark.read.schema(metrics.schema).parquet(metrics_at))
         passed = quality_gate(customers, all_metrics, month).first()["success"] == 1
         run.count(processed=customers.count())

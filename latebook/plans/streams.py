@@ -12,18 +12,19 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from latebook.operators.rules import stream_profile
 from latebook.schemas import STREAM_DETAIL
-from latebook.streaming.batches import alert_writer, metrics_writer, window_writer
-from latebook.streaming.detail import Bounds, settle_streams
-from latebook.streaming.metrics import window_alerts, window_metrics
-from latebook.streaming.runner import (
-    DETAIL_PARTITIONS, TRIGGER, keep_state_on_disk, start_batches, start_table,
+from latebook.streaming.batches import (
+    alert_writer, metrics_writer, settlement_writer, stored_windows, window_writer,
 )
+from latebook.streaming.detail import Bounds, settle_streams
+from latebook.streaming.metrics import window_metrics
+from latebook.streaming.runner import TRIGGER, keep_state_on_disk, start_batches
 from latebook.streaming.sources import file_stream
 
 
-# Unpaid rows come while both criteria can hold: the term of 30 days and 31 days of delay end
-# 61 days after the transaction, and criterion 1 looks 90 days back.
-PROMPT = Bounds(within="240 days", unpaid_after="61 days")
+# Any payment of a transaction settles it, however early or late. Unpaid rows come while both
+# criteria can hold: the term of 30 days and 31 days of delay end 61 days after the transaction,
+# and criterion 1 looks 90 days back.
+PROMPT = Bounds(before=None, within=None, unpaid_after="61 days")
 
 
 @dataclass(frozen=True)
@@ -42,31 +43,46 @@ class StreamJob:
     def _day(self) -> Column:
         return F.current_date() if self.as_of is None else F.lit(self.as_of)
 
+    @property
+    def table(self) -> str:
+        return f"{self.output}/inadimplencia_detalhes"
+
+    @property
+    def changes(self) -> str:
+        return f"{self.output}/inadimplencia_mudancas"
+
     def detail(self, transactions: DataFrame, payments: DataFrame) -> StreamingQuery:
+        """The settled rows in ``table``, true to all payments so far, and every row in
+        ``changes``, which the other streams read."""
         keep_state_on_disk(transactions.sparkSession)
         rows = stream_profile(settle_streams(transactions, payments, self.bounds), self._day())
-        return start_table(rows, f"{self.output}/inadimplencia_detalhes",
-                           f"{self.checkpoints}/inadimplencia_detalhes", DETAIL_PARTITIONS,
-                           self.trigger)
+        return start_batches(rows, settlement_writer(self.table, self.changes, self.bounds.waits),
+                             f"{self.checkpoints}/inadimplencia_detalhes", self.trigger)
+
+    def detail_rows(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema(STREAM_DETAIL).parquet(self.table).select(*STREAM_DETAIL.names)
 
     def detail_stream(self, spark: SparkSession) -> DataFrame:
-        return file_stream(spark, f"{self.output}/inadimplencia_detalhes", STREAM_DETAIL,
-                           "parquet", max_files=None)
+        return file_stream(spark, self.changes, STREAM_DETAIL, "parquet", max_files=None)
 
     def metrics(self, spark: SparkSession) -> StreamingQuery:
-        """Every state of the windows; ``current_windows`` gives the newest."""
+        """The states of the windows; ``windows`` gives the newest."""
         keep_state_on_disk(spark)
         return start_batches(
             window_metrics(self.detail_stream(spark)),
             window_writer(f"{self.output}/inadimplencia_metricas"),
             f"{self.checkpoints}/inadimplencia_metricas", self.trigger, mode="update")
 
+    def windows(self, spark: SparkSession) -> DataFrame:
+        states = window_metrics(spark.createDataFrame([], STREAM_DETAIL)).schema
+        return stored_windows(spark, f"{self.output}/inadimplencia_metricas", states)
+
     def alerts(self, spark: SparkSession,
                notify: Callable[[int, DataFrame], None] | None = None) -> StreamingQuery:
-        """An alert for each state of a window that is above the limit."""
+        """An alert whenever a window passes the limit."""
         keep_state_on_disk(spark)
-        found = window_alerts(window_metrics(self.detail_stream(spark)))
-        return start_batches(found, alert_writer(f"{self.output}/inadimplencia_alertas", notify),
+        return start_batches(window_metrics(self.detail_stream(spark)),
+                             alert_writer(f"{self.output}/inadimplencia_alertas", notify),
                              f"{self.checkpoints}/inadimplencia_alertas", self.trigger,
                              mode="update")
 

@@ -77,6 +77,15 @@ ERROR_RECORDS = _struct(
     ("record_content", T.StringType()),
 )
 
+# Partitions of a bronze table that a batch of a run has changed.
+CHANGES = _struct(
+    ("entity_name", T.StringType()),
+    ("process_id", T.StringType()),
+    ("batch", T.StringType()),
+    ("year", T.IntegerType()),
+    ("month", T.IntegerType()),
+)
+
 # Explicit, since partition columns read back would be guessed and booleans come as text.
 STREAM_DETAIL = _struct(
     ("transaction_id", T.StringType()),

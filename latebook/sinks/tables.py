@@ -75,11 +75,16 @@ def append_or_create(df: DataFrame, table: str, path: str,
     return table
 
 
-def append_process_log(logs: DataFrame, path: str) -> str:
-    logs.write.mode("append").partitionBy("entity_name").parquet(path)
+def append_process_log(logs: DataFrame, path: str, run: str) -> str:
+    """Logs of one run, which owns its part of the table; written again they replace it."""
+    logs.write.mode("overwrite").partitionBy("entity_name").parquet(f"{path}/run={run}")
     return path
 
 
-def append_error_records(errors: DataFrame, path: str) -> str:
-    errors.write.mode("append").partitionBy("entity_name", "error_type").parquet(path)
+def append_error_records(errors: DataFrame, path: str, owner: str) -> str:
+    """Error records of one step of a run or batch, which owns its part of the table: a retry
+    replaces what the failed attempt has left. Rows go to files where they are, so that what is
+    observed about them is counted in the writing tasks."""
+    (errors.write.mode("overwrite").partitionBy("entity_name", "error_type")
+     .parquet(f"{path}/owner={owner}"))
     return path

@@ -45,16 +45,6 @@ def route_entity(path: Column, marks: Mapping[str, str] = ENTITY_MARKS) -> Colum
     return expr
 
 
-def new_file_gate(files: DataFrame, marks: Mapping[str, str] = ENTITY_MARKS) -> DataFrame:
-    """Files per entity, and whether there is anything to process."""
-    entity = route_entity(F.col("file_path"), marks)
-    paths = files.select("file_path", entity.alias("entity")).distinct()
-    return paths.agg(
-        F.count_if(F.col("entity") == "payments").alias("payment_files"),
-        F.count_if(F.col("entity") == "transactions").alias("transaction_files"),
-    ).withColumn("has_files", (F.col("payment_files") + F.col("transaction_files")) > 0)
-
-
 def landing_formats(spark: SparkSession, folder: str) -> list[str]:
     """The formats that a folder holds files of, Parquet first."""
     return [fmt for fmt in FORMATS if not list_files(spark, folder, fmt).isEmpty()]
@@ -65,15 +55,75 @@ def landing_format(spark: SparkSession, folder: str) -> str | None:
     return next(iter(landing_formats(spark, folder)), None)
 
 
+def array_chunks(reader):
+    """A reader of the text between opening braces, which Spark splits like lines: a file of one
+    long array is read by as many tasks as its size asks for."""
+    return reader.format("text").option("lineSep", "{")
+
+
+def array_records(chunks: DataFrame, schema: T.StructType) -> DataFrame:
+    """Records of arrays of flat objects, out of ``array_chunks``, plus a corrupt-record column.
+
+    A chunk holds one record if it ends in a closing brace, apart from commas, white space and
+    the array's end. Texts with braces, nested objects and records cut short do not; they come
+    as corrupt. What lies before the first record of a file is none.
+    """
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    complete = F.col("value").rlike(r"\}[\s,\]]*$")
+    record = F.regexp_replace(F.concat(F.lit("{"), F.col("value")), r"[\s,\]]*$", "")
+    read = F.when(complete, F.from_json(record, whole, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    rows = (chunks.select("value", "_metadata").filter(~F.col("value").rlike(r"^[\s\[\],\x{FEFF}]*$"))
+            .withColumn("_read", read))
+    broken = F.when(~complete, F.col("value")).otherwise(F.col(f"_read.{CORRUPT}"))
+    return rows.select(*[F.col(f"_read.{c}").alias(c) for c in schema.names],
+                       broken.alias(CORRUPT), "_metadata")
+
+
+def with_source(raw: DataFrame) -> DataFrame:
+    """The file a record comes from, and when it was written."""
+    return raw.withColumns({"source_file": F.col("_metadata.file_path"),
+                            "source_modified": F.col("_metadata.file_modification_time")}
+                           ).drop("_metadata")
+
+
 def read_json(spark: SparkSession, path: str, entity: str, multi_line: bool = True) -> DataFrame:
     """Raw records of JSON files under the entity's schema, plus a corrupt-record column.
 
-    ``multi_line`` reads pretty-printed arrays, one task per file; feed large files as one
-    record per line, which Spark can split.
+    ``multi_line`` reads arrays of flat objects, pretty-printed or not; without it a file has one
+    record per line. Spark splits both.
+    """
+    schema = raw_schema(entity)
+    if multi_line:
+        return array_records(array_chunks(spark.read).load(path), schema)
+    whole = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    return spark.read.schema(whole).option("columnNameOfCorruptRecord", CORRUPT).json(path)
+
+
+def read_whole_where_broken(raw: DataFrame, entity: str) -> DataFrame:
+    """The records, those of files with corrupt ones read again file by file.
+
+    A file whose texts hold braces is one that only a parser of the whole file can read. What it
+    finds replaces the file's records if it finds no fewer and nothing corrupt.
     """
-    schema = T.StructType([*raw_schema(entity).fields, T.StructField(CORRUPT, T.StringType())])
-    return (spark.read.schema(schema).option("multiLine", multi_line)
-            .option("columnNameOfCorruptRecord", CORRUPT).json(path))
+    spark = raw.sparkSession
+    broken = (raw.groupBy("source_file", "source_modified").agg(
+        F.count_if(F.col(CORRUPT).isNull()).alias("n"), F.count(CORRUPT).alias("bad"))
+        .filter("bad > 0").drop("bad").collect())  # one row per broken file
+    if not broken:
+        return raw
+    whole = T.StructType([*raw_schema(entity).fields, T.StructField(CORRUPT, T.StringType())])
+    again = with_source(spark.read.schema(whole).option("multiLine", True)
+                        .option("columnNameOfCorruptRecord", CORRUPT)
+                        .json([r["source_file"] for r in broken])).select(*raw.columns)
+    # Spark wants more than the corrupt column to be read
+    record = F.when(F.col(CORRUPT).isNull(), F.struct(*raw_schema(entity).names))
+    found = {r["source_file"]: r for r in again.groupBy("source_file").agg(
+        F.count(record).alias("n"), F.count(CORRUPT).alias("bad")).collect()}
+    mended = [r["source_file"] for r in broken if r["source_file"] in found
+              and found[r["source_file"]]["bad"] == 0 and found[r["source_file"]]["n"] >= r["n"]]
+    inside = F.col("source_file").isin(mended)
+    return raw.filter(~inside).unionByName(again.filter(inside))
 
 
 def read_raw(spark: SparkSession, folder: str, entity: str, *, newest_only: bool = False,
@@ -94,7 +144,7 @@ def read_raw(spark: SparkSession, folder: str, entity: str, *, newest_only: bool
     else:
         raw = spark.read.schema(schema).parquet(path).withColumn(
             CORRUPT, F.lit(None).cast("string"))
-    return raw.withColumn("source_file", F.col("_metadata.file_path"))
+    return with_source(raw)
 
 
 def split_corrupt(raw: DataFrame) -> tuple[DataFrame, DataFrame]:

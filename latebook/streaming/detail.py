@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,12 +14,15 @@ from pyspark.sql import functions as F
 class Bounds:
     """How late events may arrive, and when a payment may come.
 
-    A payment outside of [transaction - ``before``, transaction + ``within``] does not settle;
-    the state holds transactions that long. Choose at least the largest lateness threshold
-    plus the payment term, or the stream misses delays that the batch rules see.
+    A payment outside of [transaction - ``before``, transaction + ``within``] does not settle.
+    None is no bound: payments that came early wait for their transaction, or transactions for
+    later payments, for as long as the stream lives, once each. A bound lets the state forget
+    them; choose at least the largest lateness threshold plus the payment term, or the stream
+    misses delays that the batch rules see.
 
     A transaction without a payment comes out ``unpaid_after`` its date, ``within`` by default.
-    With less, a payment may still follow it: ``current_rows`` then leaves the unpaid row out.
+    With less, a payment may still follow it: ``batches.settlement_writer`` takes the unpaid row
+    out of its table then, and ``current_rows`` leaves it out of the plain rows.
 
     ``salts`` is the number of tasks that share the payments of one transaction. The
     state keeps each transaction once per salt; 1 keeps it once and leaves a transaction
@@ -25,14 +30,17 @@ class Bounds:
     """
 
     delay: str = "2 hours"
-    within: str = "90 days"
-    salts: int = 4
-    before: str = "0 days"
+    within: str | None = "90 days"
+    salts: int = 1
+    before: str | None = "0 days"
     unpaid_after: str | None = None
 
     @property
     def waits(self) -> str:
-        return self.unpaid_after or self.within
+        waits = self.unpaid_after or self.within
+        if waits is None:
+            raise ValueError("without a bound after the transaction, unpaid_after is needed")
+        return waits
 
 
 def _span(text: str, extra: str = "") -> Column:
@@ -45,13 +53,23 @@ def settle_streams(transactions: DataFrame, payments: DataFrame, bounds: Bounds
 
     With ``left_outer``, unpaid transactions follow once the watermark has passed the end
     of their time to pay. The function works on batch tables alike.
+
+    Payments up to ``unpaid_after`` settle in an outer join, whose transactions leave the state
+    then, and later ones in an inner join, whose payments need not wait for transactions. So each
+    event is kept once for long, in one of the two.
     """
-    if bounds.salts == 1 and (how == "inner" or bounds.waits == bounds.within):
-        return _join(transactions, payments, bounds, how, [])
+    if bounds.salts == 1:
+        if how == "inner":
+            return _join(transactions, payments, bounds, bounds.within, how)
+        prompt = _join(transactions, payments, bounds, bounds.waits, how)
+        if bounds.waits == bounds.within:
+            return prompt
+        return prompt.unionByName(
+            _join(transactions, payments, bounds, bounds.within, "inner", after=bounds.waits))
     salt = F.pmod(F.xxhash64("payment_id"), F.lit(bounds.salts)).cast("int")
     copies = F.explode(F.array(*[F.lit(i) for i in range(bounds.salts)]))
     paid = _join(transactions.withColumn("_salt", copies), payments.withColumn("_salt", salt),
-                 bounds, "inner", ["_salt"]).drop("_salt")
+                 bounds, bounds.within, "inner", ["_salt"]).drop("_salt")
     if how == "inner":
         return paid
     return paid.unionByName(unpaid_transactions(transactions, payments, bounds),
@@ -66,15 +84,20 @@ def current_rows(detail: DataFrame) -> DataFrame:
     return paid.unionByName(unpaid)
 
 
-def _join(transactions: DataFrame, payments: DataFrame, bounds: Bounds, how: str,
-          also_equal: list[str]) -> DataFrame:
+def _join(transactions: DataFrame, payments: DataFrame, bounds: Bounds, until: str | None,
+          how: str, also_equal: Sequence[str] = (), after: str | None = None) -> DataFrame:
+    """Payments from ``before``, or later than ``after``, up to ``until``."""
     left = transactions.withWatermark("transaction_date", bounds.delay).alias("t")
     right = payments.withWatermark("payment_date", bounds.delay).alias("p")
     when, paid = F.col("t.transaction_date"), F.col("p.payment_date")
-    match = (paid >= when - _span(bounds.before)) & (paid <= when + _span(bounds.within))
     keys = ["transaction_id", *also_equal]
-    for key in keys:
-        match = match & (F.col(f"t.{key}") == F.col(f"p.{key}"))
+    match = reduce(lambda a, b: a & b, [F.col(f"t.{k}") == F.col(f"p.{k}") for k in keys])
+    if after is not None:
+        match = match & (paid > when + _span(after))
+    elif bounds.before is not None:
+        match = match & (paid >= when - _span(bounds.before))
+    if until is not None:
+        match = match & (paid <= when + _span(until))
     return left.join(right, match, how).select(
         "t.*", *[F.col(f"p.{c}") for c in payments.columns if c not in keys])
 
@@ -95,11 +118,11 @@ def unpaid_transactions(transactions: DataFrame, payments: DataFrame,
                .agg(F.min("payment_date").alias("first"), F.max("payment_date").alias("last"))
                .select("transaction_id", "first", "last",
                        F.window_time("window").alias("marked_at"))).alias("m")
-    start = F.col("t.transaction_date") - _span(bounds.before)
     end = F.col("t.transaction_date") + _span(bounds.waits)
     settled = ((F.col("t.transaction_id") == F.col("m.transaction_id"))
-               & (F.col("m.marked_at") >= start)
                & (F.col("m.marked_at") <= F.col("t.transaction_date")
-                  + _span(bounds.waits, "1 day"))
-               & (F.col("m.last") >= start) & (F.col("m.first") <= end))
+                  + _span(bounds.waits, "1 day")) & (F.col("m.first") <= end))
+    if bounds.before is not None:
+        start = F.col("t.transaction_date") - _span(bounds.before)
+        settled = settled & (F.col("m.marked_at") >= start) & (F.col("m.last") >= start)
     return left.join(markers, settled, "left_outer").filter("m.first is null").select("t.*")

@@ -1,7 +1,9 @@
 """The jobs from landing to gold, on hand-made files."""
 
+import collections
 import datetime as dt
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from latebook.plans.gold import publish
 from latebook.plans.run import Run
 from latebook.plans.silver import refine
 from latebook.schemas import ERROR_RECORDS, PROCESS_LOG
+from latebook.sources.files import read_raw, split_corrupt
 
 AS_OF = dt.date(2024, 7, 10)
 
@@ -298,3 +301,158 @@ def test_records_without_key_and_files_of_both_formats(spark, tmp_path, as_of):
         assert log["total_files_processed"] == 3
     finally:
         spark.sql("DROP TABLE IF EXISTS latebook_bronze_keys")
+
+
+def partition_filters(df):
+    """The partition filters of each file scan of a plan."""
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return re.findall(r"PartitionFilters: \[(.*?)\]", text)
+
+
+def test_a_merge_reads_only_the_partitions_that_its_keys_name(spark, lake):
+    from latebook.sinks.upsert import affected_rows, index_path, index_rows, known_homes, upsert
+    table, path, parts = f"indexed_{lake.tag}", str(lake.root / "indexed"), ["year", "month"]
+
+    def rows(*ids, year=2020, value=0):
+        return spark.createDataFrame([(str(i), value, year, i % 12 + 1) for i in ids],
+                                     "id string, value int, year int, month int")
+    touched = []
+    upsert(spark, table, rows(*range(400)), ["id"], ["value"], parts, path)
+    source = rows(3, 500, year=2021, value=1)
+    assert {tuple(r) for r in upsert(spark, table, source, ["id"], ["value"], parts, path,
+                                     touched.extend)} == {(2020, 4), (2021, 4), (2021, 9)}
+    assert {tuple(r) for r in touched} == {(2020, 4), (2021, 4), (2021, 9)}
+    stored = {r["id"]: (r["value"], r["year"], r["month"]) for r in spark.table(table).collect()}
+    assert len(stored) == 401 and stored["3"] == (1, 2021, 4) and stored["15"] == (0, 2020, 4)
+    mine = index_rows(source, ["id"], parts)
+    homes = known_homes(spark, mine, path)
+    assert {tuple(r["home"]) for r in homes.collect()} == {(2020, 4), (2021, 4), (2021, 9)}
+    assert any("prefix" in f for f in partition_filters(homes))
+    affected = affected_rows(spark.table(table), touched)
+    assert partition_filters(affected) and all("year" in f for f in partition_filters(affected))
+    # The same merge again changes nothing, and a lost index is made anew.
+    upsert(spark, table, source, ["id"], ["value"], parts, path)
+    before = spark.read.parquet(index_path(path)).count()
+    from latebook.workspace import delete_folder
+    delete_folder(spark, index_path(path))
+    upsert(spark, table, source, ["id"], ["value"], parts, path)
+    assert spark.read.parquet(index_path(path)).count() == 401 and before == 402
+    assert spark.table(table).count() == 401
+
+
+def test_a_batch_that_fails_and_runs_again_leaves_each_error_once(spark, lake, monkeypatch):
+    from latebook.plans import bronze
+    put(lake.root / "landing/transactions", "a.json",
+        [tx("1", "c", "2024-01-05"), tx(None, "lost", "2024-01-05"), tx(None, "lost2", "2024-01-06")])
+    real = bronze.upsert
+
+    def broken(*args):
+        raise OSError("lost")
+    monkeypatch.setattr(bronze, "upsert", broken)
+    with pytest.raises(Exception, match="lost"):
+        lake.ingest("transactions")
+    monkeypatch.setattr(bronze, "upsert", real)
+    table, run = lake.ingest("transactions")
+    kinds = collections.Counter(r["error_type"] for r in lake.errors().collect())
+    assert kinds == {"DATA_VALIDATION_ERROR": 2, "PROCESS_FAILURE": 1}
+    assert spark.table(table).count() == 1 and run.log["total_records_error"] == 2
+
+
+def test_silver_follows_the_changes_of_bronze(spark, lake):
+    folder = lake.root / "landing/payments"
+    put(folder, "a.json", [pay("p1", "1", "2024-02-01"), pay("p2", "2", "2024-03-02"),
+                           pay("p3", "3", "2024-04-02"), pay("p4", "4", None), pay("p5", "5", "2024-05-05")])
+    lake.ingest("payments")
+    silver, first = lake.refine("payments")
+    assert first.log["total_records_processed"] == 4
+    files = {m: set((lake.root / "silver/payments/year=2024" / f"month={m}").glob("*.parquet"))
+             for m in (2, 3, 4, 5)}
+    # One new file corrects a payment, moves another one, empties a month and brings a reject.
+    put(folder, "b.json", [pay("p2", "2", "2024-03-09", 55.0), pay("p5", "5", "2024-06-05"),
+                           pay("p6", "6", None)])
+    lake.ingest("payments")
+    silver, second = lake.refine("payments")
+    assert second.log["total_records_processed"] == 2
+    root = lake.root / "silver/payments/year=2024"
+    assert {m: set((root / f"month={m}").glob("*.parquet")) for m in (2, 4)} == {
+        m: files[m] for m in (2, 4)}
+    assert not set((root / "month=3").glob("*.parquet")) & files[3] and not (root / "month=5").exists()
+    rows = {r["payment_id"]: (r["amount_paid"], r["month"]) for r in silver.collect()}
+    assert rows == {"p1": (100.0, 2), "p2": (55.0, 3), "p3": (100.0, 4), "p5": (100.0, 6)}
+    rejects = [json.loads(r["record_content"])["payment_id"] for r in
+               lake.errors().filter("error_type = 'DATA_VALIDATION_ERROR'").collect()]
+    assert sorted(rejects) == ["p4", "p6"]
+    # Without changes nothing is written.
+    silver, third = lake.refine("payments")
+    assert third.log["status"] == "CONCLUÍDO" and silver.count() == 4
+
+
+def test_an_array_is_read_by_several_tasks(spark, lake):
+    records = [tx(str(i), f"c{i % 7}", "2024-04-05", float(i)) for i in range(20_000)]
+    for name, text in (("pretty.json", json.dumps(records, indent=2)), ("flat.json", json.dumps(records)),
+                       ("lines.json", "\n".join(map(json.dumps, records)))):
+        put(lake.root / name[:-5], name, text)
+        size = spark.conf.get("spark.sql.files.maxPartitionBytes")
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "200KB")
+        try:
+            raw = read_raw(spark, str(lake.root / name[:-5]), "transactions")
+            assert raw.rdd.getNumPartitions() > 4
+            good, bad = split_corrupt(raw)
+            assert bad.count() == 0 and good.select("transaction_id").distinct().count() == 20_000
+            assert good.agg(F.sum("amount")).first()[0] == sum(range(20_000))
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+
+
+def test_arrays_with_braces_in_texts_and_cut_files(spark, lake):
+    folder = lake.root / "landing/transactions"
+    put(folder, "odd.json", [tx("1", "a{b}", "2024-01-05"), tx("2", "}{", "2024-01-06"), tx(3, "c", "2024-01-07")])
+    put(folder, "empty.json", "[]")
+    put(folder, "cut.json", json.dumps([tx("4", "d", "2024-01-05"), tx("5", "e", "2024-01-05", 500.0)])[:-8])
+    table, run = lake.ingest("transactions")
+    rows = {r["transaction_id"]: r["customer_id"] for r in spark.table(table).collect()}
+    assert rows == {"1": "a{b}", "2": "}{", "3": "c", "4": "d"}
+    record = lake.errors().filter("error_message = 'Registro ilegível'").collect()
+    assert len(record) == 1 and '\\"5\\"' in record[0]["record_content"]
+
+
+def test_nothing_is_left_in_the_shared_folder(spark, lake):
+    from latebook.workspace import shared_root, subfolders
+    before = set(subfolders(spark, f"{shared_root(spark)}/latebook"))
+    put(lake.root / "landing/transactions", "a.json", [tx("1", "c", "2024-04-05")])
+    put(lake.root / "landing/payments", "a.json", [pay("1", "1", "2024-04-15")])
+    silver = {}
+    for entity in ("transactions", "payments"):
+        lake.ingest(entity)
+        silver[entity], _ = lake.refine(entity)
+    run = lake.run("SilverToGold", "all_entities", lake.root / "silver", lake.root / "gold")
+    gold = publish(run, silver["transactions"], silver["payments"])
+    row = gold.customers.first()
+    assert row["dt_snapshot"] == "2024-06-30" and row["dt_processamento"] == row["dt_atualizacao"]
+    with pytest.raises(Exception):
+        publish(run, silver["transactions"].drop("amount"), silver["payments"])
+    assert set(subfolders(spark, f"{shared_root(spark)}/latebook")) == before
+
+
+def test_published_columns_are_tagged_and_views_are_closed(spark, lake):
+    from latebook.operators.governance import policy_view, tagged, untagged
+    from latebook.schemas import STREAM_DETAIL
+    put(lake.root / "landing/transactions", "a.json", [tx("1", "c", "2024-04-05")])
+    put(lake.root / "landing/payments", "a.json", [pay("1", "1", "2024-04-15")])
+    silver = {}
+    for entity in ("transactions", "payments"):
+        lake.ingest(entity)
+        silver[entity], _ = lake.refine(entity)
+    run = lake.run("SilverToGold", "all_entities", lake.root / "silver", lake.root / "gold")
+    gold = publish(run, silver["transactions"], silver["payments"])
+    for df in (*silver.values(), gold.customers, gold.metrics, gold.alerts, gold.violations,
+               spark.createDataFrame([], STREAM_DETAIL)):
+        assert untagged(tagged(df)) == []
+    seen = policy_view(tagged(silver["transactions"]).withColumn("new", F.lit(1)), (), "salt")
+    assert not {"new", "amount", "valor_classificacao"} & set(seen.columns)
+    assert len(seen.first()["customer_id"]) == 64
+    # Tags go along into files, and an allowed tag shows its columns.
+    path = str(lake.root / "view")
+    tagged(silver["transactions"]).write.parquet(path)
+    full = policy_view(spark.read.parquet(path), ("PII", "Financial"), "salt")
+    assert set(full.columns) == set(silver["transactions"].columns) and full.first()["amount"] == 100.0

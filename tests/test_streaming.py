@@ -2,6 +2,7 @@
 
 import datetime as dt
 import json
+import random
 import time
 
 import pytest
@@ -10,11 +11,11 @@ from pyspark.sql import functions as F
 from latebook.operators.rules import stream_profile
 from latebook.plans.streams import StreamJob
 from latebook.schemas import RAW_PAYMENTS, RAW_TRANSACTIONS, STREAM_DETAIL
-from latebook.sources.broker import decode_messages, kafka_options
+from latebook.sources.broker import dead_letters, decode_messages, kafka_options, offset_gaps
 from latebook.streaming import sources as s
 from latebook.streaming.batches import alert_writer, metrics_writer
 from latebook.streaming.detail import Bounds, current_rows, settle_streams
-from latebook.streaming.metrics import current_windows, window_alerts, window_metrics
+from latebook.streaming.metrics import window_alerts, window_metrics
 from latebook.streaming.runner import finish, start_batches, start_table
 
 AS_OF = dt.date(2024, 7, 10)
@@ -115,10 +116,30 @@ def test_decoding_of_messages(spark):
             (bytearray(b"{broken"), dt.datetime(2024, 1, 12))]
     messages = spark.createDataFrame(rows, "value binary, timestamp timestamp")
     decoded = decode_messages(messages, RAW_TRANSACTIONS).collect()
-    assert [r["transaction_id"] for r in decoded] == ["1", None]
+    assert [r["transaction_id"] for r in decoded] == ["1"]
     assert decoded[0]["kafka_timestamp"] == dt.datetime(2024, 1, 11)
-    options = kafka_options("host:9092", "transactions")
-    assert options["startingOffsets"] == "latest" and options["maxOffsetsPerTrigger"] == "10000"
+    dead = dead_letters(messages, RAW_TRANSACTIONS).collect()
+    assert [(bytes(r["value"]), r["kafka_timestamp"]) for r in dead] == [
+        (b"{broken", dt.datetime(2024, 1, 12))]
+    with pytest.raises(TypeError):
+        kafka_options("host:9092", "transactions")
+    options = kafka_options("host:9092", "transactions", starting_offsets="earliest",
+                            fail_on_data_loss=True)
+    assert options["startingOffsets"] == "earliest" and options["failOnDataLoss"] == "true"
+    assert options["maxOffsetsPerTrigger"] == "10000"
+
+
+def test_offset_gaps_against_brute_force(spark):
+    rng = random.Random(3)
+    kept = {(p, o) for p in range(3) for o in range(100, 400) if rng.random() < 0.9 and not 170 < o < 260}
+    messages = spark.createDataFrame([("t", p, o) for p, o in kept] * 2,
+                                     "topic string, partition int, offset long")
+    want = []
+    for p in range(3):
+        mine = sorted(o for q, o in kept if q == p)
+        want += [("t", p, a + 1, b - 1) for a, b in zip(mine, mine[1:]) if b > a + 1]
+    for block in (16, 1 << 20):
+        assert sorted(map(tuple, offset_gaps(messages, block).collect())) == want
 
 
 def test_the_whole_streaming_job(spark, events):
@@ -126,7 +147,7 @@ def test_the_whole_streaming_job(spark, events):
                     as_of=AS_OF)
     transactions, payments = streams(spark, events)
     finish(job.detail(transactions, payments))
-    detail = spark.read.schema(STREAM_DETAIL).parquet(str(events / "out/inadimplencia_detalhes"))
+    detail = job.detail_rows(spark)
     profile = stream_profile(settle_streams(transactions, payments), AS_OF)
     assert dict(profile.dtypes) == {f.name: f.dataType.simpleString() for f in STREAM_DETAIL}
     late = {(r["transaction_id"], r["payment_id"]): (r["days_late"], r["inadimplente"])
@@ -136,7 +157,7 @@ def test_the_whole_streaming_job(spark, events):
     assert late[("unpaid", None)] == (152, False)
     assert late[("end", "p8")] == (0, False)
     finish(job.metrics(spark))
-    metrics = current_windows(spark.read.parquet(str(events / "out/inadimplencia_metricas")))
+    metrics = job.windows(spark)
     assert [(m["total_transactions"], m["total_atrasados"], m["max_dias_atraso"])
             for m in metrics.orderBy("window_start").collect()] == [(7, 6, 152), (1, 0, 0)]
     seen = []
@@ -147,7 +168,7 @@ def test_the_whole_streaming_job(spark, events):
     assert (stored["total_records"], stored["default_count"]) == (8, 0)
     # Running again finds nothing new and changes nothing.
     finish(job.detail(transactions, payments))
-    assert spark.read.parquet(str(events / "out/inadimplencia_detalhes")).count() == 8
+    assert job.detail_rows(spark).count() == 8
 
 
 def test_metrics_of_several_batches_hold_every_detail_row(spark, tmp_path):
@@ -168,20 +189,113 @@ def test_metrics_of_several_batches_hold_every_detail_row(spark, tmp_path):
     for _ in range(2):
         finish(job.detail(*streams(spark, tmp_path)))
         finish(job.metrics(spark))
-    detail = spark.read.schema(STREAM_DETAIL).parquet(str(tmp_path / "out/inadimplencia_detalhes"))
-    states = spark.read.parquet(str(tmp_path / "out/inadimplencia_metricas"))
+    changes = spark.read.schema(STREAM_DETAIL).parquet(job.changes)
+    states = spark.read.option("basePath", f"{job.output}/inadimplencia_metricas/batches").parquet(
+        f"{job.output}/inadimplencia_metricas/batches")
     assert states.select("batch").distinct().count() >= 4
-    metrics = current_windows(states)
+    metrics = job.windows(spark)
     total = metrics.agg(F.sum("total_transactions"), F.sum("total_inadimplentes")).first()
-    assert tuple(total) == (detail.count(), detail.filter("inadimplente").count())
-    rows = {(r["transaction_id"], r["payment_id"]): r for r in detail.collect()}
+    assert tuple(total) == (changes.count(), changes.filter("inadimplente").count())
+    rows = {(r["transaction_id"], r["payment_id"]): r for r in changes.collect()}
     # Unpaid for 36 days since its due day, 66 days old: the first criterion holds.
     assert rows[("unpaid2", None)]["criterio_1"]
-    # Reported as unpaid, then paid: the newer row stands.
+    # Reported as unpaid, then paid: the newer row stands, in the table as in the plain rows.
     assert ("slow0", None) in rows and ("slow0", "p9") in rows
-    newest = [r["payment_id"] for r in current_rows(detail).filter(
-        "transaction_id = 'slow0'").collect()]
-    assert newest == ["p9"]
+    for current in (current_rows(changes), job.detail_rows(spark)):
+        newest = [r["payment_id"] for r in current.filter("transaction_id = 'slow0'").collect()]
+        assert newest == ["p9"]
+    assert sorted(map(str, current_rows(changes).collect())) == sorted(
+        map(str, job.detail_rows(spark).collect()))
+
+
+def settled_pairs(rows):
+    return sorted(((r["transaction_id"], r["payment_id"]) for r in rows.select(
+        "transaction_id", "payment_id").collect()), key=str)
+
+
+@pytest.mark.parametrize("salts", [1, 3])
+def test_early_and_late_payments_settle_as_in_the_batch_join(spark, tmp_path, salts):
+    """Payments years before and after; unpaid rows come out and are taken back."""
+    bounds = Bounds(before=None, within=None, unpaid_after="61 days", salts=salts)
+    job = StreamJob(str(tmp_path / "out"), str(tmp_path / "checkpoints"), bounds, trigger=None,
+                    as_of=AS_OF)
+    days = ["2020-01-10", "2021-02-10", "2022-03-10", "2023-04-10", "2024-05-10"]
+    for n, day in enumerate(days):
+        lines(tmp_path / "tx", f"{n}.json", [
+            tx(f"{kind}{n}", day) for kind in ("early", "late", "never", "both", "prompt")])
+        lines(tmp_path / "pay", f"{n}.json", [
+            *[pay(f"e{n}{m}", f"{kind}{m}", day) for m in range(n + 1, 5) for kind in ("early", "both")],
+            *[pay(f"l{n}{m}", f"{kind}{m}", day) for m in range(n) for kind in ("late", "both")],
+            pay(f"p{n}", f"prompt{n}", day)])
+        finish(job.detail(*streams(spark, tmp_path)))
+    lines(tmp_path / "tx", "9.json", [tx("end", "2024-12-01")])
+    lines(tmp_path / "pay", "9.json", [pay("p9", "end", "2024-12-02")])
+    for _ in range(2):
+        finish(job.detail(*streams(spark, tmp_path)))
+    transactions = s.transaction_events(spark.read.schema(RAW_TRANSACTIONS).json(str(tmp_path / "tx")))
+    payments = s.payment_events(spark.read.schema(RAW_PAYMENTS).json(str(tmp_path / "pay")))
+    whole = transactions.join(payments, "transaction_id", "left")
+    assert settled_pairs(job.detail_rows(spark)) == settled_pairs(whole)
+    unpaid = spark.read.schema(STREAM_DETAIL).parquet(job.changes).filter("payment_id is null")
+    assert unpaid.filter("transaction_id like 'late%'").count() >= 3
+    # An emptied partition leaves no folder behind.
+    left = {str(x.parent.name) for x in (tmp_path / "out/inadimplencia_detalhes").glob(
+        "settled=false/*/*/*/*/batch=-1")}
+    stored = job.detail_rows(spark).filter("payment_id is null")
+    assert len(left) <= stored.select("year", "month", "inadimplente").distinct().count()
+
+
+def test_a_repeated_batch_leaves_the_same_settled_table(spark, tmp_path):
+    from latebook.streaming.batches import settlement_writer
+
+    def detail(*rows):
+        joined = spark.createDataFrame(
+            [(t, dt.datetime(2024, 1, 10), dt.date(2024, 2, 9), p, when, "completed", 2024, 1)
+             for t, p, when in rows],
+            "transaction_id string, transaction_date timestamp, due_date date, payment_id string, "
+            "payment_date timestamp, status string, year int, month int")
+        return stream_profile(joined, AS_OF)
+
+    write = settlement_writer(str(tmp_path / "t"), str(tmp_path / "c"), "61 days")
+    batches = [detail(("a", "p", dt.datetime(2024, 1, 11)), ("x", "q", dt.datetime(2024, 6, 1))),
+               detail(("b", None, None), ("c", None, None), ("x", None, None)),
+               detail(("b", "r", dt.datetime(2024, 6, 2)))]
+    for n, batch in enumerate(batches):
+        write(batch, n)
+        write(batch, n)
+    write(batches[1], 1)
+    write(batches[2], 2)
+    rows = spark.read.parquet(str(tmp_path / "t"))
+    assert settled_pairs(rows) == [("a", "p"), ("b", "r"), ("c", None), ("x", "q")]
+
+
+def test_fifty_batches_are_read_as_a_snapshot_and_its_tail(spark, tmp_path):
+    from latebook.sinks.folded import stored_rows
+    from latebook.streaming.batches import stored_windows, window_writer
+
+    def state(n, percent):
+        when = dt.datetime(2024, 1, 10) + dt.timedelta(minutes=10 * (n % 7))
+        return spark.createDataFrame(
+            [(when, when, "m", "q", n, 1, percent)],
+            "window_start timestamp, window_end timestamp, reference_month string, "
+            "reference_quarter string, total_transactions long, total_inadimplentes long, "
+            "percentual_inadimplentes double")
+    path, seen = str(tmp_path / "windows"), []
+    write = window_writer(path, every=10)
+    alert = alert_writer(str(tmp_path / "alerts"), lambda b, df: seen.append(b), every=10)
+    for n in range(50):
+        write(state(n, 30.0), n)
+        # the first window falls below the limit once, and passes it again
+        alert(state(n, 10.0 if n == 21 else 30.0), n)
+    schema = state(0, 0.0).schema
+    rows = stored_windows(spark, path, schema).orderBy("window_start").collect()
+    assert [r["total_transactions"] for r in rows] == [49, 43, 44, 45, 46, 47, 48]
+    folders = {f.rsplit("/", 2)[1] for f in stored_rows(spark, path, schema).inputFiles()}
+    assert "upto=49" in folders and len(folders) == 1
+    assert len(list((tmp_path / "windows/batches").iterdir())) <= 20
+    assert seen == [0, 1, 2, 3, 4, 5, 6, 28]
+    write(state(49, 30.0), 49)
+    assert stored_windows(spark, path, schema).count() == 7
 
 
 @pytest.mark.parametrize("salts", [1, 3])
