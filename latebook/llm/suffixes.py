@@ -5,12 +5,12 @@ beyond that depth, and equal groups after the last digit are what is looked for.
 from the most significant on, and each pass only orders what the pass before left in a group of
 several documents:
 
-1. The first digit of a window of 50 bytes is the least of its 16-byte strings by hash, its
+1. The first digit of a window of 50 bytes is the least of its 12-byte strings by hash, its
    *anchor*. Equal windows have equal digits. Neighbouring suffixes mostly share the anchor, so a
    *run* of them is one row instead of one for every byte.
 2. The second digit is the whole run: all bytes from its first window to its last. Runs that an
    earlier document holds as a whole are repeated.
-3. The third digits are the anchor with the 17 bytes to its right, and to its left; a window holds
+3. The third digits are the anchor with the 19 bytes to its right, and to its left; a window holds
    one of the two. A run that shares neither with a run of another document is not repeated.
 4. What is left are runs that agree with another in part, at the edges of passages. Their single
    windows are the last digit, all 50 bytes of them. The runs of one anchor are ordered in one task
@@ -24,11 +24,13 @@ has its windows spread at once; a very common passage therefore has few rows a t
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,12 +41,12 @@ from latebook.llm.text import cut, plain
 #: Bytes of a repeated passage; fixed by the result contract.
 WINDOW = 50
 #: Bytes of the strings of which a window's least one is its first digit.
-GRAM = 16
+GRAM = 12
 #: Windows that are worked on together; unlike runs of one anchor in a task, runs of one anchor,
 #: and windows of a run, beyond which windows are spread. None changes the result.
 BLOCK = (1 << 20) - 64
-WIDE = 16
-CROWD = 1000
+WIDE = 512
+CROWD = 10_000
 LONG = 256
 
 #: What a row says: still open, repeated, its windows to be looked at with those of its anchor, or
@@ -54,6 +56,15 @@ OPEN, GONE, APART, SPREAD, MARK = 0, 1, 2, 3, 4
 #: one whose anchor stands in a window twice.
 _PLACE = np.uint64((1 << 20) - 1)
 _NONE, _TWICE = 0, 0xFFFF
+
+
+@functools.cache
+def _powers(inverse: bool) -> np.ndarray:
+    """Powers of an odd number, or of its inverse, for the places of a block and more."""
+    base = int(_ODD[2])
+    step = np.uint64(pow(base, -1, 1 << 64) if inverse else base)
+    return np.multiply.accumulate(np.concatenate(
+        [np.ones(1, np.uint64), np.full(BLOCK + 4096, step, np.uint64)]))
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
 
@@ -108,7 +119,7 @@ def runs_of(text: bytes, window: int) -> Iterator[tuple[np.ndarray, ...]]:
     Long texts are cut into blocks; a run that ends at a block's border is only found in part,
     which leaves it to the last pass.
     """
-    whole, digest, half = np.frombuffer(text, np.uint8), xxhash.xxh3_64_intdigest, (window - GRAM) // 2
+    whole, half = np.frombuffer(text, np.uint8), (window - GRAM) // 2
     for begin in range(0, len(text) - window + 1, BLOCK):
         data = whole[begin:begin + BLOCK + window - 1]
         word = words_at(data)
@@ -119,8 +130,10 @@ def runs_of(text: bytes, window: int) -> Iterator[tuple[np.ndarray, ...]]:
         at = np.flatnonzero(np.append(True, same[1:] != same[:-1]))
         last = np.append(at[1:], len(same)) - 1
         first, size, mine = at + begin, last - at + 1, anchor[at]
-        run = np.array([digest(text[a:b]) >> 32 for a, b in zip(
-            first.tolist(), (first + size + window - 1).tolist(), strict=True)], np.uint64)
+        # a polynomial over the hashes of all strings of the run, from running sums
+        sums = np.cumsum(grams * _powers(False)[:len(grams)], dtype=np.uint64)
+        run = sums[last + window - GRAM] - np.where(at > 0, sums[at - 1], np.uint64(0))
+        run = (run * _powers(True)[at] * _ODD[0]) >> np.uint64(32)
         sides = []
         for place, held in ((mine, mine - last <= window - GRAM - half),
                             (mine - half, mine - at >= half)):
@@ -161,6 +174,15 @@ def settle(key: np.ndarray, run: np.ndarray, rank: np.ndarray,
     return state, np.array(marks, np.int64)
 
 
+def parts_of(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Where the items of each row begin and end, and the fields of all items; nulls become zero."""
+    held = column.fill_null([]) if column.null_count else column
+    ends = np.cumsum(pc.list_value_length(held).to_numpy(zero_copy_only=False))
+    items = held.flatten()
+    return np.append(0, ends), {f.name: items.field(i).fill_null(0).to_numpy(zero_copy_only=False)
+                                for i, f in enumerate(items.type)}
+
+
 def joined(doc: np.ndarray, first: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
     """Rows of windows, in order, with those put together that follow on each other."""
     if not len(doc):
@@ -231,35 +253,38 @@ def _edge_rows(texts: DataFrame, window: int) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         digest = xxhash.xxh3_128_digest
         for batch in batches:
-            rows, bodies = _Rows(batch, None), []
-            for doc, (text, runs) in enumerate(zip(
-                    batch.column("_lb_text"), batch.column("_lb_runs"), strict=True)):
-                body = text.as_py()
-                for run in sorted(runs.as_py(), key=lambda r: r["first"]):
-                    end = run["first"] + run["size"]
-                    if run["state"] == APART:
-                        bodies.append((doc, run["key"], run["first"], run["size"],
-                                       body[run["first"]:end + window - 1]))
-                    if run["state"] != SPREAD:
-                        continue
-                    for begin in range(run["first"], end, BLOCK):
-                        stop = min(begin + BLOCK, end)
-                        found = np.frombuffer(b"".join(
-                            [digest(body[i:i + window]) for i in range(begin, stop)]),
-                            np.int64).reshape(-1, 2)
-                        rows.add(doc, np.arange(begin, stop), np.ones(stop - begin, np.int64),
-                                 found[:, 0], found[:, 1])
-                        if rows.count > BLOCK:
-                            yield from map(without_body, rows.flush())
-            yield from map(without_body, rows.flush())
+            rows = _Rows(batch, None)
+            ends, items = parts_of(batch.column("_lb_runs"))
+            texts_, doc_of = batch.column("_lb_text"), np.repeat(np.arange(len(ends) - 1), np.diff(ends))
+            alone = np.flatnonzero(items["state"] == APART)
+            order = alone[np.lexsort((items["first"][alone], doc_of[alone]))]
+            bodies, text, at = [], None, -1
+            for doc, first, end in zip(doc_of[order].tolist(), items["first"][order].tolist(), (
+                    items["first"] + items["size"] + window - 1)[order].tolist(), strict=True):
+                if doc != at:
+                    text, at = texts_[doc].as_py(), doc
+                bodies.append(text[first:end])
             if bodies:
-                doc, key, first, size, body = zip(*bodies, strict=True)
-                at, n = pa.array(doc, pa.int64()), len(doc)
+                row, n = pa.array(doc_of[order]), len(order)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_lb_id").take(at), batch.column("_lb_text_id").take(at),
-                     pa.array(key, pa.int64()), pa.array(np.zeros(n, np.int64)),
-                     pa.array(np.full(n, APART, np.int8)), pa.array(first, pa.int64()),
-                     pa.array(size, pa.int64()), pa.array(body, pa.binary())], names)
+                    [batch.column("_lb_id").take(row), batch.column("_lb_text_id").take(row),
+                     pa.array(items["key"][order], pa.int64()), pa.array(np.zeros(n, np.int64)),
+                     pa.array(np.full(n, APART, np.int8)), pa.array(items["first"][order], pa.int64()),
+                     pa.array(items["size"][order], pa.int64()), pa.array(bodies, pa.binary())], names)
+            wide = np.flatnonzero(items["state"] == SPREAD)
+            for i in wide[np.lexsort((items["first"][wide], doc_of[wide]))].tolist():
+                doc, begin = int(doc_of[i]), int(items["first"][i])
+                text, end = texts_[doc].as_py(), begin + int(items["size"][i])
+                for low in range(begin, end, BLOCK):
+                    high = min(low + BLOCK, end)
+                    found = np.frombuffer(b"".join(
+                        [digest(text[j:j + window]) for j in range(low, high)]),
+                        np.int64).reshape(-1, 2)
+                    rows.add(doc, np.arange(low, high), np.ones(high - low, np.int64),
+                             found[:, 0], found[:, 1])
+                    if rows.count > BLOCK:
+                        yield from map(without_body, rows.flush())
+            yield from map(without_body, rows.flush())
 
     def without_body(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays(
@@ -280,31 +305,44 @@ def _repeated_edges(rows: DataFrame, window: int) -> DataFrame:
                     if f.name in ("_lb_id", "_lb_text_id"))
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        anchor, seen = None, {}      # the anchor at hand, and the first id of its windows
-        place, least = None, None    # the spread window at hand, and its first id
+        anchor, seen = None, {}   # the anchor at hand, and the first id of its windows
+        held = None               # the spread window at hand, and its first id
         for batch in batches:
-            found = []
-            for i, (key, run, state, first, size, ident, body) in enumerate(zip(*(
-                    batch.column(c).to_pylist() for c in (
-                        "key", "run", "state", "first", "size", "_lb_id", "body")), strict=True)):
+            state, first, size, key, run = (batch.column(c).to_numpy() for c in (
+                "state", "first", "size", "key", "run"))
+            ids = batch.column("_lb_id")
+            gone = np.flatnonzero(state == GONE)
+            found = [(gone, first[gone], size[gone])]
+            mine = np.flatnonzero(state == APART)
+            edges = []
+            for i, k, n, ident, body in zip(
+                    mine.tolist(), key[mine].tolist(), size[mine].tolist(),
+                    ids.take(pa.array(mine)).to_pylist(),
+                    batch.column("body").take(pa.array(mine)).to_pylist(), strict=True):
                 ident = tuple(ident.values())
-                if state == GONE:
-                    found.append((i, first, size))
-                elif state == APART:
-                    if key != anchor:
-                        anchor, seen = key, {}
-                    for j in range(size):
-                        if seen.setdefault(body[j:j + window], ident) != ident:
-                            found.append((i, first + j, 1))
-                else:
-                    if (key, run) != place:
-                        place, least = (key, run), ident
-                    if ident != least:
-                        found.append((i, first, size))
-            at, first, size = joined(*np.array(found, np.int64).reshape(-1, 3).T)
+                if k != anchor:
+                    anchor, seen = k, {}
+                edges += [(i, j) for j in range(n)
+                          if seen.setdefault(body[j:j + window], ident) != ident]
+            at, step = np.array(edges, np.int64).reshape(-1, 2).T
+            found.append((at, first[at] + step, np.ones_like(at)))
+            mine = np.flatnonzero(state == SPREAD)
+            if len(mine):
+                k, r = key[mine], run[mine]
+                fresh = np.append(True, (k[1:] != k[:-1]) | (r[1:] != r[:-1]))
+                group = np.cumsum(fresh) - 1
+                least = ids.take(pa.array(mine[fresh]))
+                if held is not None and held[:2] == (k[0], r[0]):
+                    least = pa.concat_arrays([held[2], least.slice(1)])
+                same = [pc.equal(ids.take(pa.array(mine)).field(x), least.take(pa.array(group)).field(x))
+                        .fill_null(True).to_numpy(zero_copy_only=False) for x in (0, 1)]
+                later = mine[~(same[0] & same[1])]
+                found.append((later, first[later], size[later]))
+                held = (k[-1], r[-1], least.slice(len(least) - 1))
+            at, first, size = joined(*map(np.concatenate, zip(*found, strict=True)))
             row = pa.array(at)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_lb_id").take(row), batch.column("_lb_text_id").take(row),
+                [ids.take(row), batch.column("_lb_text_id").take(row),
                  pa.array(first), pa.array(size), pa.array(np.full(len(at), GONE, np.int8))],
                 ["_lb_id", "_lb_text_id", "first", "size", "state"])
 
@@ -381,13 +419,16 @@ def _results(known: DataFrame, schema: str, window: int, result) -> DataFrame:
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             columns: list[list] = [[] for _ in names]
-            for text, *lists in zip(*(batch.column(c) for c in (
-                    "_lb_text", "_lb_runs", "_lb_windows")), strict=True):
-                gone = [(r["first"], r["size"]) for x in lists for r in (x.as_py() or ())
-                        if r["state"] == GONE]
-                at = np.array(gone, np.int64).reshape(-1, 2)
+            gone = []
+            for name in ("_lb_runs", "_lb_windows"):
+                ends, items = parts_of(batch.column(name))
+                mine = items["state"] == GONE
+                count = np.append(0, np.cumsum(mine))[ends]
+                gone.append((count, items["first"][mine], items["size"][mine]))
+            for i, text in enumerate(batch.column("_lb_text")):
                 body = text.as_py()
-                row = result(body, *kept_bytes(body, at[:, 0], at[:, 1], window))
+                first, size = (np.concatenate([g[k][g[0][i]:g[0][i + 1]] for g in gone]) for k in (1, 2))
+                row = result(body, *kept_bytes(body, first, size, window))
                 for column, value in zip(columns, row, strict=True):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
