@@ -2,6 +2,7 @@
 
 import collections
 import hashlib
+import math
 import os
 import pathlib
 import re
@@ -369,14 +370,73 @@ def test_toxicity(spark, odd, none):
     hit = [r["score"] >= toxicity.CUT for r in unseen if r["toxic"] == 1]
     false = [r["score"] >= toxicity.CUT for r in unseen if r["toxic"] == 0]
     # some labels of this table mark texts without any trace of toxic words
-    assert np.mean(hit) > 0.85 and np.mean(false) < 0.01
+    assert np.mean(hit) > 0.85 and np.mean(false) < 0.005
     out = toxicity.score_texts(odd, model)
     assert set(out.columns) == set(odd.columns) and out.count() == len(ROWS)
     assert toxicity.score_texts(none, model).count() == 0
+    kept = toxicity.reject_toxic(odd.withColumn("toxic", odd["n"]), labels)
+    assert kept.columns == [*odd.columns, "toxic"]
+    assert sorted(map(str, kept.drop("toxic").collect())) == sorted(map(str, odd.collect()))
+    assert toxicity.reject_toxic(none, labels).count() == 0
     untaught = toxicity.train(odd, labels.limit(0))
     assert {r["score"] for r in toxicity.score_texts(odd, untaught).collect()} == {0.5}
 
 
+def brute_score(model, text):
+    """The score of a text, place by place."""
+    words = text.encode().translate(toxicity._TABLE).split()
+
+    def vector(word):
+        named = word.decode("utf-8", "replace")
+        sides = [zlib.crc32(word, seed) for seed in (1, 2)]
+        sides += [zlib.crc32(named[:n].encode(), n) for n in toxicity.PREFIXES]
+        return sum(model.rows[i][h % toxicity.BUCKETS] for i, h in enumerate(sides))
+
+    places = [vector(w) for w in words] or [np.zeros(toxicity.DIM)]
+    z = model.offset
+    for k, width in enumerate(toxicity.WIDTHS):
+        values = [sum((places[i + j] @ model.filters[width][j] for j in range(width) if i + j < len(places)),
+                      np.zeros(toxicity.FILTERS)) for i in range(len(places))]
+        top = -np.sort(-np.array(values), axis=0)[:toxicity.POOLED]
+        z += (np.maximum(top + model.bias[width], 0) * model.out[k][:len(top)]).sum()
+    return 1 / (1 + math.exp(-z))
+
+
+@pytest.mark.parametrize("places", [1 << 16, 5])
+def test_convolution_and_pooling_against_brute_force(monkeypatch, places):
+    monkeypatch.setattr(toxicity, "PLACES", places)
+    rng = np.random.default_rng(9)
+    vocabulary = [f"word{i}" for i in range(30)] + ["Été", "über"]
+    texts = [" ".join(rng.choice(vocabulary, n)) for n in (1, 2, 3, 17, 40, 5)] + ["", "..."]
+    model = toxicity.fit(texts * 4, np.array([1, 0] * 16), epochs=2, batch=8)
+    want = [brute_score(model, t) for t in texts]
+    assert np.allclose(model.scores(texts), want, atol=1e-5) and len(set(np.round(want, 3))) > 4
+
+
+def test_rows_that_agree_in_text_and_id_are_dealt_one_by_one(spark):
+    rows = spark.range(4000).selectExpr("cast(null as long) doc_id", "'the same text' text").union(
+        spark.range(600).selectExpr("id doc_id", "concat('text ', id) text"))
+    placed = sharding.shard_documents(rows).collect()
+    size, slots = collections.Counter(), collections.defaultdict(list)
+    for r in placed:
+        size[r["shard"]] += len(r["text"]) + 1
+        slots[r["shard"]].append(r["slot"])
+    assert len(placed) == 4600 and len(size) == 8 and max(size.values()) - min(size.values()) <= 60
+    assert all(sorted(x) == list(range(len(x))) for x in slots.values())
+
+
+def test_near_dedup_keeps_a_row_of_every_group(spark):
+    """Unlike texts under one id, and rows without an id, all have groups of their own."""
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, a), (1, b), (2, c), (2, a + " more"), (None, a), (None, "d " + c), (None, "e f g h i j")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(map(tuple, shingles.one_of_each(df, 5).collect()), key=str) == sorted(
+        [(1, a), (1, b), (2, c), (None, "e f g h i j")], key=str)
+    texts = df.selectExpr("cast(doc_id as string) || 'x' doc_id", "text")
+    assert shingles.one_of_each(texts, 5).count() == 4
+    assert simhash.near_duplicates(texts).count() == len(rows)
+
+
 def brute_tree(train, texts, depth):
     """Context-tree weighting node by node."""
     import functools
