@@ -70,7 +70,7 @@ def scan_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     v.tx_raw_dirty(spark, sf_dir).select(*RAW_TRANSACTIONS.fieldNames()).write.json(folder)
     raw = files.read_raw(spark, folder, "transactions", multi_line=False)
     good, _ = files.split_corrupt(raw)
-    return good.drop("source_file")
+    return good.drop("source_file", "source_modified")
 
 
 @query("table_scan", v.sql(_TX_ROWS, "tx"))
