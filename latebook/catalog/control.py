@@ -206,6 +206,25 @@ def p95(spark: SparkSession, sf_dir: str) -> DataFrame:
         "entity_name", "n_runs", money("p_duration", 4).alias("p95_seconds"))
 
 
+@query("p95_merged", v.sql("""
+SELECT entity_name, CAST(any_value(total) AS BIGINT) AS n_runs,
+       round(CASE WHEN min(bucket) = -1000000 THEN 0
+                  ELSE 2 * pow(1.01 / 0.99, min(bucket)) / (1.01 / 0.99 + 1) END, 4) AS p95_seconds
+FROM (SELECT *, sum(n) OVER (PARTITION BY entity_name ORDER BY bucket) AS upto,
+             sum(n) OVER (PARTITION BY entity_name) AS total
+      FROM (SELECT entity_name, count(*) AS n,
+                   CASE WHEN duration_seconds <= 0 THEN -1000000
+                        ELSE CAST(ceil(ln(duration_seconds) / ln(1.01 / 0.99)) AS BIGINT) END AS bucket
+            FROM proc_log GROUP BY ALL))
+WHERE upto >= ceil(total * 0.95) GROUP BY entity_name""", "proc_log"))
+def p95_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The percentile of all hours from the sketches of each, kept in a table."""
+    path = new_folder(spark, "duration-sketches")
+    m.duration_sketches(v.proc_log(spark, sf_dir)).write.parquet(path)
+    return m.merged_percentile(spark.read.parquet(path), 0.95).select(
+        "entity_name", "n_runs", money("p_duration", 4).alias("p95_seconds"))
+
+
 @query("records_by_component", v.sql("""
 SELECT process_name, entity_name, count(*) AS n_runs,
        CAST(sum(total_records_processed) AS BIGINT) AS records_processed,

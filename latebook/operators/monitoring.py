@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -56,3 +58,44 @@ def change_markers(logs: DataFrame) -> DataFrame:
                          F.date_format(minute, "yyyy-MM-dd HH:mm:ss").alias("minute"))
             .agg(F.sum("total_records_processed").alias("records_added"))
             .filter(F.col("records_added") > 0))
+
+
+#: Relative error of the merged percentiles, and the bucket of durations of nothing.
+SKETCH_ERROR = 0.01
+NO_TIME = -1_000_000
+
+
+def duration_sketches(logs: DataFrame, error: float = SKETCH_ERROR) -> DataFrame:
+    """Runs per component, hour and bucket of duration: a sketch of each hour, whose sum over any
+    span is the sketch of the span.
+
+    Buckets grow by (1 + error) / (1 - error), so a sketch has some hundred rows at most, however
+    many runs there are, and the middle of a bucket is within the error of all it holds.
+    """
+    seconds = F.col("duration_seconds")
+    bucket = F.when(seconds <= 0, F.lit(NO_TIME)).otherwise(
+        F.ceil(F.log(seconds) / math.log(_growth(error)))).cast("long")
+    hour = F.date_trunc("hour", F.col("start_time").cast("timestamp"))
+    return (with_duration(logs).filter(seconds.isNotNull())
+            .groupBy("entity_name", hour.alias("hour"), bucket.alias("bucket"))
+            .agg(F.count(F.lit(1)).alias("n_runs")))
+
+
+def merged_percentile(sketches: DataFrame, p: float = 0.95,
+                      error: float = SKETCH_ERROR) -> DataFrame:
+    """The percentile per component over all hours given: that of the run of rank ceil(p n), within
+    the relative error of the sketches."""
+    merged = sketches.groupBy("entity_name", "bucket").agg(F.sum("n_runs").alias("n"))
+    whole = Window.partitionBy("entity_name")  # some hundred buckets
+    ranked = merged.withColumns({"upto": F.sum("n").over(whole.orderBy("bucket")),
+                                 "n_runs": F.sum("n").over(whole)})
+    growth = _growth(error)
+    found = ranked.filter(F.col("upto") >= F.ceil(F.col("n_runs") * p)).groupBy("entity_name").agg(
+        F.first("n_runs").alias("n_runs"), F.min("bucket").alias("bucket"))
+    middle = 2 * F.pow(F.lit(growth), F.col("bucket")) / (growth + 1)
+    return found.select("entity_name", "n_runs", F.when(
+        F.col("bucket") == NO_TIME, F.lit(0.0)).otherwise(middle).alias("p_duration"))
+
+
+def _growth(error: float) -> float:
+    return (1 + error) / (1 - error)

@@ -158,6 +158,26 @@ def test_percentile_of_a_frequent_component(spark):
     assert got == {r["entity_name"]: r["p"] for r in exact.collect()}
 
 
+def test_merged_sketches_are_within_their_error(spark):
+    import math
+    import random
+
+    from latebook.operators.monitoring import duration_sketches, merged_percentile
+    rng, start = random.Random(4), dt.datetime(2024, 1, 1)
+    rows = [(rng.choice("ab"), start + dt.timedelta(hours=rng.randrange(30)),
+             int(rng.lognormvariate(4, 2)) if rng.random() < 0.9 else 0) for _ in range(3000)]
+    logs = spark.createDataFrame([(e, t, t + dt.timedelta(seconds=n)) for e, t, n in rows],
+                                 "entity_name string, start_time timestamp, end_time timestamp")
+    sketches = duration_sketches(logs)
+    for first, last, p in ((0, 30, 0.95), (3, 9, 0.5), (10, 11, 0.99), (0, 30, 0.01)):
+        low, high = (start + dt.timedelta(hours=h) for h in (first, last))
+        span = (F.col("hour") >= F.lit(low)) & (F.col("hour") < F.lit(high))
+        for r in merged_percentile(sketches.filter(span), p).collect():
+            mine = sorted(n for e, t, n in rows if e == r["entity_name"] and low <= t < high)
+            exact = mine[math.ceil(p * len(mine)) - 1]
+            assert r["n_runs"] == len(mine) and abs(r["p_duration"] - exact) <= 0.0101 * exact
+
+
 def test_a_hot_partition_is_written_by_several_tasks(spark, tmp_path):
     # Random text, so that the rows do not shrink in the shuffle.
     rows = spark.range(0, 60000, 1, 8).select(
