@@ -326,7 +326,7 @@ def _repeated_edges(rows: DataFrame, window: int) -> DataFrame:
                           if seen.setdefault(body[j:j + window], ident) != ident]
             at, step = np.array(edges, np.int64).reshape(-1, 2).T
             found.append((at, first[at] + step, np.ones_like(at)))
-            mine = np.flatnonzero(state == SPREAD)
+            mine = np.flatnonzero(state == OPEN)  # spread windows, whose batch did not settle them
             if len(mine):
                 k, r = key[mine], run[mine]
                 fresh = np.append(True, (k[1:] != k[:-1]) | (r[1:] != r[:-1]))

@@ -193,6 +193,20 @@ def test_one_passage_in_many_documents(spark):
     assert got == brute_passages([(d, t.encode()) for d, t, _ in rows], 50)
 
 
+def test_spread_windows_meet_those_of_other_batches(spark):
+    """Periodic runs of unlike lengths have their windows spread; each text is a batch of its own."""
+    rows = [(1, "a" * 700, "en"), (2, "a" * 500, "en"), (3, "ab" * 300 + "a" * 400, "en"), (4, "ab" * 200, "en")]
+    df = spark.createDataFrame(rows_of(*rows), SCHEMA)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "1")
+    try:
+        got = sorted(map(tuple, suffixes.passage_digests(df).collect()), key=repr)
+    finally:
+        spark.conf.set(name, before)
+    assert got == brute_passages([(d, t.encode()) for d, t, _ in rows], 50)
+
+
 def test_runs_hold_each_window_once_and_depend_on_bytes(monkeypatch):
     rng = np.random.default_rng(4)
     text = bytes(rng.integers(97, 101, 700, dtype=np.uint8)) + b"a" * 300 + b"abc" * 80
