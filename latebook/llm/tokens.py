@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import ctypes
 import functools
 import re
 from collections.abc import Callable, Iterator
@@ -26,6 +27,26 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def give_back() -> None:
+    """Return the memory that a Python worker has freed but holds: it lives on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """A task's function that gives freed memory back when it ends."""
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return kept
+
+
 def slices(texts: list[str], size: int = _SLICE) -> Iterator[list[str]]:
     """Neighbouring texts together, up to so many characters or one text."""
     held, length = [], 0

@@ -3,12 +3,18 @@
 A word's embedding is the sum of rows that hashes choose: two of the whole word, so that only
 words which share both look alike, and one each of its first three, four and five characters, so
 that words of one stem look alike in part. Filters of several widths slide over the words, each keeps its largest
-response in the text, and a logistic layer joins them. The model is fitted on the driver on a
-bounded sample of labelled rows (``SAMPLE`` of each class) and scores every whole text in tasks.
+response in the text, and a logistic layer joins them.
+
+The model learns from every labelled row that may be learnt from. The rows are dealt to shards by the
+hash of their id; in each round a task descends over the rows of a shard, beginning with the model of
+the round before, and the next model is the mean of what the shards changed. Sums are taken in fixed
+point, so they do not depend on their order. Only the model, whose size is fixed, and counts by grid
+point of the score come to the driver.
 """
 
 from __future__ import annotations
 
+import copy
 import string
 import zlib
 from collections.abc import Iterator
@@ -16,17 +22,23 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from latebook.llm.registry import query, table
-from latebook.llm.text import plain
-from latebook.llm.tokens import slices
-
-#: Labelled rows of each class that the fit uses at most: those of the smallest hash of the id.
-SAMPLE = 1500
-#: Bytes of their texts that are brought to the driver at most; the first rows beyond are not learnt from.
-SAMPLE_BYTES = 64 << 20
+from latebook.llm.text import cut, plain
+from latebook.llm.tokens import slices, tidy
+
+#: Labelled rows of a shard, at least, and shards at most; beyond that shards grow.
+SHARD_ROWS = 2000
+SHARDS = 128
+#: Texts of a step of the descent, and one part of so many whose rows are kept for the calibration.
+BATCH = 32
+CHECKED = 5
+#: Points of the grid on which the logits of these rows are counted, for each unit.
+GRID = 256
+#: Parts of a unit in which sums over shards are taken.
+POINT = 1 << 32
 #: The score at and above which a text counts as toxic; fixed by the result contract.
 CUT = 0.7
 BUCKETS = 1 << 16
@@ -174,88 +186,114 @@ def largest(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     return np.stack(found, 1)
 
 
-def contrast(texts: list[str], labels: np.ndarray, batch: int = 256) -> np.ndarray:
+def bucket_counts(texts: list[str], labels: np.ndarray) -> np.ndarray:
+    """For each class, hash and bucket the texts that hold it."""
+    counts = np.zeros((2, SIDES, BUCKETS), np.int64)
+    for text, label in zip(texts, labels, strict=True):
+        hashes = read_words([text]).hashes[1:]
+        for side in range(SIDES):
+            counts[label, side, np.unique(hashes[:, side])] += 1
+    return counts
+
+
+def contrast(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
     """For each hash and each bucket, how much more often toxic texts hold it: the difference
     of the two shares over its standard error, so that buckets of rare words stay near zero."""
-    counts = np.zeros((2, SIDES, BUCKETS))
-    for begin in range(0, len(texts), batch):
-        for text, label in zip(texts[begin:begin + batch], labels[begin:begin + batch],
-                               strict=True):
-            hashes = read_words([text]).hashes[1:]
-            for side in range(SIDES):
-                counts[label, side, np.unique(hashes[:, side])] += 1
-    n = np.array([(labels == 0).sum(), (labels == 1).sum()])
     share = (counts[0] + counts[1] + 1) / (n.sum() + 2)
     error = np.sqrt(share * (1 - share) * (1 / n[0] + 1 / n[1]))
     return (counts[1] / n[1] - counts[0] / n[0]) / error
 
 
-def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, batch: int = 32,
-        rate: float = 0.05, word_rate: float = 0.3) -> Model:
+class Descent:
     """Gradient descent on the logistic loss; only the places that were pooled pass it on.
 
     Filters and the logistic layer take AdaGrad's steps. Words take plain ones, so that a word
     moves as far as the texts that hold it agree, and one that few texts hold hardly at all;
     their first dimension starts from ``contrast``.
     """
-    model, rng = Model.fresh(), np.random.default_rng(11)
-    model.rows[:, :, 0] += contrast(texts, labels).astype(np.float32) / 50
-    parts: dict[str, np.ndarray] = {"out": model.out}
-    for w in WIDTHS:
-        parts[f"f{w}"], parts[f"b{w}"] = model.filters[w], model.bias[w]
-    seen = {k: np.full(v.shape, 1e-3, np.float32) for k, v in parts.items()}
-    seen_offset = 1e-3
-
-    def step(name, gradient):
-        seen[name] += gradient * gradient
-        parts[name] -= rate * gradient / np.sqrt(seen[name])
 
+    def __init__(self, model: Model, rate: float = 0.05, word_rate: float = 0.3):
+        self.model, self.rate, self.word_rate = model, rate, word_rate
+        self.parts: dict[str, np.ndarray] = {"out": model.out}
+        for w in WIDTHS:
+            self.parts[f"f{w}"], self.parts[f"b{w}"] = model.filters[w], model.bias[w]
+        self.seen = {k: np.full(v.shape, 1e-3, np.float32) for k, v in self.parts.items()}
+        self.seen_offset = 1e-3
+
+    def step(self, words: Words, labels: np.ndarray) -> None:
+        model = self.model
+        found = model.responses(words)
+        stops = np.append(words.starts[1:], len(words.at))
+        best, features = {}, []
+        for w in WIDTHS:  # (texts, POOLED, filters); a text has as many places at least
+            best[w] = np.stack([a + np.argsort(-found[w][a:b], axis=0, kind="stable")[:POOLED]
+                                for a, b in zip(words.starts, stops, strict=True)])
+            top = found[w][best[w], np.arange(FILTERS)] + model.bias[w]
+            features.append(np.maximum(top, 0))
+        x = np.stack(features, 1)
+        z = np.einsum("twkf,wkf->t", x, model.out) + model.offset
+        p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+        error = ((p - labels) / len(labels)).astype(np.float32)
+        back = error[:, None, None, None] * model.out[None] * (x > 0)
+        gathered = np.zeros((len(words.hashes), DIM), np.float32)
+        vectors = model.vectors(words)
+        changes = []
+        for k, w in enumerate(WIDTHS):
+            g = back[:, k]
+            df = np.zeros_like(model.filters[w])
+            for j in range(w):
+                place = np.minimum(best[w] + j, len(words.at) - 1)
+                ids = words.at[place]
+                df[j] = np.einsum("tkfd,tkf->df", vectors[ids], g)
+                np.add.at(gathered, ids.ravel(), (
+                    g[..., None] * model.filters[w][j].T).reshape(-1, DIM))
+            changes += [(f"f{w}", df), (f"b{w}", g.sum((0, 1)))]
+        touched = np.flatnonzero(np.abs(gathered).sum(1) > 0)
+        touched = touched[touched > 0]
+        changes.append(("out", np.einsum("twkf,t->wkf", x, error)))
+        for name, gradient in changes:
+            self.seen[name] += gradient * gradient
+            self.parts[name] -= self.rate * gradient / np.sqrt(self.seen[name])
+        for side in range(SIDES):
+            np.add.at(model.rows[side], words.hashes[touched, side],
+                      -self.word_rate * gathered[touched])
+        slope = float(error.sum())
+        self.seen_offset += slope * slope
+        model.offset -= self.rate * slope / np.sqrt(self.seen_offset)
+
+    def numbers(self) -> np.ndarray:
+        """All that a round changes, as rows of ``DIM``: those of words, then everything else."""
+        rest = np.concatenate([*(x.ravel() for x in (*self.parts.values(), *self.seen.values())),
+                               [self.model.offset, self.seen_offset]])
+        rest = np.append(rest, np.zeros(-len(rest) % DIM))
+        return np.concatenate([self.model.rows.reshape(-1, DIM), rest.reshape(-1, DIM)])
+
+    def put(self, numbers: np.ndarray) -> None:
+        """Take over what ``numbers`` gave."""
+        words = SIDES * BUCKETS
+        self.model.rows[:] = numbers[:words].reshape(self.model.rows.shape)
+        rest, at = numbers[words:].ravel(), 0
+        for x in (*self.parts.values(), *self.seen.values()):
+            x[:] = rest[at:at + x.size].reshape(x.shape)
+            at += x.size
+        self.model.offset, self.seen_offset = float(rest[at]), float(rest[at + 1])
+
+
+def fit(texts: list[str], labels: np.ndarray, epochs: int = EPOCHS, batch: int = BATCH) -> Model:
+    """The descent over texts at hand, without Spark."""
+    descent, rng = Descent(Model.fresh()), np.random.default_rng(11)
+    n = np.bincount(labels, minlength=2)
+    descent.model.rows[:, :, 0] += contrast(bucket_counts(texts, labels), n).astype(np.float32) / 50
     order = rng.permutation(len(texts))
     batches = [order[i:i + batch] for i in range(0, len(order), batch)]
     read = [read_words([texts[i] for i in mine]) for mine in batches]
     for _ in range(epochs):
         for number in rng.permutation(len(batches)):
-            mine, words = batches[number], read[number]
-            found = model.responses(words)
-            stops = np.append(words.starts[1:], len(words.at))
-            best, features = {}, []
-            for w in WIDTHS:  # (texts, POOLED, filters); a text has as many places at least
-                best[w] = np.stack([a + np.argsort(-found[w][a:b], axis=0, kind="stable")[:POOLED]
-                                    for a, b in zip(words.starts, stops, strict=True)])
-                top = found[w][best[w], np.arange(FILTERS)] + model.bias[w]
-                features.append(np.maximum(top, 0))
-            x = np.stack(features, 1)
-            z = np.einsum("twkf,wkf->t", x, model.out) + model.offset
-            p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-            error = ((p - labels[mine]) / len(mine)).astype(np.float32)
-            back = error[:, None, None, None] * model.out[None] * (x > 0)
-            gathered = np.zeros((len(words.hashes), DIM), np.float32)
-            vectors = model.vectors(words)
-            changes = []
-            for k, w in enumerate(WIDTHS):
-                g = back[:, k]
-                df = np.zeros_like(model.filters[w])
-                for j in range(w):
-                    place = np.minimum(best[w] + j, len(words.at) - 1)
-                    ids = words.at[place]
-                    df[j] = np.einsum("tkfd,tkf->df", vectors[ids], g)
-                    np.add.at(gathered, ids.ravel(), (
-                        g[..., None] * model.filters[w][j].T).reshape(-1, DIM))
-                changes += [(f"f{w}", df), (f"b{w}", g.sum((0, 1)))]
-            touched = np.flatnonzero(np.abs(gathered).sum(1) > 0)
-            touched = touched[touched > 0]
-            changes.append(("out", np.einsum("twkf,t->wkf", x, error)))
-            for name, gradient in changes:
-                step(name, gradient)
-            for side in range(SIDES):
-                np.add.at(model.rows[side], words.hashes[touched, side], -word_rate * gathered[touched])
-            slope = float(error.sum())
-            seen_offset += slope * slope
-            model.offset -= rate * slope / np.sqrt(seen_offset)
-    return model
+            descent.step(read[number], labels[batches[number]])
+    return descent.model
 
 
-def calibrate(model: Model, texts: list[str], labels: np.ndarray, langs: list[str | None],
+def calibrate(model: Model, logits: np.ndarray, labels: np.ndarray, langs: list[str | None],
               weights: np.ndarray) -> None:
     """Shift the logits so that the best border between the classes lies at ``CUT``, then set a
     threshold for each language that has both classes, all from rows the fit has not seen.
@@ -263,14 +301,13 @@ def calibrate(model: Model, texts: list[str], labels: np.ndarray, langs: list[st
     A border's cost is the weighted count of errors; among equal ones the middle of the widest
     gap wins, so that a language with cleanly parted classes keeps room on either side.
     """
-    logits = model.logits(texts)
     at = border(logits, labels, weights)
     model.offset += float(np.log(CUT / (1 - CUT)) - at)
     scores = 1 / (1 + np.exp(-np.clip(logits - at + np.log(CUT / (1 - CUT)), -40, 40)))
     model.thresholds = {None: CUT}
     for lang in {x for x in langs if x is not None}:
         own = np.array([x == lang for x in langs])
-        if len(set(labels[own])) == 2 and own.sum() >= 50:
+        if len(set(labels[own])) == 2 and weights[own].sum() >= 50:
             cost = ((scores[own] >= CUT) != labels[own]) @ weights[own]
             cut = border(logits[own] - at, labels[own], weights[own])
             moved = 1 / (1 + np.exp(-(cut + np.log(CUT / (1 - CUT)))))
@@ -291,48 +328,132 @@ def border(logits: np.ndarray, labels: np.ndarray, weights: np.ndarray) -> float
     return float(middle[best[np.argmax(gap[best])]])
 
 
-def sample_of(labels: DataFrame, sample: int) -> DataFrame:
-    """At most ``sample`` labelled ids of each class that may be learnt from, with their class
-    and the share of the class that they stand for; conflicting labels count as toxic."""
-    rows = (labels.filter(labels["doc_id"].isNotNull() & labels["toxic"].isNotNull()
-                          & ~held_out(labels["doc_id"]))
-            .groupBy(labels["doc_id"].alias("_lb_id"))
-            .agg((F.max("toxic") > 0).cast("int").alias("_lb_toxic")))
-    counts = {r["_lb_toxic"]: r["n"] for r in
-              rows.groupBy("_lb_toxic").agg(F.count("*").alias("n")).collect()}  # two rows
-    parts = [rows.filter(F.col("_lb_toxic") == k).orderBy(F.xxhash64("_lb_id"), "_lb_id")
-             .limit(sample).withColumn("_lb_weight", F.lit(n / min(n, sample)))
-             for k, n in sorted(counts.items())]
-    if len(parts) < 2:
-        return None
-    return parts[0].union(parts[1])
+def learnable(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The text, language and class of all labelled ids that may be learnt from; conflicting labels
+    count as toxic, and of repeated ids one row stays. ``_lb_part`` 0 is kept for the calibration."""
+    classes = (labels.filter(labels["doc_id"].isNotNull() & labels["toxic"].isNotNull()
+                             & ~held_out(labels["doc_id"]))
+               .groupBy(labels["doc_id"].alias("_lb_id"))
+               .agg((F.max("toxic") > 0).cast("int").alias("toxic")))
+    first = F.min(F.struct(plain(docs["text"]).alias("text"), docs["lang"].alias("lang")))
+    rows = (docs.select(docs["doc_id"].alias("_lb_id"), docs["text"], docs["lang"])
+            .join(classes, "_lb_id"))
+    named = F.xxhash64("_lb_id")
+    return (rows.groupBy("_lb_id", "toxic").agg(first.alias("first"))
+            .select("toxic", "first.*", named.alias("_lb_order"), "_lb_id",
+                    F.pmod(named, F.lit(CHECKED)).alias("_lb_part")))
+
+
+def _counted(rows: DataFrame) -> np.ndarray:
+    """``bucket_counts`` of all rows, each task's counted before they are shuffled."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros((2, SIDES * BUCKETS), np.int64)
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                counts += bucket_counts(part.column("text").to_pylist(),
+                                        part.column("toxic").to_numpy()).reshape(2, -1)
+        key = np.flatnonzero(counts.any(0))
+        yield pa.RecordBatch.from_arrays(list(map(pa.array, (key, *counts[:, key]))), ["key", "n0", "n1"])
+
+    # a row for each bucket of the model at most
+    found = (rows.select("text", "toxic").mapInArrow(tidy(run), "key long, n0 long, n1 long")
+             .groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())
+    counts = np.zeros((2, SIDES * BUCKETS), np.int64)
+    for label, name in enumerate(("n0", "n1")):
+        counts[label, found.column("key").to_numpy()] = found.column(name).to_numpy()
+    return counts.reshape(2, SIDES, BUCKETS)
+
+
+def _round(rows: DataFrame, descent: Descent) -> None:
+    """One descent over the rows of every shard, and the mean of what those that moved a number
+    have changed. Rows come ordered within their shard, so that a repeated task finds the same."""
+    def change(mine: Descent) -> pa.RecordBatch:
+        before = descent.numbers()
+        moved = np.rint((mine.numbers() - before) * POINT).astype(np.int64)
+        key = np.flatnonzero(moved.any(1))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(key), *map(pa.array, np.ascontiguousarray(moved[key].T))], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shard, mine, held = None, None, ([], [])
+
+        def learn() -> None:
+            if held[0]:
+                mine.step(read_words(held[0]), np.array(held[1]))
+                held[0].clear()
+                held[1].clear()
+
+        for batch in batches:
+            for at in range(0, batch.num_rows, BATCH):
+                part = batch.slice(at, BATCH)
+                for here, text, toxic in zip(*(part.column(c).to_pylist() for c in (
+                        "_lb_shard", "text", "toxic")), strict=True):
+                    if here != shard:
+                        if mine is not None:
+                            learn()
+                            yield change(mine)
+                        shard, mine = here, copy.deepcopy(descent)
+                    held[0].append(text)
+                    held[1].append(toxic)
+                    if len(held[0]) == BATCH:
+                        learn()
+        if mine is not None:
+            learn()
+            yield change(mine)
+
+    names = ["key", *(f"d{i}" for i in range(DIM))]
+    ordered = rows.repartition("_lb_shard").sortWithinPartitions("_lb_shard", "_lb_order", "_lb_id")
+    # a row for each row of the model at most
+    found = (ordered.select("_lb_shard", "text", "toxic")
+             .mapInArrow(tidy(run), ", ".join(f"{n} long" for n in names)).groupBy("key")
+             .agg(F.count("*").alias("n"), *[F.sum(n).alias(n) for n in names[1:]]).toArrow())
+    key, n = (found.column(c).to_numpy() for c in ("key", "n"))
+    after = descent.numbers()
+    after[key] += np.stack([found.column(c).to_numpy() for c in names[1:]], 1) / POINT / n[:, None]
+    descent.put(after)
+
+
+def _grid(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, list, np.ndarray]:
+    """Logits, classes, languages and counts of rows, by language and grid point."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rest, done = batch.select(["lang", "toxic"]), 0
+            for part in slices(batch.column("text").to_pylist(), STEP):
+                points = np.rint(np.clip(model.logits(part), -40, 40) * GRID).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [*rest.slice(done, len(part)).columns, pa.array(points)], ["lang", "toxic", "at"])
+                done += len(part)
+
+    found = (rows.select("lang", "toxic", "text").mapInArrow(tidy(run), "lang string, toxic int, at long")
+             .groupBy("lang", "toxic", "at").agg(F.count("*").alias("n")).orderBy("lang", "toxic", "at")
+             .collect())  # at most 80 points of the grid a unit, by language and class
+    return (np.array([r["at"] / GRID for r in found]), np.array([r["toxic"] for r in found]),
+            [r["lang"] for r in found], np.array([float(r["n"]) for r in found]))
 
 
-def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Model:
-    """Fit and calibrate on a bounded sample; a fifth of it is kept for the calibration.
+def train(docs: DataFrame, labels: DataFrame) -> Model:
+    """Fit on all labelled rows that may be learnt from but for a fifth, which calibrates.
 
-    Without labelled rows of both classes the model scores 0.5 for every text.
+    Unless both parts hold rows of both classes the model scores 0.5 for every text.
     """
-    chosen = sample_of(labels, sample)
-    rows = [] if chosen is None else (
-        docs.select(docs["doc_id"].alias("_lb_id"), docs["text"], docs["lang"])
-        .join(F.broadcast(chosen), "_lb_id")  # at most 2 * sample ids
-        .dropDuplicates(["_lb_id"])
-        # at most 2 * sample rows: those that fit into the bytes, in the order of the sample
-        .withColumn("_lb_bytes", F.sum(F.octet_length(plain(F.col("text")))).over(
-            Window.orderBy(F.xxhash64("_lb_id"), "_lb_id")))
-        .filter(F.col("_lb_bytes") <= SAMPLE_BYTES)
-        .select("_lb_id", "text", "lang", "_lb_toxic", "_lb_weight").collect())
-    rows.sort(key=lambda r: zlib.crc32(str(r["_lb_id"]).encode() + b"order"))
-    texts, y = [r["text"] or "" for r in rows], np.array([r["_lb_toxic"] for r in rows])
-    checked = len(rows) // 5
-    if len(set(y[:checked])) < 2 or len(set(y[checked:])) < 2:
+    rows = cut(learnable(docs, labels))
+    counts = {(r["checked"], r["toxic"]): r["n"] for r in rows.groupBy(
+        (F.col("_lb_part") == 0).alias("checked"), "toxic").agg(F.count("*").alias("n")).collect()}
+    if len(counts) < 4:
         model = Model.fresh()
         model.out[:], model.offset = 0, 0.0
         return model
-    model = fit(texts[checked:], y[checked:])
-    calibrate(model, texts[:checked], y[:checked], [r["lang"] for r in rows[:checked]],
-              np.array([r["_lb_weight"] for r in rows[:checked]]))
+    n = np.array([counts[False, label] for label in (0, 1)])
+    shards = min(SHARDS, max(1, int(n.sum()) // SHARD_ROWS))
+    learnt = rows.filter("_lb_part <> 0").withColumn(
+        "_lb_shard", F.pmod(F.xxhash64("_lb_id", F.lit("shard")), F.lit(shards)))
+    descent = Descent(Model.fresh())
+    descent.model.rows[:, :, 0] += contrast(_counted(learnt), n).astype(np.float32) / 50
+    for number in range(EPOCHS):
+        _round(learnt.withColumn("_lb_order", F.xxhash64("_lb_id", F.lit(number))), descent)
+    model = descent.model
+    calibrate(model, *_grid(rows.filter("_lb_part = 0"), model))
     return model
 
 
@@ -356,16 +477,16 @@ def score_texts(docs: DataFrame, model: Model, column: str = "score") -> DataFra
                 yield pa.RecordBatch.from_arrays(
                     [*rows.columns, pa.array(model.scores(part))], [*rows.schema.names, column])
 
-    return kept.withColumn("_lb_text", plain(kept["text"])).mapInArrow(run, schema)
+    return kept.withColumn("_lb_text", plain(kept["text"])).mapInArrow(tidy(run), schema)
 
 
-def reject_toxic(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
+def reject_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The documents whose score stays below the threshold of their language, all columns.
 
     A null or unknown language has the common threshold, ``CUT``; null and empty texts have the
     score of no words; repeated rows stay or go together; without rows there are none.
     """
-    model = train(docs, labels, sample)
+    model = train(docs, labels)
     threshold = F.lit(model.thresholds[None])
     for lang, value in sorted((k, v) for k, v in model.thresholds.items() if k is not None):
         threshold = F.when(F.col("lang") == lang, value).otherwise(threshold)

@@ -10,6 +10,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 os.environ["PYTHONPATH"] = os.pathsep.join(
     [str(pathlib.Path(__file__).parents[2]), os.environ.get("PYTHONPATH", "")])
@@ -382,6 +383,23 @@ def test_toxicity(spark, odd, none):
     assert {r["score"] for r in toxicity.score_texts(odd, untaught).collect()} == {0.5}
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """A word of toxic rows beyond the first 1500 by hash counts, also where shards are averaged."""
+    ids = spark.range(7000).select(F.col("id").alias("doc_id"), F.xxhash64("id").alias("h"))
+    held = F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+    first = {r["doc_id"] for r in ids.filter(~held & (F.col("doc_id") % 2 == 1)).orderBy("h").limit(1500).collect()}
+    docs = spark.createDataFrame(
+        [(i, "plain words of " + ("calm" if i % 2 == 0 else "alpha" if i in first else "omega"), "en")
+         for i in range(7000)], "doc_id long, text string, lang string")
+    labels = docs.select("doc_id", (docs["doc_id"] % 2).cast("int").alias("toxic"))
+    assert toxicity.learnable(docs, labels).count() == docs.filter(~held).count()
+    for rows in (2000, 500):
+        monkeypatch.setattr(toxicity, "SHARD_ROWS", rows)
+        model = toxicity.train(docs, labels)
+        calm, alpha, omega = model.scores([f"plain words of {w}" for w in ("calm", "alpha", "omega")])
+        assert calm < 0.5 and alpha >= toxicity.CUT and omega >= toxicity.CUT
+
+
 def brute_score(model, text):
     """The score of a text, place by place."""
     words = text.encode().translate(toxicity._TABLE).split()
