@@ -33,7 +33,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: shingles of five words alike at 0.8 or more."""
+    """One document of each group of near copies: shingles of five words alike at 0.8 or more, found
+    by SimHash's byte-position index first, then by one that misses none."""
     return one_of_each(docs, words=5)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from latebook.llm.registry import query, table
-from latebook.llm.tokens import encoder
+from latebook.llm.tokens import encoder, tidy
 
 CAPACITY = 1024
 CHUNK = 128
@@ -177,7 +177,8 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY, chunk: int = CHUNK
     """
     schema = DIGEST + (", ids array<int>" if with_ids else "")
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
-    return slim.mapInArrow(packer(capacity, chunk, batch_windows, with_ids, token_file), schema)
+    packed = packer(capacity, chunk, batch_windows, with_ids, token_file)
+    return slim.mapInArrow(tidy(packed), schema)
 
 
 def padding_report(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:

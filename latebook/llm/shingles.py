@@ -1,4 +1,9 @@
-"""Near copies by exact similarity of word shingles, found through a prefix index that loses none.
+"""Near copies by exact similarity of word shingles, found through two indexes.
+
+The first is the byte-position index of ``simhash``, over fingerprints of the same shingles: what it
+links is checked exactly and grouped. Fingerprints of texts alike at 0.8 may differ in ten bits and
+more, so a prefix index that loses none follows; of the pairs that it finds, those that are in one
+group already need no check.
 
 All shingles have one order: frequent ones last, the others by hash. Two sets with a similarity
 of 0.8 or more share a shingle among the first fifth (and one) of both, whatever the order is;
@@ -23,7 +28,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from latebook.llm.components import components
+from latebook.llm.simhash import bits_of, links_of, majority
 from latebook.llm.text import cut, plain
+from latebook.llm.tokens import tidy
 
 SEED = 42
 LONG = 64
@@ -35,16 +42,22 @@ OFTEN = 2
 MOST = 500_000
 PARITY_BITS = 1024
 
+_CHUNK = 1 << 16
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
-def shingle_set(text: str, words: int) -> np.ndarray:
-    """The sorted hashes of a text's distinct shingles; of a shorter text its only one."""
+def shingle_hashes(text: str, words: int) -> np.ndarray:
+    """The hashes of a text's shingles, repeats included; of a shorter text its only one."""
     split = text.encode("utf-8", "replace").translate(_LOWER).split()
     size = min(words, len(split))
     digest = xxhash.xxh64_intdigest
-    return np.unique(np.array([digest(b" ".join(split[i:i + size]), SEED)
-                               for i in range(len(split) - size + 1 if size else 0)], np.uint64))
+    return np.array([digest(b" ".join(split[i:i + size]), SEED)
+                     for i in range(len(split) - size + 1 if size else 0)], np.uint64)
+
+
+def shingle_set(text: str, words: int) -> np.ndarray:
+    """The sorted hashes of a text's distinct shingles."""
+    return np.unique(shingle_hashes(text, words))
 
 
 def signature(shingles: np.ndarray) -> int:
@@ -65,18 +78,22 @@ def frequent(docs: DataFrame, words: int) -> np.ndarray:
 
     text = plain(docs["text"])
     sample = docs.select(text.alias("text")).filter(F.xxhash64("text") % SAMPLE == 0).distinct()
-    counted = sample.mapInArrow(run, "token long").groupBy("token").agg(F.count("*").alias("c"))
+    counted = sample.mapInArrow(tidy(run), "token long").groupBy("token").agg(F.count("*").alias("c"))
     found = counted.filter(F.col("c") >= OFTEN).orderBy(F.desc("c"), "token").limit(MOST)
     return np.sort(found.select("token").toArrow().column(0).to_numpy().view(np.uint64))
 
 
 def marked_sets(docs: DataFrame, words: int, often: np.ndarray) -> DataFrame:
-    """``doc_id``, ``text_hash`` and, of the shingles, ``sig``, ``n``, ``prefix`` and ``parity``."""
+    """``doc_id``, ``text_hash`` and, of the shingles, ``sig``, ``n``, ``prefix``, ``parity`` and
+    ``fp``, their SimHash."""
     schema = (f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_hash long, sig long, "
-              "n int, prefix array<long>, parity binary")
+              "n int, prefix array<long>, parity binary, fp long")
 
     def row(text: str):
-        mine = shingle_set(text, words)
+        every = shingle_hashes(text, words)
+        counts = sum((bits_of(every[i:i + _CHUNK]) for i in range(0, len(every), _CHUNK)),
+                     np.zeros(64, np.int64))
+        mine = np.unique(every)
         at = np.searchsorted(often, mine)
         late = np.zeros(len(mine), bool)
         inside = at < len(often)
@@ -84,21 +101,21 @@ def marked_sets(docs: DataFrame, words: int, often: np.ndarray) -> DataFrame:
         prefix = np.concatenate([mine[~late], mine[late]])[:len(mine) // 5 + 1]
         odd = np.bincount((mine % PARITY_BITS).astype(np.int64), minlength=PARITY_BITS) & 1
         return (signature(mine), len(mine), prefix.view(np.int64),
-                np.packbits(odd.astype(bool)).tobytes())
+                np.packbits(odd.astype(bool)).tobytes(), majority(counts, len(every)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = [row(t) for t in batch.column(2).to_pylist()]
-            sig, n, prefix, parity = zip(*rows, strict=True) if rows else ((), (), (), ())
+            sig, n, prefix, parity, fp = zip(*rows, strict=True) if rows else ((),) * 5
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(sig, pa.int64()),
                  pa.array(n, pa.int32()), pa.array(list(prefix), pa.list_(pa.int64())),
-                 pa.array(parity, pa.binary())],
-                ["doc_id", "text_hash", "sig", "n", "prefix", "parity"])
+                 pa.array(parity, pa.binary()), pa.array(fp, pa.int64())],
+                ["doc_id", "text_hash", "sig", "n", "prefix", "parity", "fp"])
 
     text = plain(docs["text"])
     return docs.select(docs["doc_id"], F.xxhash64(text).alias("text_hash"),
-                       text.alias("text")).mapInArrow(run, schema)
+                       text.alias("text")).mapInArrow(tidy(run), schema)
 
 
 def _can_be_alike(na, pa_, nb, pb):
@@ -191,7 +208,7 @@ def alike(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, words: int) ->
     text = plain(docs["text"])
     texts = docs.select(text.alias("text"), F.xxhash64(text).alias("text_hash"))
     few = texts.join(wanted.select("text_hash"), "text_hash", "left_semi").select("text")
-    held = cut(few.dropDuplicates(["text"]).mapInArrow(sets, "s long, g array<long>")
+    held = cut(few.dropDuplicates(["text"]).mapInArrow(tidy(sets), "s long, g array<long>")
                .dropDuplicates(["s"]))
     both = (left.join(held.select(F.col("s").alias("a"), F.col("g").alias("ga")), "a")
             .join(held.select(F.col("s").alias("b"), F.col("g").alias("gb")), "b"))
@@ -199,6 +216,25 @@ def alike(pairs: DataFrame, distinct: DataFrame, docs: DataFrame, words: int) ->
     return both.filter(9 * same >= 4 * (F.size("ga") + F.size("gb"))).select("a", "b")
 
 
+def fingerprint_links(marked: DataFrame) -> DataFrame:
+    """Pairs ``a``, ``b`` of signatures that the byte-position index links: each with the smallest
+    of its fingerprint, and the smallest of linked fingerprints with each other."""
+    named = marked.select("fp", "sig").distinct()
+    least = cut(named.groupBy("fp").agg(F.min("sig").alias("low")))
+    of = [least.select(F.col("fp").alias(s), F.col("low").alias(f"low_{s}")) for s in "ab"]
+    linked = links_of(least.select("fp")).distinct().join(of[0], "a").join(of[1], "b").select(
+        "low_a", "low_b")
+    pairs = named.join(least, "fp").select("sig", "low").union(linked).toDF("x", "y")
+    return pairs.filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
+def apart(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """The pairs ``a``, ``b`` that are not in one group yet."""
+    of = [groups.select(F.col("node").alias(s), F.col("component").alias(f"g{s}")) for s in "ab"]
+    found = pairs.join(of[0], "a", "left").join(of[1], "b", "left")
+    return found.filter(F.coalesce(F.col("ga") != F.col("gb"), F.lit(True))).select("a", "b")
+
+
 def near_copies(docs: DataFrame, words: int, long: int = LONG) -> DataFrame:
     """``doc_id``, ``text_hash`` and ``component`` of every row: rows are linked if the sets of
     their word shingles have a similarity (shared over all) of 0.8 or more.
@@ -213,7 +249,7 @@ def near_copies(docs: DataFrame, words: int, long: int = LONG) -> DataFrame:
     posted = (distinct.select("sig", "n", F.posexplode("prefix").alias("pos", "token"))
               .select("token", "sig", "n", "pos")
               .repartition("token").sortWithinPartitions("token"))
-    met = cut(posted.mapInArrow(_meetings(long), "a long, b long, token long, n int, pos int"))
+    met = cut(posted.mapInArrow(tidy(_meetings(long)), "a long, b long, token long, n int, pos int"))
     short = met.filter("b is not null").select("a", "b")
     crowd = met.filter("b is null").select("token", F.col("a").alias("sig"), "n", "pos")
     order = [F.xxhash64("sig", F.lit(k)) for k in range(LEADERS)]
@@ -221,7 +257,9 @@ def near_copies(docs: DataFrame, words: int, long: int = LONG) -> DataFrame:
         *[F.min_by("sig", o) for o in order])).alias("leaders"))
     led = (crowd.join(leaders, "token").select("sig", F.explode("leaders").alias("l"))
            .filter("sig <> l").select(F.least("sig", "l").alias("a"), F.greatest("sig", "l").alias("b")))
-    links = cut(alike(short.union(led), distinct, docs, words))
+    first = cut(alike(cut(fingerprint_links(marked)), distinct, docs, words))
+    more = apart(short.union(led).distinct(), components(first))
+    links = cut(first.union(alike(more, distinct, docs, words)))
     groups = components(links)
     rest = cut(_unled(crowd, groups))
     if not rest.isEmpty():

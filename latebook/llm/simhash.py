@@ -40,6 +40,17 @@ _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _CHUNK = 1 << 16
 
 
+def bits_of(hashes: np.ndarray) -> np.ndarray:
+    """How many of the 64-bit hashes have each bit."""
+    bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    return bits.sum(0, dtype=np.int64)
+
+
+def majority(counts: np.ndarray, n: int) -> int:
+    """The bits that over half of ``n`` hashes have, as a signed number; zero without any."""
+    return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0]) if n else 0
+
+
 def fingerprint(text: str, words: int = WORDS) -> int:
     """The SimHash of a text's word shingles as a signed 64-bit number."""
     split = text.encode("utf-8", "replace").translate(_LOWER).split()
@@ -57,9 +68,8 @@ def fingerprint(text: str, words: int = WORDS) -> int:
         stop = min(begin + _CHUNK, n)
         hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(
             starts[begin:stop], ends[begin + size - 1:stop + size - 1], strict=True)], "<u8")
-        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(0, dtype=np.int64)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
+        counts += bits_of(hashes)
+    return majority(counts, n)
 
 
 def fingerprints(docs: DataFrame, words: int = WORDS) -> DataFrame:

@@ -198,6 +198,33 @@ def test_near_dedup_stage_against_brute_force(spark, long):
     assert sorted(r["doc_id"] for r in kept) == sorted(groups)
 
 
+def test_near_dedup_uses_the_byte_position_index(spark):
+    """The index links what lies within four bits; only pairs that it left apart are checked later."""
+    rng = np.random.default_rng(13)
+    base = [f"w{x}" for x in rng.integers(0, 4000, 3000)]
+    texts = {i: " ".join([*base[:i], f"e{i}", *base[i + 1:]]) for i in range(12)}
+    texts |= {20: " ".join(base[:2000]), 21: " ".join(base[5:40]), 22: " ".join(base[5:40]).upper()}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    marked = shingles.marked_sets(df, 5, np.zeros(0, np.uint64)).cache()
+    fp = {r["sig"]: r["fp"] for r in marked.collect()}
+    assert fp == {shingles.signature(shingles.shingle_set(t, 5)): simhash.fingerprint(t, 5)
+                  for t in texts.values()}
+    found = shingles.fingerprint_links(marked).collect()
+
+    def joined(pairs):
+        groups = {s: {s} for s in fp}
+        for a, b in pairs:
+            both = groups[a] | groups[b]
+            groups.update((s, both) for s in both)
+        return sorted({tuple(sorted(g)) for g in groups.values()})
+
+    want = joined([(a, b) for a in fp for b in fp if ((fp[a] ^ fp[b]) & (1 << 64) - 1).bit_count() <= 4])
+    assert joined(map(tuple, found)) == want and len(want) < len(fp)
+    groups = spark.createDataFrame([(1, 1), (2, 1)], "node long, component long")
+    pairs = spark.createDataFrame([(1, 2), (2, 3), (4, 5)], "a long, b long")
+    assert sorted(map(tuple, shingles.apart(pairs, groups).collect())) == [(2, 3), (4, 5)]
+
+
 def test_packing_is_a_round_trip(spark):
     from tokenizers import Tokenizer
     exact = Tokenizer.from_file(tokenizer_path("byte_bpe_50k.json"))
