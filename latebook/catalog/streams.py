@@ -1,6 +1,6 @@
 """Streaming queries: the given tables as streams, run until all available rows are done.
 
-They run with the bounds of the job: any payment settles its transaction, however early or late. A
+The tables are a backlog: few large micro-batches, settled as tables. They run with the bounds of the job: any payment settles its transaction, however early or late. A
 stream emits an unpaid transaction only once the watermark has passed its time to pay, so the
 oracles leave out what the last watermark has not closed.
 """
@@ -8,6 +8,7 @@ oracles leave out what the last watermark has not closed.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,10 +21,11 @@ from latebook.catalog.registry import money, query
 from latebook.plans.streams import PROMPT, StreamJob
 from latebook.operators.rules import stream_profile
 from latebook.schemas import RAW_PAYMENTS, RAW_TRANSACTIONS
+from latebook.sinks.tables import write_partitioned
 from latebook.sources.files import list_files
 from latebook.streaming import sources as s
+from latebook.streaming.backlog import backlog_writer, both_events
 from latebook.streaming.batches import metrics_writer, stored_windows, window_writer
-from latebook.streaming.detail import settle_streams
 from latebook.streaming.metrics import window_alerts, window_metrics
 from latebook.streaming.runner import (
     DETAIL_PARTITIONS, finish, sized_session, start_batches, start_table,
@@ -88,24 +90,44 @@ def _to_table(spark: SparkSession, df: DataFrame, name: str,
     return spark.read.schema(df.schema).parquet(f"{path}/table")
 
 
-def _settled(spark: SparkSession, sf_dir: str, how: str = "left_outer") -> DataFrame:
-    sized = _sized(spark, sf_dir, "orders", "lineitem")
-    return settle_streams(transactions(sized, sf_dir), payments(sized, sf_dir), PROMPT, how)
+def _settle(spark: SparkSession, sf_dir: str, name: str, how: str = "left_outer",
+            rows_of: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+            partition_by: tuple[str, ...] = ()) -> tuple[str, T.StructType]:
+    """Run the settled stream into a table with a folder for each batch: its path and its schema."""
+    path, sides = new_folder(spark, name), (transactions(spark, sf_dir), payments(spark, sf_dir))
+    kept: list[T.StructType] = []
+
+    def put(rows: DataFrame, batch_id: int) -> None:
+        rows = rows_of(rows)
+        kept.append(T.StructType([*rows.schema, T.StructField("batch", T.LongType())]))
+        write_partitioned(rows, f"{path}/table/batch={batch_id}", partition_by) if partition_by else (
+            rows.write.mode("overwrite").parquet(f"{path}/table/batch={batch_id}"))
+
+    write = backlog_writer(spark, *sides, f"{path}/backlog", put, PROMPT, how)
+    finish(start_batches(both_events(*sides), write, f"{path}/checkpoint", trigger=None))
+    return f"{path}/table", kept[-1]
+
+
+def _settled(spark: SparkSession, sf_dir: str, name: str, how: str = "left_outer") -> DataFrame:
+    path, schema = _settle(spark, sf_dir, name, how)
+    return spark.read.schema(schema).parquet(path).drop("batch")
+
+
+def _detail_table(spark: SparkSession, sf_dir: str) -> tuple[str, T.StructType]:
+    return _settle(spark, sf_dir, "stream-detail", rows_of=lambda rows: stream_profile(rows, v.AS_OF),
+                   partition_by=DETAIL_PARTITIONS)
 
 
 def _detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _to_table(spark, stream_profile(_settled(spark, sf_dir), v.AS_OF), "stream-detail",
-                     DETAIL_PARTITIONS)
+    path, schema = _detail_table(spark, sf_dir)
+    return spark.read.schema(schema).parquet(path).drop("batch")
 
 
 def _detail_stream(spark: SparkSession, sf_dir: str, max_files: int | None) -> DataFrame:
     """The detail table, as written so far, as a stream of its own."""
-    rows = stream_profile(_settled(spark, sf_dir), v.AS_OF)
-    path = new_folder(spark, "stream-detail")
-    finish(start_table(rows, f"{path}/table", f"{path}/checkpoint", DETAIL_PARTITIONS,
-                       trigger=None))
+    path, schema = _detail_table(spark, sf_dir)
     sized = _sized(spark, sf_dir, "orders", "lineitem")
-    return s.file_stream(sized, f"{path}/table", rows.schema, "parquet", max_files=max_files)
+    return s.file_stream(sized, path, schema, "parquet", max_files=max_files).drop("batch")
 
 
 _STREAMS = {
@@ -161,12 +183,12 @@ def _pairs(df: DataFrame) -> DataFrame:
 @query("stream_join_inner", v.sql(
     f"{_PAIR} FROM paid_rows", "tx", **_STREAMS))
 def stream_join_inner(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(_to_table(spark, _settled(spark, sf_dir, "inner"), "stream-inner"))
+    return _pairs(_settled(spark, sf_dir, "stream-inner", "inner"))
 
 
 @query("stream_join_outer", v.sql(f"{_PAIR} FROM closed", "tx", **_STREAMS))
 def stream_join_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pairs(_to_table(spark, _settled(spark, sf_dir), "stream-outer"))
+    return _pairs(_settled(spark, sf_dir, "stream-outer"))
 
 
 _DETAIL_SQL = """
@@ -194,8 +216,8 @@ def stream_batch_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The settled table after several runs of the job, each over a later part of the tables:
     early payments wait for their transactions, unpaid rows leave once a payment comes, and what
     stands in the end is the batch join."""
-    sized, path = _sized(spark, sf_dir, "orders", "lineitem"), new_folder(spark, "stream-settled")
-    job = StreamJob(f"{path}/out", f"{path}/checkpoints", trigger=None, as_of=v.AS_OF)
+    path = new_folder(spark, "stream-settled")
+    job = StreamJob(f"{path}/out", f"{path}/checkpoints", trigger=None, as_of=v.AS_OF, backlog=True)
     given = {"tx": (_raw_transactions(v.table(spark, sf_dir, "orders")), "date", RAW_TRANSACTIONS),
              "pay": (_raw_payments(v.table(spark, sf_dir, "lineitem")), "date_paid", RAW_PAYMENTS)}
     ends = [raw.agg(F.min(day), F.max(day)).first() for raw, day, _ in given.values()]
@@ -205,7 +227,7 @@ def stream_batch_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, (raw, day, _) in given.items():
             inside = (F.col(day) >= low) & (F.col(day) < high)
             raw.filter(inside).write.mode("append").parquet(f"{path}/{name}")
-        streams = [s.file_stream(sized, f"{path}/{name}", schema, "parquet", max_files=None)
+        streams = [s.file_stream(spark, f"{path}/{name}", schema, "parquet", max_files=None)
                    for name, (_, _, schema) in given.items()]
         finish(job.detail(s.transaction_events(streams[0]), s.payment_events(streams[1])))
     return _detail_rows(job.detail_rows(spark))

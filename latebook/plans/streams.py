@@ -12,6 +12,7 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from latebook.operators.rules import stream_profile
 from latebook.schemas import STREAM_DETAIL
+from latebook.streaming.backlog import backlog_writer, both_events
 from latebook.streaming.batches import (
     alert_writer, metrics_writer, settlement_writer, stored_windows, window_writer,
 )
@@ -31,7 +32,9 @@ PROMPT = Bounds(before=None, within=None, unpaid_after="61 days")
 class StreamJob:
     """Where the tables and checkpoints go, how often, and as of which day.
 
-    Without ``as_of`` every micro-batch uses its own current date.
+    Without ``as_of`` every micro-batch uses its own current date. With ``backlog`` the detail joins
+    few large micro-batches as tables, which stay under the checkpoints; by default it keeps a
+    state for many small ones. A job keeps to one of the two for as long as its checkpoints live.
     """
 
     output: str
@@ -39,6 +42,7 @@ class StreamJob:
     bounds: Bounds = PROMPT
     trigger: str | None = TRIGGER
     as_of: dt.date | None = None
+    backlog: bool = False
 
     def _day(self) -> Column:
         return F.current_date() if self.as_of is None else F.lit(self.as_of)
@@ -54,10 +58,16 @@ class StreamJob:
     def detail(self, transactions: DataFrame, payments: DataFrame) -> StreamingQuery:
         """The settled rows in ``table``, true to all payments so far, and every row in
         ``changes``, which the other streams read."""
+        checkpoint = f"{self.checkpoints}/inadimplencia_detalhes"
+        write = settlement_writer(self.table, self.changes, self.bounds.waits)
+        if self.backlog:
+            joined = backlog_writer(
+                transactions.sparkSession, transactions, payments, f"{checkpoint}_eventos",
+                lambda rows, n: write(stream_profile(rows, self._day()), n), self.bounds)
+            return start_batches(both_events(transactions, payments), joined, checkpoint, self.trigger)
         keep_state_on_disk(transactions.sparkSession)
         rows = stream_profile(settle_streams(transactions, payments, self.bounds), self._day())
-        return start_batches(rows, settlement_writer(self.table, self.changes, self.bounds.waits),
-                             f"{self.checkpoints}/inadimplencia_detalhes", self.trigger)
+        return start_batches(rows, write, checkpoint, self.trigger)
 
     def detail_rows(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(STREAM_DETAIL).parquet(self.table).select(*STREAM_DETAIL.names)

@@ -364,3 +364,36 @@ def test_stream_profile_uses_only_completed_payments(spark):
     row = stream_profile(rows, AS_OF).first()
     assert (row["payment_done"], row["days_late"], row["criterio_1"]) == (False, 40, True)
     assert (row["reference_month"], row["reference_quarter"]) == ("2024-07", "2024-Q3")
+
+
+def test_a_backlog_is_settled_as_the_state_store_does(spark, tmp_path):
+    """Three runs with early, late, repeated and dropped events; a batch that runs again changes nothing."""
+    rng, day = random.Random(5), dt.date(2024, 1, 1)
+    runs = []
+    for low, high in ((0, 60), (60, 120), (120, 220)):
+        when = [str(day + dt.timedelta(days=rng.randrange(low, high))) for _ in range(60)]
+        runs.append(([tx(f"t{low}-{n}", d) for n, d in enumerate(when)],
+                     [pay(f"p{low}-{n}", f"t{rng.choice((0, 60, 120))}-{rng.randrange(60)}",
+                          rng.choice(when)) for n in range(45)]))
+    runs[2][1].append(pay("behind", "t0-1", "2023-12-01"))
+    runs[2][0].append(tx("behind", "2023-12-01"))
+    found = {}
+    for backlog in (False, True):
+        root = tmp_path / str(backlog)
+        job = StreamJob(str(root / "out"), str(root / "checkpoints"), trigger=None, as_of=AS_OF, backlog=backlog)
+        for number, (left, right) in enumerate(runs):
+            lines(root / "tx", f"{number}.json", left)
+            lines(root / "pay", f"{number}.json", right)
+            finish(job.detail(*streams(spark, root)))
+        columns = ["transaction_id", "payment_id", "days_late", "inadimplente"]
+        found[backlog] = [sorted(map(str, rows.select(*columns).collect())) for rows in (
+            job.detail_rows(spark), spark.read.schema(STREAM_DETAIL).parquet(job.changes))]
+    assert found[True] == found[False]
+    assert not any("behind" in r for r in found[True][0]) and len(found[True][0]) > 100
+    state = root / "checkpoints" / "inadimplencia_detalhes" / "state"
+    assert not state.exists()
+    commits = root / "checkpoints" / "inadimplencia_detalhes" / "commits"
+    for name in ("2", ".2.crc"):
+        (commits / name).rename(tmp_path / f"taken-{name}")
+    finish(job.detail(*streams(spark, root)))
+    assert sorted(map(str, job.detail_rows(spark).select(*columns).collect())) == found[True][0]
