@@ -12,7 +12,7 @@ from latebook.operators.quarantine import error_records
 from latebook.operators.stamps import audit_stamp
 from latebook.plans.run import Run, recorded
 from latebook.schemas import ENTITY_KEY, raw_schema
-from latebook.sinks.tables import write_plain
+from latebook.sinks.tables import write_staged
 from latebook.sinks.upsert import upsert
 from latebook.sources.files import (
     CORRUPT, array_chunks, array_records, landing_formats, read_raw, read_whole_where_broken,
@@ -49,7 +49,7 @@ def _load(raw: DataFrame, run: Run, table: str, multi_line: bool) -> None:
     """
     spark, key = run.spark, ENTITY_KEY[run.entity]
     with scratch(spark, f"parsed-{run.entity}") as folder:
-        parsed = spark.read.schema(raw.schema).parquet(write_plain(raw, folder))
+        parsed = spark.read.schema(raw.schema).parquet(write_staged(raw, folder))
         if multi_line:
             parsed = read_whole_where_broken(parsed, run.entity)
         good, bad = split_corrupt(parsed)

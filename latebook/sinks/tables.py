@@ -42,6 +42,12 @@ def write_plain(df: DataFrame, path: str, mode: str = "overwrite") -> str:
     return path
 
 
+def write_staged(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Parquet that is read once or twice and deleted; the denser codec halves texts of hashes."""
+    df.write.partitionBy(*partition_by).option("compression", "zstd").parquet(path)
+    return path
+
+
 def bucket_column(columns: Sequence[str],
                   preferred: Sequence[str] = BUCKET_COLUMNS) -> str | None:
     """The first preferred bucket column that a table has."""

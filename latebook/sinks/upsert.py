@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from latebook.operators.cleaning import dedupe
+from latebook.sinks.tables import write_staged
 from latebook.workspace import delete_folder, scratch, subfolders
 
 #: Leading bits of a key's hash that make a partition of the index.
@@ -78,7 +79,7 @@ def upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[st
     """
     parts = list(partition_by)
     with scratch(spark, "upsert") as folder:
-        dedupe(source, keys, order_by).write.parquet(f"{folder}/source")
+        write_staged(dedupe(source, keys, order_by), f"{folder}/source")
         source = spark.read.schema(source.schema).parquet(f"{folder}/source")
         mine = index_rows(source, keys, parts)
         exists = spark.catalog.tableExists(table)
@@ -100,8 +101,8 @@ def upsert(spark: SparkSession, table: str, source: DataFrame, keys: Sequence[st
              .saveAsTable(table))
             return touched
         target = spark.table(table)
-        (merged(affected_rows(target, touched), source, keys).hint("rebalance", *parts)
-         .write.partitionBy(*parts).parquet(f"{folder}/staged"))
+        write_staged(merged(affected_rows(target, touched), source, keys).hint("rebalance", *parts),
+                     f"{folder}/staged", parts)
         result = spark.read.schema(target.schema).parquet(f"{folder}/staged").select(*target.columns)
         filled = {tuple(r) for r in result.select(*parts).distinct().collect()}
         _overwrite_partitions(spark, table, result)

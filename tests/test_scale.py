@@ -200,3 +200,25 @@ def test_history_repeats_customers_last(spark):
     text = plan(QUERIES["classify_history"](spark, SF))
     assert "Generate inline" in text[:text.index("Exchange")]
     assert len(re.findall(r"Generate explode", text)) <= 2 and "HashAggregate" not in text[:text.index("Exchange")]
+
+
+def test_staged_rows_of_a_merge_are_dense(spark, tmp_path, monkeypatch):
+    """What an upsert stages has the denser codec; it is written and read as a whole each time."""
+    from latebook.sinks import upsert as u
+    folders = []
+
+    @contextlib.contextmanager
+    def kept(_, name):
+        folders.append(tmp_path / f"{name}{len(folders)}")
+        yield str(folders[-1])
+
+    monkeypatch.setattr(u, "scratch", kept)
+    rows = spark.range(100).select("id", (F.col("id") % 3).alias("part"))
+    for _ in range(2):
+        u.upsert(spark, "latebook_staged", rows, ["id"], ["id"], ["part"], str(tmp_path / "table"))
+    try:
+        assert spark.table("latebook_staged").count() == 100
+    finally:
+        spark.sql("DROP TABLE latebook_staged")
+    files = [f.name for folder in folders for f in folder.rglob("*.parquet")]
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
