@@ -18,15 +18,17 @@ import copy
 import string
 import zlib
 from collections.abc import Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latebook.llm.registry import query, table
-from latebook.llm.text import cut, plain
+from latebook.llm.text import cut, plain, shuffles_released
 from latebook.llm.tokens import slices, tidy
 
 #: Labelled rows of a shard, at least, and shards at most; beyond that shards grow.
@@ -57,6 +59,9 @@ PLACES = 1 << 16
 _KEEP = (string.ascii_lowercase + string.digits).encode()
 #: Bytes of words: letters and digits in lower case, and all that is not ASCII.
 _TABLE = bytes(c + 32 if 65 <= c <= 90 else c if c > 127 or c in _KEEP else 32 for c in range(256))
+#: CRC-32 registers, begun at zero, after one byte; words of more bytes than ``LONGEST`` go one by one.
+_CRC = np.array([zlib.crc32(bytes([c]), 0xFFFFFFFF) ^ 0xFFFFFFFF for c in range(256)], np.uint32)
+LONGEST = 64
 
 
 def held_out(doc_id: Column) -> Column:
@@ -77,20 +82,59 @@ class Words:
     own: np.ndarray      # whether a place is a text's and no gap
 
 
+def hashed(words: pa.LargeBinaryArray) -> np.ndarray:
+    """``SIDES`` buckets of each word: of its CRC-32 from two seeds, and of its prefixes'.
+
+    All words are read together, a byte at a time, in one register that begins at zero; what a seed
+    adds to a checksum depends on the length alone.
+    """
+    found = np.zeros((len(words), SIDES), np.int64)
+    if not len(words):
+        return found
+    offsets, data = (np.frombuffer(b, t) for b, t in zip(words.buffers()[1:], (np.int64, np.uint8), strict=True))
+    begin, size = offsets[:len(words)], np.diff(offsets[:len(words) + 1])
+    order = np.argsort(-size, kind="stable")  # those that go on come first
+    begin, size = begin[order], size[order]
+    register, letters = np.zeros(len(words), np.uint32), np.zeros(len(words), np.int64)
+    of = {n: np.zeros(len(words), np.uint32) for n in PREFIXES}
+    upto = {n: np.zeros(len(words), np.int64) for n in PREFIXES}
+    for j in range(min(int(size[0]), LONGEST)):
+        live = slice(int(np.searchsorted(-size, -j)))
+        byte = data[begin[live] + j]
+        register[live] = _CRC[(register[live] ^ byte) & 255] ^ (register[live] >> 8)
+        if j < 4 * max(PREFIXES):  # bytes of so many characters at most
+            letters[live] += (byte & 0xC0) != 0x80
+            for n in PREFIXES:
+                inside = letters[live] <= n
+                np.copyto(of[n][live], register[live], where=inside)
+                upto[n][live] += inside
+
+    def seeded(register: np.ndarray, size: np.ndarray, seed: int) -> np.ndarray:
+        zeros = np.array([zlib.crc32(bytes(k), seed) for k in range(LONGEST + 1)], np.uint32)
+        return (register ^ zeros[np.minimum(size, LONGEST)]) % BUCKETS
+
+    for side, seed in enumerate((1, 2)):
+        found[order, side] = seeded(register, size, seed)
+        for i in order[size > LONGEST]:
+            found[i, side] = zlib.crc32(words[int(i)].as_buffer(), seed) % BUCKETS
+    for side, n in enumerate(PREFIXES, 2):
+        found[order, side] = seeded(of[n], upto[n], n)
+    return found
+
+
 def read_words(texts: list[str]) -> Words:
     gap = max(WIDTHS) - 1
-    split = [t.encode("utf-8", "replace").translate(_TABLE).split() for t in texts]
-    flat = pa.array([w for words in split for w in words], pa.binary()).dictionary_encode()
+    coded = [t.encode("utf-8", "replace") for t in texts]
+    stops = np.cumsum([len(c) + 1 for c in coded], dtype=np.int64)
+    flat = np.frombuffer(b"".join([b" ", *(c + b" " for c in coded)]).translate(_TABLE), np.uint8)
+    inside = flat != 32
+    edges = np.flatnonzero(inside[1:] != inside[:-1])  # words begin and end in turn
+    offsets = np.concatenate([[0], np.cumsum(edges[1::2] - edges[::2])])
+    flat = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(offsets) - 1, [
+        None, pa.py_buffer(offsets), pa.py_buffer(flat[inside])]).dictionary_encode()
     codes = flat.indices.to_numpy(zero_copy_only=False).astype(np.int64) + 1
-    distinct = flat.dictionary.to_pylist()
-    hashes = np.zeros((len(distinct) + 1, SIDES), np.int64)
-    if distinct:
-        for side, seed in enumerate((1, 2)):
-            hashes[1:, side] = [zlib.crc32(w, seed) % BUCKETS for w in distinct]
-        named = [w.decode("utf-8", "replace") for w in distinct]
-        for side, n in enumerate(PREFIXES, 2):
-            hashes[1:, side] = [zlib.crc32(w[:n].encode(), n) % BUCKETS for w in named]
-    count = np.array([len(words) for words in split], np.int64)
+    hashes = np.concatenate([np.zeros((1, SIDES), np.int64), hashed(flat.dictionary)])
+    count = np.diff(np.searchsorted(edges[::2], stops), prepend=0)
     starts = np.cumsum(np.maximum(count, 1) + gap) - np.maximum(count, 1) - gap
     at = np.zeros(int((np.maximum(count, 1) + gap).sum()), np.int64)
     at[np.arange(len(codes)) + np.repeat(starts - np.cumsum(count) + count, count)] = codes
@@ -131,9 +175,9 @@ class Model:
         total[0] = 0
         return total
 
-    def responses(self, words: Words) -> dict[int, np.ndarray]:
+    def responses(self, words: Words, vectors: np.ndarray) -> dict[int, np.ndarray]:
         """For each width the response of its filters at every place."""
-        vectors, found = self.vectors(words), {}
+        found = {}
         for width in WIDTHS:
             total = np.zeros((len(words.at), FILTERS), np.float32)
             for j in range(width):  # what a distinct word adds is computed once
@@ -160,7 +204,7 @@ class Model:
                 first = np.searchsorted(words.starts, begin, side="right") - 1
                 inside = words.starts[first + 1:np.searchsorted(words.starts, stop)] - begin
                 here = slice(first, first + 1 + len(inside))
-                both = np.concatenate([top[here], largest(total, np.append(0, inside))], 1)
+                both = np.concatenate([top[here], largest(total, np.append(0, inside))[1]], 1)
                 top[here] = -np.sort(-both, axis=1)[:, :POOLED]
             features.append(np.maximum(top + self.bias[width], 0))
         return np.stack(features, 1)
@@ -174,26 +218,36 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(self.logits(texts), -40, 40)))
 
 
-def largest(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Of each column's values from start to start the ``POOLED`` largest, in order."""
-    values, found = values.copy(), []
-    segment = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(values))))
-    place, column = np.arange(len(values))[:, None], np.arange(values.shape[1])
-    for _ in range(POOLED):
-        found.append(np.maximum.reduceat(values, starts, axis=0))
-        at = np.where(values == found[-1][segment], place, len(values))
-        values[np.minimum.reduceat(at, starts, axis=0), column] = -np.inf
-    return np.stack(found, 1)
+def largest(values: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of each column's values from start to start the places of the ``POOLED`` largest, in order,
+    and these values; where there are fewer, minus infinity."""
+    at = np.empty((len(starts), POOLED, values.shape[1]), np.int64)
+    top = np.empty(at.shape, values.dtype)
+    columns, column = np.ascontiguousarray(values.T), np.arange(values.shape[1])
+    for k, (begin, stop) in enumerate(zip(starts, np.append(starts[1:], len(values)), strict=True)):
+        mine = columns[:, begin:stop].copy()
+        for i in range(POOLED):
+            at[k, i] = mine.argmax(1)
+            top[k, i] = mine[column, at[k, i]]
+            mine[column, at[k, i]] = -np.inf
+    return at + np.asarray(starts)[:, None, None], top
 
 
 def bucket_counts(texts: list[str], labels: np.ndarray) -> np.ndarray:
     """For each class, hash and bucket the texts that hold it."""
-    counts = np.zeros((2, SIDES, BUCKETS), np.int64)
-    for text, label in zip(texts, labels, strict=True):
-        hashes = read_words([text]).hashes[1:]
-        for side in range(SIDES):
-            counts[label, side, np.unique(hashes[:, side])] += 1
-    return counts
+    def distinct(values: np.ndarray) -> np.ndarray:
+        values = np.sort(values)
+        return values[np.diff(values, prepend=-1) > 0]
+
+    counts = np.zeros(2 * SIDES * BUCKETS, np.int64)
+    words = read_words(texts)
+    text = np.repeat(np.arange(len(texts)), np.diff(words.starts, append=len(words.at)))
+    text, word = np.divmod(distinct((text * len(words.hashes) + words.at)[words.at > 0]),
+                           len(words.hashes))
+    for side in range(SIDES):
+        held = distinct(text * BUCKETS + words.hashes[word, side])
+        np.add.at(counts, (labels[held // BUCKETS] * SIDES + side) * BUCKETS + held % BUCKETS, 1)
+    return counts.reshape(2, SIDES, BUCKETS)
 
 
 def contrast(counts: np.ndarray, n: np.ndarray) -> np.ndarray:
@@ -222,21 +276,18 @@ class Descent:
 
     def step(self, words: Words, labels: np.ndarray) -> None:
         model = self.model
-        found = model.responses(words)
-        stops = np.append(words.starts[1:], len(words.at))
+        vectors = model.vectors(words)
+        found = model.responses(words, vectors)
         best, features = {}, []
-        for w in WIDTHS:  # (texts, POOLED, filters); a text has as many places at least
-            best[w] = np.stack([a + np.argsort(-found[w][a:b], axis=0, kind="stable")[:POOLED]
-                                for a, b in zip(words.starts, stops, strict=True)])
-            top = found[w][best[w], np.arange(FILTERS)] + model.bias[w]
-            features.append(np.maximum(top, 0))
+        for w in WIDTHS:  # (texts, POOLED, filters)
+            best[w], top = largest(found[w], words.starts)
+            features.append(np.maximum(top + model.bias[w], 0))
         x = np.stack(features, 1)
         z = np.einsum("twkf,wkf->t", x, model.out) + model.offset
         p = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
         error = ((p - labels) / len(labels)).astype(np.float32)
         back = error[:, None, None, None] * model.out[None] * (x > 0)
         gathered = np.zeros((len(words.hashes), DIM), np.float32)
-        vectors = model.vectors(words)
         changes = []
         for k, w in enumerate(WIDTHS):
             g = back[:, k]
@@ -356,20 +407,30 @@ def _counted(rows: DataFrame) -> np.ndarray:
         key = np.flatnonzero(counts.any(0))
         yield pa.RecordBatch.from_arrays(list(map(pa.array, (key, *counts[:, key]))), ["key", "n0", "n1"])
 
-    # a row for each bucket of the model at most
-    found = (rows.select("text", "toxic").mapInArrow(tidy(run), "key long, n0 long, n1 long")
-             .groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())
+    with shuffles_released(rows.sparkSession):  # a row for each bucket of the model at most
+        found = (rows.select("text", "toxic").mapInArrow(tidy(run), "key long, n0 long, n1 long")
+                 .groupBy("key").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow())
     counts = np.zeros((2, SIDES * BUCKETS), np.int64)
     for label, name in enumerate(("n0", "n1")):
         counts[label, found.column("key").to_numpy()] = found.column(name).to_numpy()
     return counts.reshape(2, SIDES, BUCKETS)
 
 
+@contextmanager
+def _sent(spark: SparkSession, model: Model | Descent) -> Iterator[Broadcast]:
+    """What every task reads, until the driver and the executors drop it at the end."""
+    held = spark.sparkContext.broadcast(model)
+    try:
+        yield held
+    finally:
+        held.destroy()
+
+
 def _round(rows: DataFrame, descent: Descent) -> None:
     """One descent over the rows of every shard, and the mean of what those that moved a number
     have changed. Rows come ordered within their shard, so that a repeated task finds the same."""
     def change(mine: Descent) -> pa.RecordBatch:
-        before = descent.numbers()
+        before = sent.value.numbers()
         moved = np.rint((mine.numbers() - before) * POINT).astype(np.int64)
         key = np.flatnonzero(moved.any(1))
         return pa.RecordBatch.from_arrays(
@@ -393,7 +454,7 @@ def _round(rows: DataFrame, descent: Descent) -> None:
                         if mine is not None:
                             learn()
                             yield change(mine)
-                        shard, mine = here, copy.deepcopy(descent)
+                        shard, mine = here, copy.deepcopy(sent.value)
                     held[0].append(text)
                     held[1].append(toxic)
                     if len(held[0]) == BATCH:
@@ -403,14 +464,18 @@ def _round(rows: DataFrame, descent: Descent) -> None:
             yield change(mine)
 
     names = ["key", *(f"d{i}" for i in range(DIM))]
-    ordered = rows.repartition("_lb_shard").sortWithinPartitions("_lb_shard", "_lb_order", "_lb_id")
-    # a row for each row of the model at most
-    found = (ordered.select("_lb_shard", "text", "toxic")
-             .mapInArrow(tidy(run), ", ".join(f"{n} long" for n in names)).groupBy("key")
-             .agg(F.count("*").alias("n"), *[F.sum(n).alias(n) for n in names[1:]]).toArrow())
-    key, n = (found.column(c).to_numpy() for c in ("key", "n"))
+    spark = rows.sparkSession
+    with _sent(spark, descent) as sent, shuffles_released(spark):
+        ordered = rows.repartition("_lb_shard").sortWithinPartitions("_lb_shard", "_lb_order", "_lb_id")
+        # a row for each row of the model at most, in the model's precision
+        found = (ordered.select("_lb_shard", "text", "toxic")
+                 .mapInArrow(tidy(run), ", ".join(f"{n} long" for n in names)).groupBy("key")
+                 .agg(*[(F.sum(n) / F.count("*") / POINT).cast("float").alias(n) for n in names[1:]])
+                 .withColumn("key", F.col("key").cast("int")).toArrow())
     after = descent.numbers()
-    after[key] += np.stack([found.column(c).to_numpy() for c in names[1:]], 1) / POINT / n[:, None]
+    key = found.column("key").to_numpy()
+    for i, name in enumerate(names[1:]):
+        after[key, i] += found.column(name).to_numpy()
     descent.put(after)
 
 
@@ -420,14 +485,16 @@ def _grid(rows: DataFrame, model: Model) -> tuple[np.ndarray, np.ndarray, list,
         for batch in batches:
             rest, done = batch.select(["lang", "toxic"]), 0
             for part in slices(batch.column("text").to_pylist(), STEP):
-                points = np.rint(np.clip(model.logits(part), -40, 40) * GRID).astype(np.int64)
+                points = np.rint(np.clip(sent.value.logits(part), -40, 40) * GRID).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [*rest.slice(done, len(part)).columns, pa.array(points)], ["lang", "toxic", "at"])
                 done += len(part)
 
-    found = (rows.select("lang", "toxic", "text").mapInArrow(tidy(run), "lang string, toxic int, at long")
-             .groupBy("lang", "toxic", "at").agg(F.count("*").alias("n")).orderBy("lang", "toxic", "at")
-             .collect())  # at most 80 points of the grid a unit, by language and class
+    spark = rows.sparkSession
+    with _sent(spark, model) as sent, shuffles_released(spark):
+        found = (rows.select("lang", "toxic", "text").mapInArrow(tidy(run), "lang string, toxic int, at long")
+                 .groupBy("lang", "toxic", "at").agg(F.count("*").alias("n")).orderBy("lang", "toxic", "at")
+                 .collect())  # at most 80 points of the grid a unit, by language and class
     return (np.array([r["at"] / GRID for r in found]), np.array([r["toxic"] for r in found]),
             [r["lang"] for r in found], np.array([float(r["n"]) for r in found]))
 

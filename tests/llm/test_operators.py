@@ -6,6 +6,7 @@ import math
 import os
 import pathlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -427,6 +428,38 @@ def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
         assert calm < 0.5 and alpha >= toxicity.CUT and omega >= toxicity.CUT
 
 
+def test_training_leaves_neither_shuffles_nor_models_behind(spark):
+    """Each round's shuffle and the model that it sent are gone when the round is over."""
+    env = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get()
+    folders = list(env.blockManager().diskBlockManager().localDirsString())
+
+    def kept():
+        files = {f.name for x in folders for f in pathlib.Path(x).rglob("shuffle_*.data")}
+        return files, env.memoryManager().storageMemoryUsed()
+
+    docs = spark.range(6000).selectExpr("id doc_id", "concat('text ', id % 90) text", "'en' lang")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) toxic")
+    files, used = kept()
+    toxicity.train(docs, labels)
+    for _ in range(50):  # both are dropped in the background
+        left, now = kept()
+        if left <= files and now - used < 4 << 20:
+            break
+        time.sleep(0.1)
+    assert left <= files and now - used < 4 << 20
+
+
+def test_words_are_hashed_together_as_one_by_one():
+    texts = ["Été über " + "x" * 300 + " " + "é" * 70 + " 日本語テキスト 😀😀😀😀😀😀 a", "", "...", " a a-b c\x00d \ud800"]
+    words = toxicity.read_words(texts)
+    split = [w for t in texts for w in t.encode("utf-8", "replace").translate(toxicity._TABLE).split()]
+    assert len(words.at) == len(split) + 2 + 2 * len(texts)  # an empty text has a place, and gaps follow
+    for word, at in zip(split, words.at[words.at > 0], strict=True):
+        want = [zlib.crc32(word, 1), zlib.crc32(word, 2),
+                *(zlib.crc32(word.decode()[:n].encode(), n) for n in toxicity.PREFIXES)]
+        assert words.hashes[at].tolist() == [h % toxicity.BUCKETS for h in want]
+
+
 def brute_score(model, text):
     """The score of a text, place by place."""
     words = text.encode().translate(toxicity._TABLE).split()
