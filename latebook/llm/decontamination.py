@@ -110,7 +110,8 @@ def find_items(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILA
     windows = cut(starts(hits, keys, similarity))
     parts = cut(window_shingles(docs, windows))
     of_window = ["doc_id", "dh", "item_id", "ih", "start"]
-    near = within_radius(simhash(parts, of_window, "sh"), items, radius)
+    # written one by one: as one plan it is planned anew, whole, after each of its seventeen exchanges
+    near = cut(within_radius(cut(simhash(parts, of_window, "sh")), items, radius))
     return verified(parts, near, posted, of_window, similarity)
 
 
@@ -151,8 +152,8 @@ def window_shingles(docs: DataFrame, windows: DataFrame) -> DataFrame:
 
 def within_radius(found: DataFrame, items: DataFrame, radius: int) -> DataFrame:
     """Windows whose fingerprint is within the radius of their item's, by shared blocks."""
-    item_fp = simhash(items.select("item_id", "ih", F.explode("g").alias("sh")),
-                      ["item_id", "ih"], "sh")
+    item_fp = cut(simhash(items.select("item_id", "ih", F.explode("g").alias("sh")),
+                          ["item_id", "ih"], "sh"))
     mine = found.select("*", F.explode(blocks(radius)).alias("b"))
     theirs = item_fp.select(F.col("item_id").alias("j"), F.col("ih").alias("jh"),
                             F.col("fp").alias("item_fp"), F.explode(blocks(radius)).alias("ib"))
@@ -187,8 +188,8 @@ def verified(parts: DataFrame, near: DataFrame, posted: DataFrame, of_window: li
 
 def without_items(docs: DataFrame, benchmark: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """The documents that hold no benchmark item, with all their columns."""
-    found = find_items(docs, benchmark, similarity).select(
-        F.col("doc_id").alias("_lb_id"), F.col("text_hash").alias("_lb_hash")).distinct()
+    found = cut(find_items(docs, benchmark, similarity).select(
+        F.col("doc_id").alias("_lb_id"), F.col("text_hash").alias("_lb_hash")).distinct())
     mine = F.xxhash64(plain(docs["text"]))
     return docs.join(found, docs["doc_id"].eqNullSafe(found["_lb_id"])
                      & (mine == found["_lb_hash"]), "left_anti")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -56,7 +57,25 @@ def cut(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_root(df.sparkSession))
     with shuffles_released(df.sparkSession):
-        return df.select("*").checkpoint()  # a query follows the settings of when it was made
+        written = df.select("*").checkpoint()  # a query follows the settings of when it was made
+    relieve(df.sparkSession)
+    return written
+
+
+def relieve(spark: SparkSession) -> bool:
+    """Have the driver collect its garbage once a quarter of its heap is in use, and say so.
+
+    Plans and results of finished queries would make the heap grow to its limit before the JVM
+    collects them all, and only then does Spark drop what no table refers to any more: broadcasts,
+    shuffles and, if it is set to, checkpoints.
+    """
+    jvm = spark.sparkContext._jvm
+    runtime = jvm.java.lang.Runtime.getRuntime()
+    full = 4 * (runtime.totalMemory() - runtime.freeMemory()) > runtime.maxMemory()
+    if full:
+        gc.collect()  # what Python has dropped holds objects of the JVM
+        jvm.System.gc()
+    return full
 
 
 @contextmanager

@@ -21,6 +21,7 @@ from latebook.llm import (  # noqa: E402
     simhash, toxicity,
 )
 from latebook.llm.queries import ORACLES, QUERIES  # noqa: E402
+from latebook.llm.text import relieve  # noqa: E402
 from latebook.llm.tokens import encoder, tokenizer_path  # noqa: E402
 from tools.compare import database, difference  # noqa: E402
 
@@ -449,6 +450,37 @@ def test_training_leaves_neither_shuffles_nor_models_behind(spark):
     assert left <= files and now - used < 4 << 20
 
 
+def test_decontamination_plans_stay_small(spark):
+    """What finds the items is written in steps, not planned as one query with that of the texts."""
+    docs = spark.createDataFrame([(1, "a b c d e f g h i j"), (2, "k l m n o p q r s t")],
+                                 "doc_id long, text string")
+    bench = spark.createDataFrame([(7, "a b c d e f g h i j")], "item_id long, text string")
+    left = decontamination.without_items(docs, bench)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") <= 2 and "Aggregate" not in plan
+    assert [r["doc_id"] for r in left.collect()] == [2]
+
+
+class _Jvm:
+    """A driver's JVM with so much of its heap of 100 in use."""
+    def __init__(self, used):
+        self.collections = 0
+        self.java = self.lang = self.Runtime = self.System = self.sparkContext = self._jvm = self
+        self.totalMemory, self.freeMemory, self.maxMemory = (lambda: used + 5), (lambda: 5), (lambda: 100)
+
+    def getRuntime(self):
+        return self
+
+    def gc(self):
+        self.collections += 1
+
+
+def test_a_full_heap_is_collected_between_queries():
+    for used, times in ((20, 0), (30, 1)):
+        jvm = _Jvm(used)
+        assert relieve(jvm) == bool(times) and jvm.collections == times
+
+
 def test_words_are_hashed_together_as_one_by_one():
     texts = ["Été über " + "x" * 300 + " " + "é" * 70 + " 日本語テキスト 😀😀😀😀😀😀 a", "", "...", " a a-b c\x00d \ud800"]
     words = toxicity.read_words(texts)
