@@ -16,7 +16,7 @@ of ``DEPTH`` + 1 bytes occurs, so the corpus is counted once:
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -29,16 +29,18 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from latebook.llm.lines import sent_if_small
 from latebook.llm.registry import query, table
 from latebook.llm.text import cut, plain
-from latebook.llm.tokens import slices
+from latebook.llm.tokens import give_back, tidy
 
 DEPTH = 4
 #: Context bytes that a subtree shares; its runs are at most 256 ** (DEPTH - 2 + 1).
 SHARED = 2
-#: Bytes of text in a block, characters in a step of a task, runs that a task counts before it
-#: merges them, and runs weighted together.
+#: Bytes of text in a block, in a step of a task (eighty bytes of memory or so for each) and in
+#: what has its words numbered together, runs that a task counts before it merges them, and runs
+#: weighted together.
 BLOCK = 16 << 20
-STEP = 1_000_000
-HELD = 1 << 20
+STEP = 1 << 18
+NUMBERED = 2 << 20
+HELD = 1 << 18
 BUNDLE = 1 << 16
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -55,6 +57,26 @@ def lowered(texts: list[str]) -> list[bytes]:
     return [t.encode("utf-8", "replace").translate(_LOWER) for t in texts]
 
 
+def steps(texts: pa.Array | pa.ChunkedArray, size: int = STEP) -> Iterator[slice]:
+    """Neighbouring rows together, up to ``size`` bytes or one text, so that only the texts of
+    one step need to be Python's at a time."""
+    total = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+    first = 0
+    while first < len(total):
+        done = total[first - 1] if first else 0
+        last = max(first + 1, int(np.searchsorted(total, done + size, "right")))
+        yield slice(first, last)
+        first = last
+
+
+def tidied(run: Callable[..., pa.Table], *tables: pa.Table) -> pa.Table:
+    """What a group's function makes of its tables; the memory that it has freed is given back."""
+    try:
+        return run(*tables)
+    finally:
+        give_back()
+
+
 def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """The runs of the texts, each followed by an end (byte 0) and led by ``DEPTH`` zeros, and
     where those of each text begin.
@@ -91,10 +113,14 @@ def count_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(distinct), pa.array(n)], ["run", "n"])
 
     for batch in batches:
-        texts, out = batch.column(0).to_pylist(), np.array(batch.column(1).to_pylist(), bool)
-        for learn in (True, False):
-            for part in slices([t for t, o in zip(texts, out, strict=True) if o != learn], STEP):
-                distinct, n = np.unique(runs_of(lowered(part))[0], return_counts=True)
+        for rows in steps(batch.column(0)):
+            texts = lowered(batch.column(0)[rows].to_pylist())
+            out = batch.column(1)[rows].to_pylist()
+            for learn in (True, False):
+                part = [t for t, o in zip(texts, out, strict=True) if o != learn]
+                if not part:
+                    continue
+                distinct, n = np.unique(runs_of(part)[0], return_counts=True)
                 keys.append(distinct)
                 counts.append(n if learn else np.zeros(len(n), np.int64))
                 held += len(n)
@@ -281,15 +307,17 @@ def weigher(top: Top):
 def train(texts: DataFrame) -> DataFrame:
     """``run`` and ``f``, its log10 probability, for all runs of ``text``, learnt from those of
     the rows that are not ``held_out``."""
-    counted = cut(texts.select("text", "held_out").mapInArrow(count_runs, "run long, n long")
+    counted = cut(texts.select("text", "held_out").mapInArrow(tidy(count_runs), "run long, n long")
                   .groupBy("run").agg(F.sum("n").alias("n")))
     bundles = max(1, -(-counted.count() // BUNDLE))
     subtree = F.shiftright("run", 8 * (DEPTH + 1 - SHARED))
     dealt = counted.withColumn("bundle", F.pmod(F.xxhash64(subtree), F.lit(bundles)))
-    sums = (dealt.groupBy("bundle").applyInArrow(summary, "kind int, key long, value double")
+    sums = (dealt.groupBy("bundle")
+            .applyInArrow(lambda t: tidied(summary, t), "kind int, key long, value double")
             .groupBy("kind", "key").agg(F.sum("value").alias("value")))
     top = top_of([tuple(r) for r in sums.collect()])  # at most 2 * 256 * 256 rows
-    return cut(dealt.groupBy("bundle").applyInArrow(weigher(top), "run long, f double"))
+    weigh = weigher(top)
+    return cut(dealt.groupBy("bundle").applyInArrow(lambda t: tidied(weigh, t), "run long, f double"))
 
 
 # -- scoring -----------------------------------------------------------------------------------
@@ -301,28 +329,46 @@ def words_in(texts: list[bytes]) -> tuple[pa.Array, np.ndarray]:
             np.array([len(words) + 1 for words in split], np.int64))
 
 
+def coded_words(texts: pa.ChunkedArray) -> tuple[pa.Array, list[np.ndarray], list[np.ndarray]]:
+    """The distinct words of all texts; by step, the number of each word among them and how many
+    words each text has."""
+    coded, lengths = [], []
+    for rows in steps(texts):
+        words, length = words_in(lowered(texts[rows].to_pylist()))
+        coded.append(words.dictionary_encode())
+        lengths.append(length)
+    coded = pa.chunked_array(coded).unify_dictionaries()
+    return coded.chunk(0).dictionary, [c.indices.to_numpy() for c in coded.chunks], lengths
+
+
 def ask_words(block: pa.Table) -> pa.Table:
     """The distinct words of a block, and how often it has them in texts to learn from."""
-    found = []
-    out = np.array(block["held_out"].to_pylist(), bool)
-    texts = block["text"].to_pylist()
-    for learn in (True, False):
-        for part in slices([t for t, o in zip(texts, out, strict=True) if o != learn], STEP):
-            coded = words_in(lowered(part))[0].dictionary_encode()
-            n = np.bincount(coded.indices.to_numpy(), minlength=len(coded.dictionary))
-            found.append(pa.table({"word": coded.dictionary, "n": n if learn else n * 0}))
-    total = pa.concat_tables(found).group_by("word").aggregate([("n", "sum")])
+    total = None
+    for rows in steps(block["text"], NUMBERED):
+        dictionary, codes, lengths = coded_words(block["text"][rows])
+        learn = np.repeat(~block["held_out"][rows].to_numpy(), np.concatenate(lengths))
+        n = np.bincount(np.concatenate(codes)[learn], minlength=len(dictionary))
+        found = pa.table({"word": dictionary, "n": n})
+        total = found if total is None else pa.concat_tables([total, found]).group_by(
+            "word").aggregate([("n", "sum")]).rename_columns(["word", "n"])
+        give_back()
     blk = pa.array(np.full(len(total), block["block"][0].as_py(), np.int64))
-    return pa.table({"block": blk, "word": total["word"], "n": total["n_sum"]})
+    return pa.table({"block": blk, "word": total["word"], "n": total["n"]})
 
 
 def ask_runs(block: pa.Table) -> pa.Table:
     """The distinct runs of a block."""
-    found = [np.unique(runs_of(lowered(part))[0])
-             for part in slices(block["text"].to_pylist(), STEP)]
-    runs = np.unique(np.concatenate(found))
-    blk = pa.array(np.full(len(runs), block["block"][0].as_py(), np.int64))
-    return pa.table({"block": blk, "run": pa.array(runs)})
+    runs, held, limit = [], 0, HELD
+    for rows in steps(block["text"]):
+        runs.append(np.unique(runs_of(lowered(block["text"][rows].to_pylist()))[0]))
+        held += len(runs[-1])
+        if held > 2 * limit:
+            runs = [np.unique(np.concatenate(runs))]
+            held = len(runs[0])
+            limit = max(limit, held)
+    distinct = np.unique(np.concatenate(runs))
+    blk = pa.array(np.full(len(distinct), block["block"][0].as_py(), np.int64))
+    return pa.table({"block": blk, "run": pa.array(distinct)})
 
 
 SCORED = ("doc_id {id}, held_out boolean, n_tokens long, n_known long, word_logs double, "
@@ -334,26 +380,27 @@ def score_block(schema: pa.Schema):
         """One row per text, and one without ``n_tokens`` for the block's share of the training
         words: how many it has, and of how many distinct ones it speaks for all blocks."""
         is_run = pc.is_valid(answers["run"])
-        known = answers.filter(is_run)
+        known = answers.select(["run", "f"]).filter(is_run)
         order = np.argsort(known["run"].to_numpy())
         run, value = known["run"].to_numpy()[order], known["f"].to_numpy()[order]
-        about = answers.filter(pc.invert(is_run))
-        count = about["c"].to_numpy()
+        about = answers.select(["word", "n", "c", "own"]).filter(pc.invert(is_run))
         rows = {name: [] for name in ("n_tokens", "n_known", "word_logs", "score", "n_bytes")}
-        vocabulary = about["word"].combine_chunks()
-        for part in slices(block["text"].to_pylist(), STEP):
-            low = lowered(part)
-            runs, starts = runs_of(low)
-            rows["score"].append(np.add.reduceat(value[np.searchsorted(run, runs)], starts))
-            words, length = words_in(low)
-            coded = words.dictionary_encode()
-            place = pc.index_in(coded.dictionary, vocabulary).to_numpy(zero_copy_only=False)
-            c = count[place.astype(np.int64)][coded.indices.to_numpy()]
-            first = np.cumsum(length) - length
-            rows["n_tokens"].append(length)
-            rows["n_known"].append(np.add.reduceat((c > 0).astype(np.int64), first))
-            rows["word_logs"].append(np.add.reduceat(np.log10(c + 0.5), first))
-            rows["n_bytes"].append(np.array([len(t) for t in low], np.int64))
+        vocabulary, counts = about["word"].combine_chunks(), about["c"].to_numpy()
+        for many in steps(block["text"], NUMBERED):
+            texts = block["text"][many]
+            dictionary, codes, lengths = coded_words(texts)
+            count = counts[pc.index_in(dictionary, vocabulary).to_numpy()]
+            for part, code, length in zip(steps(texts), codes, lengths, strict=True):
+                low = lowered(texts[part].to_pylist())
+                runs, starts = runs_of(low)
+                rows["score"].append(np.add.reduceat(value[np.searchsorted(run, runs)], starts))
+                c = count[code]
+                first = np.cumsum(length) - length
+                rows["n_tokens"].append(length)
+                rows["n_known"].append(np.add.reduceat((c > 0).astype(np.int64), first))
+                rows["word_logs"].append(np.add.reduceat(np.log10(c + 0.5), first))
+                rows["n_bytes"].append(np.array([len(t) for t in low], np.int64))
+            give_back()
         flat = {k: np.concatenate(v) for k, v in rows.items()}
         n = len(block)
         mine = about.filter(pc.and_(about["own"], pc.greater(about["c"], 0)))
@@ -383,11 +430,13 @@ def score_documents(docs: DataFrame, depth_bytes: int = BLOCK) -> DataFrame:
                         held_out(ident).alias("held_out"))
     model = train(texts)
     dealt = texts.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)))
-    asked = dealt.groupBy("block").applyInArrow(ask_words, "block long, word binary, n long")
+    asked = dealt.groupBy("block").applyInArrow(
+        lambda t: tidied(ask_words, t), "block long, word binary, n long")
     by_word = Window.partitionBy("word")  # a row for each block at most
     words = asked.select("block", "word", "n", F.sum("n").over(by_word).alias("c"),
                          (F.row_number().over(by_word.orderBy("block")) == 1).alias("own"))
-    runs = (dealt.groupBy("block").applyInArrow(ask_runs, "block long, run long")
+    runs = (dealt.groupBy("block")
+            .applyInArrow(lambda t: tidied(ask_runs, t), "block long, run long")
             .join(sent_if_small(model, 24), "run"))
     none = {"run": "long", "f": "double", "word": "binary", "n": "long", "c": "long",
             "own": "boolean"}
@@ -399,8 +448,9 @@ def score_documents(docs: DataFrame, depth_bytes: int = BLOCK) -> DataFrame:
     kind = docs.schema["doc_id"].dataType
     schema = SCORED.format(id=kind.simpleString())
     empty = docs.sparkSession.createDataFrame([], schema)
+    score = score_block(to_arrow_schema(empty.schema))
     scored = cut(dealt.groupBy("block").cogroup(answer(words).union(answer(runs)).groupBy("block"))
-                 .applyInArrow(score_block(to_arrow_schema(empty.schema)), schema))
+                 .applyInArrow(lambda b, a: tidied(score, b, a), schema))
     total, distinct = scored.agg(F.sum("part_tokens"), F.sum("part_words")).first()
     scale = math.log10((total or 0) + 0.5 * ((distinct or 0) + 1))
     bits = -F.col("score") * math.log2(10) / F.col("n_bytes")

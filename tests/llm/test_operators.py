@@ -611,6 +611,67 @@ def test_context_tree_against_brute_force(spark, block):
         assert abs(r["base_score"] - base) < 1e-9 and abs(r["score"] - score) < 1e-8 * (1 - score)
 
 
+def memory_of(run):
+    """Bytes that Python, numpy and Arrow held at once, at most."""
+    import tracemalloc
+
+    import pyarrow as pa
+    usual = pa.default_memory_pool()
+    pool = pa.proxy_memory_pool(usual)
+    pa.set_memory_pool(pool)
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] + pool.max_memory()
+    finally:
+        tracemalloc.stop()
+        pa.set_memory_pool(usual)
+
+
+def test_context_tree_steps_hold_little_memory():
+    """Two workers share an executor with its JVM: what a task holds beside its block is bounded."""
+    import pyarrow as pa
+    rng = np.random.default_rng(3)
+    vocabulary = np.array(["".join(rng.choice(list("abcdefghij"), n)) for n in rng.integers(2, 9, 20_000)])
+    texts = [" ".join(vocabulary[rng.integers(0, 20_000, 300)]) for _ in range(2500)]  # 4.5 MB
+    out = [i % 5 == 1 for i in range(len(texts))]
+    block = pa.table({"block": pa.array([0] * len(texts), pa.int64()), "doc_id": pa.array(range(len(texts))),
+                      "text": texts, "held_out": out})
+    noise = rng.integers(97, 123, (3000, 1000), np.uint8)  # hardly a run occurs twice
+    unlike = pa.table({"text": [row.tobytes().decode() for row in noise], "held_out": [False] * len(noise)})
+    assert memory_of(lambda: sum(map(len, context_tree.count_runs(iter(unlike.to_batches(500)))))) < 80e6
+    assert memory_of(lambda: context_tree.ask_runs(block)) < 24e6
+    assert memory_of(lambda: context_tree.ask_words(block)) < 16e6
+    runs, words = context_tree.ask_runs(block)["run"], context_tree.ask_words(block)
+    kinds = {"run": pa.int64(), "f": pa.float64(), "word": pa.binary(), "n": pa.int64(), "c": pa.int64(),
+             "own": pa.bool_()}
+    found = [{"run": runs, "f": pa.array(-rng.random(len(runs)))},
+             {"word": words["word"], "n": words["n"], "c": words["n"], "own": pa.array([True] * len(words))}]
+    answers = pa.concat_tables(pa.table({k: f.get(k, pa.nulls(len(next(iter(f.values()))), t))
+                                         for k, t in kinds.items()}) for f in found)
+    schema = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
+                        ("n_known", pa.int64()), ("word_logs", pa.float64()), ("score", pa.float64()),
+                        ("n_bytes", pa.int64()), ("part_tokens", pa.int64()), ("part_words", pa.int64())])
+    score = context_tree.score_block(schema)
+    assert memory_of(lambda: score(block, answers)) < 35e6
+    scored = score(block, answers).to_pylist()
+    learnt = [t for t, o in zip(texts, out, strict=True) if not o]
+    assert [r["doc_id"] for r in scored] == [*range(len(texts)), None]
+    assert all(r["n_tokens"] == 301 and r["n_bytes"] == len(t) for r, t in zip(scored, texts, strict=False))
+    assert scored[-1]["part_tokens"] == 301 * len(learnt)
+    assert scored[-1]["part_words"] == len({w for t in learnt for w in t.split()}) + 1
+
+
+def test_steps_of_texts_lose_no_row():
+    import pyarrow as pa
+    texts = ["", "ab", "c" * 50, "", "de", "f" * 9, "é" * 4, ""]
+    for size in (1, 4, 10, 1000):
+        parts = [texts[rows] for rows in context_tree.steps(pa.chunked_array([texts[:3], texts[3:]]), size)]
+        assert sum(parts, []) == texts and all(parts)
+        assert all(len(p) == 1 or sum(len(t.encode()) for t in p) <= size for p in parts)
+    assert list(context_tree.steps(pa.array([], pa.string()))) == []
+
+
 def test_context_tree_on_odd_rows(odd, none):
     assert context_tree.score_documents(odd).count() == len(ROWS)
     assert context_tree.score_documents(none).count() == 0
